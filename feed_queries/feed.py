@@ -1,17 +1,18 @@
 """The ``events`` table as a feed of documents, and the SQL of the same rows.
 
-Every event becomes one feature.  A document holds up to a fixed number of
-features that lie next to each other in a scan partition, so its size never
-depends on how often a day, a user or an event type occurs.
+Every event becomes one feature; a document holds up to a fixed number of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.operators import flat_map_rows
 from feedlake.session import scratch_path
 from feedlake.sources import DAILY
 
@@ -181,17 +182,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(
-    spark: SparkSession,
-    sf_dir: str,
-    *,
-    features_per_document: int = FEATURES_PER_DOCUMENT,
-    days_together: bool = False,
+    spark: SparkSession, sf_dir: str, *, features_per_document: int = FEATURES_PER_DOCUMENT
 ) -> DataFrame:
     """All events as documents: ``ingest_date`` and the JSON text ``value``.
 
-    Row ids count up within a scan partition, so ``div`` cuts it into runs of
-    bounded length.  There is one shuffle; with ``days_together`` it goes by range,
-    so that a writer with a folder per day makes few files.
+    Spark renders each feature; the features of one day that come in one Arrow
+    batch are then strung together.  Nothing is shuffled, and neither a busy day
+    nor a busy user makes a document any larger.
     """
     rows = spark.sql(_FEED, events=table(spark, sf_dir, "events"))
     feature = F.struct(
@@ -200,15 +197,19 @@ def documents(
         F.struct(F.lit("Point").alias("type"), "coordinates").alias("geometry"),
         F.col("event_id").cast("string").alias("id"),
     )
-    run = F.expr(f"monotonically_increasing_id() div {features_per_document}")
-    collection = F.struct(F.lit("FeatureCollection").alias("type"), "features")
-    features = rows.select("ingest_date", run.alias("run"), feature.alias("feature"))
-    if days_together:
-        features = features.repartitionByRange("ingest_date", "run")
-    return (
-        features.groupBy("ingest_date", "run")
-        .agg(F.collect_list("feature").alias("features"))
-        .select("ingest_date", F.to_json(collection).alias("value"))
+
+    def collections(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        packed = []
+        for day, features in batch.groupby("ingest_date")["feature"]:
+            for start in range(0, len(features), features_per_document):
+                members = ",".join(features.iloc[start : start + features_per_document])
+                packed.append((day, f'{{"type":"FeatureCollection","features":[{members}]}}'))
+        yield pd.DataFrame(packed, columns=["ingest_date", "value"])
+
+    return flat_map_rows(
+        rows.select("ingest_date", F.to_json(feature).alias("feature")),
+        collections,
+        "ingest_date string, value string",
     )
 
 
@@ -223,7 +224,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         root = scratch_path(spark, "landing")
-        by_day = documents(spark, sf_dir, days_together=True)
-        by_day.write.partitionBy("ingest_date").text(f"{root}/run_kind={DAILY}")
+        by_day = documents(spark, sf_dir).write.partitionBy("ingest_date")
+        by_day.text(f"{root}/run_kind={DAILY}")
         _landed[key] = root
     return _landed[key]

@@ -22,6 +22,7 @@ from feedlake.sources import (
     read_documents,
     read_run,
     read_silver,
+    read_split_documents,
     read_text_documents,
 )
 
@@ -29,12 +30,23 @@ _COLUMNS = ("mag", "place", "time", "tz", "felt", "longitude", "depth")
 _WITH_ID = f"SELECT CAST(event_id AS VARCHAR) AS id, {', '.join(_COLUMNS)} FROM flat"
 
 
-def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered files: one document per file, several lines allowed."""
+def _delivered(spark: SparkSession, sf_dir: str) -> str:
+    """All events as files with one document each; returns the folder."""
     path = scratch_path(spark, "delivered")
-    delivered = documents(spark, sf_dir, features_per_document=5000).select("value")
-    delivered.write.option("maxRecordsPerFile", 1).text(path)
-    raw = read_documents(spark, path, multi_line=True, columns=_COLUMNS)
+    docs = documents(spark, sf_dir, features_per_document=5000).select("value")
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered files, each read by one task; several lines allowed."""
+    raw = read_documents(spark, _delivered(spark, sf_dir), multi_line=True, columns=_COLUMNS)
+    return flatten(raw, _COLUMNS, keep_id=True)
+
+
+def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered files, each shared by as many tasks as its size asks for."""
+    raw = read_split_documents(spark, _delivered(spark, sf_dir), columns=_COLUMNS)
     return flatten(raw, _COLUMNS, keep_id=True)
 
 
@@ -73,6 +85,7 @@ FROM warehouse w JOIN (SELECT code, tz FROM silver) s USING (code)
 
 QUERIES = {
     "q_landing_scan": (landing_scan, f"WITH {FLAT_SQL} {_WITH_ID}"),
+    "q_split_scan": (split_scan, f"WITH {FLAT_SQL} {_WITH_ID}"),
     "q_text_scan": (text_scan, f"WITH {FLAT_SQL} {_WITH_ID}"),
     "q_silver_scan": (silver_scan, f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse"),
     "q_autodetect_scan": (autodetect_scan, AUTODETECT_SQL),

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from feedlake.functions._columns import as_column
 
-# Fixed value: seconds of 9999-12-31 23:59:59 UTC, the last four-digit year.
-LAST_SECOND = 253402300799
+# Fixed value: 10000-01-01 00:00:00 UTC; times from here on have no four-digit year.
+_END_MILLIS = 253402300800000.0
 
 # Seconds beyond this do not fit a timestamp in microseconds.
 _LAST_TIMESTAMP_SECOND = 9223372036854
@@ -34,20 +34,15 @@ def epoch_session(millis: Column | str) -> Column:
     return F.from_unixtime(F.when(F.abs(seconds) <= _LAST_TIMESTAMP_SECOND, seconds))
 
 
-def _seconds(millis: Column) -> Column:
-    """Seconds as DOUBLE; NULL where the text is no finite decimal number.
+def _guarded_millis(millis: Column) -> Column:
+    """Milliseconds as DOUBLE: NULL for NULL, 0 for NaN, too large for broken text.
 
     The cast also takes ``1d``, ``1f`` and ``0x1p3``; these are no numbers here.
     """
     text = millis.cast("string")
-    return F.when(~text.rlike("[dDfFxX]"), text.try_cast("double")) / 1000
-
-
-def _nearest_microsecond(seconds: Column) -> Column:
-    """Whole seconds of a positive time that is kept to the microsecond."""
-    whole = F.floor(seconds)
-    carry = F.rint((seconds - whole) * 1000000) >= 1000000
-    return whole + carry.cast("bigint")
+    number = F.when(~text.rlike("[dDfFxX]"), text.try_cast("double"))
+    broken = F.when(text.isNotNull(), F.lit(_END_MILLIS))
+    return F.nanvl(F.coalesce(number, broken), F.lit(0.0))
 
 
 def epoch_guarded(time: Column | str, updated: Column | str) -> tuple[Column, Column]:
@@ -57,26 +52,14 @@ def epoch_guarded(time: Column | str, updated: Column | str) -> tuple[Column, Co
     * text that is no number, or a time beyond the year 9999, in either field
       gives NULL for both;
     * NULL stays NULL and leaves its partner alone.
-    """
 
-    def bounded(seconds: Column) -> Column:
-        positive = ~F.isnan(seconds) & (seconds > 0)
-        return F.when(positive & (seconds <= LAST_SECOND + 1), _nearest_microsecond(seconds))
-
-    def broken(millis: Column, seconds: Column) -> Column:
-        too_late = ~F.isnan(seconds) & (seconds > LAST_SECOND + 1)
-        return (
-            (millis.isNotNull() & seconds.isNull())
-            | F.coalesce(too_late, F.lit(False))
-            | F.coalesce(bounded(seconds) > LAST_SECOND, F.lit(False))
-        )
-
-    time, updated = as_column(time), as_column(updated)
-    time_s, updated_s = _seconds(time), _seconds(updated)
-    usable = ~(broken(time, time_s) | broken(updated, updated_s))
-    return (
-        F.when(usable, _utc_text(bounded(time_s))),
-        F.when(usable, _utc_text(bounded(updated_s))),
+    Times are rounded to the microsecond before the seconds are cut off.
+    """
+    fields = [_guarded_millis(as_column(field)) for field in (time, updated)]
+    usable = F.greatest(*fields) < _END_MILLIS
+    return tuple(
+        F.when(usable & (field > 0), _utc_text(F.floor(F.rint(field * 1000) / 1000000)))
+        for field in fields
     )
 
 

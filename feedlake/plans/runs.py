@@ -28,6 +28,7 @@ from feedlake.sources.landing import (
     DAILY,
     parse_documents,
     read_documents,
+    read_split_documents,
     read_text_documents,
     run_path,
 )
@@ -67,24 +68,32 @@ def run_feed(
     epoch: str = "guarded",
     silver_format: str = "parquet",
     multi_line: bool = False,
+    feature_start: str | None = None,
     strict: bool = True,
     mode: str = "FAILFAST",
     load_id: str | None = None,
+    count_table: bool = True,
 ) -> RunReport:
     """Land, scan, flatten, derive, write silver, load the table.
 
     ``documents`` (strings in ``value``) are landed first; without them the run
     takes what lies in its landing folder already: one document per line, or per
-    file with ``multi_line``.  ``run_date`` defaults to the day of ``as_of``.
-    ``area`` and ``epoch`` are those of :func:`feedlake.plans.to_silver`.
+    file with ``multi_line``, or per file and shared by many tasks with a
+    ``feature_start`` (see :func:`feedlake.sources.read_split_documents`).
+    ``run_date`` defaults to the day of ``as_of``.  ``area`` and ``epoch`` are
+    those of :func:`feedlake.plans.to_silver`.  ``count_table=False`` saves the
+    look into every file of a large table that the row report takes.
     """
     run_date = run_date or run_tag(as_of)
     if documents is not None:
         landed = land_documents(documents, landing, run_kind, run_date)
-        multi_line = False
+        multi_line, feature_start = False, None
     else:
         landed = run_path(landing, run_kind, run_date)
-    raw = read_documents(spark, landed, multi_line=multi_line, mode=mode)
+    if feature_start is not None:
+        raw = read_split_documents(spark, landed, feature_start=feature_start)
+    else:
+        raw = read_documents(spark, landed, multi_line=multi_line, mode=mode)
     rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
     rows, observation = counted(rows, f"{run_kind}-{run_date}")
     silver_path = write_silver(rows, silver, run_kind, run_date, fmt=silver_format)
@@ -96,7 +105,7 @@ def run_feed(
         silver_path=silver_path,
         records=observation.get["records"],
         table=table,
-        table_rows=_rows(table_count(spark, table)),
+        table_rows=_rows(table_count(spark, table)) if count_table else None,
     )
 
 

@@ -3,10 +3,12 @@
 from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
+    FEATURE_START,
     input_bytes,
     parse_documents,
     read_documents,
     read_run,
+    read_split_documents,
     read_text_documents,
     run_file_glob,
     run_path,
@@ -16,12 +18,14 @@ from feedlake.sources.silver import read_autodetect, read_silver
 __all__ = [
     "BACKFILL",
     "DAILY",
+    "FEATURE_START",
     "input_bytes",
     "parse_documents",
     "read_autodetect",
     "read_documents",
     "read_run",
     "read_silver",
+    "read_split_documents",
     "read_text_documents",
     "run_file_glob",
     "run_path",

@@ -2,8 +2,9 @@
 
 Two shapes of landing data are read:
 
-* *delivered* files, one document per file, possibly spread over many lines
-  (``multi_line=True``; such a file cannot be split, so one task reads it);
+* *delivered* files, one document per file, possibly spread over many lines.
+  ``read_documents(multi_line=True)`` gives each file to one task;
+  :func:`read_split_documents` lets many tasks share a large one;
 * *landed* files, one single-line document per row, many rows per file, as
   :func:`feedlake.sinks.land_documents` writes them.  They split at line ends.
 """
@@ -22,6 +23,11 @@ BACKFILL = "backfill"
 DAILY = "daily"
 _FILE_PREFIX = {BACKFILL: "", DAILY: "daily"}
 
+# Fixed value: how a feature starts in a document written without blanks.
+FEATURE_START = '{"type":"Feature",'
+
+_JSON_BLANKS = " \t\r\n"
+
 FAILFAST = "FAILFAST"
 PERMISSIVE = "PERMISSIVE"
 
@@ -71,6 +77,36 @@ def read_documents(
     return reader.json(paths if isinstance(paths, str) else list(paths))
 
 
+def read_split_documents(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    feature_start: str = FEATURE_START,
+    columns: Iterable[str] | None = None,
+    glob: str | None = None,
+) -> DataFrame:
+    """Delivered files, one document each, cut into pieces of about one feature.
+
+    The files are split like text files that end their lines with
+    ``feature_start``, so the size of a document does not matter.  A quote inside
+    a JSON string is escaped, hence the separator is never part of a value.  Each
+    piece is closed to a document of its own: what follows the closing bracket is
+    not read.  Features that start in another way stay in the piece in front of
+    them, which costs parallelism but no rows.  Malformed pieces stop the read.
+    """
+    reader = spark.read
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    pieces = reader.text(
+        paths if isinstance(paths, str) else list(paths), lineSep=feature_start
+    )
+    head = F.ltrim(F.col("value"), F.lit(_JSON_BLANKS)).startswith("{")
+    opened = F.when(head, F.lit("")).otherwise(F.lit('{"features":[{'))
+    body = F.rtrim(F.col("value"), F.lit("," + _JSON_BLANKS))
+    closed = pieces.select(F.concat(opened, body, F.lit("]}")).alias("value"))
+    return parse_documents(closed, columns=columns)
+
+
 def read_run(
     spark: SparkSession,
     landing: str,
