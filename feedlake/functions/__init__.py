@@ -1,6 +1,7 @@
 """Column expressions of the feed; all of them run inside the JVM."""
 
 from feedlake.functions.clock import (
+    STAMP_FORMAT,
     epoch_guarded,
     epoch_session,
     ingest_stamp,
@@ -19,6 +20,7 @@ from feedlake.functions.text import (
 from feedlake.functions.values import null_safe_float, row_json, whole_number
 
 __all__ = [
+    "STAMP_FORMAT",
     "area_positional",
     "area_regex",
     "epoch_guarded",

@@ -15,6 +15,8 @@ _END_MILLIS = 253402300800000.0
 # Seconds beyond this do not fit a timestamp in microseconds.
 _LAST_TIMESTAMP_SECOND = 9223372036854
 
+# ISO-8601 as the JSON writer renders it, and the run date.
+STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 _RUN_DATE = "%Y%m%d"
 
 
@@ -84,7 +86,7 @@ def ingest_stamp_text(as_of: datetime | None = None) -> Column:
 
 def stamp_text(stamp: Column | str) -> Column:
     """A timestamp the way the JSON writer renders it: ISO-8601 with milliseconds."""
-    return F.date_format(as_column(stamp), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    return F.date_format(as_column(stamp), STAMP_FORMAT)
 
 
 def run_date(as_of: datetime | None = None) -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from feedlake.functions import stamp_text, whole_number
+from feedlake.functions import STAMP_FORMAT
 from feedlake.schemas import WAREHOUSE
 
 
@@ -17,17 +16,15 @@ def to_warehouse(silver: DataFrame) -> DataFrame:
     stays 1.1, where a direct cast gives 1.100000023841858.
     """
 
-    def loaded(target: T.StructField) -> Column:
+    def loaded(target: T.StructField) -> str:
         have = silver.schema[target.name].dataType
-        value = F.col(target.name)
+        name = f"`{target.name}`"
         if isinstance(target.dataType, T.DoubleType) and isinstance(have, T.FloatType):
-            value = value.cast("string").cast("double")
-        elif isinstance(target.dataType, T.LongType):
-            value = whole_number(value, "bigint")
-        elif isinstance(have, T.TimestampType):
-            value = stamp_text(value)
-        else:
-            value = value.cast(target.dataType)
-        return value.alias(target.name)
-
-    return silver.select(*[loaded(field) for field in WAREHOUSE.fields])
+            return f"cast(cast({name} AS string) AS double) AS {name}"
+        if isinstance(target.dataType, T.LongType):
+            return f"try_cast({name} AS bigint) AS {name}"
+        if isinstance(have, T.TimestampType):
+            return f'date_format({name}, "{STAMP_FORMAT}") AS {name}'
+        return f"cast({name} AS {target.dataType.simpleString()}) AS {name}"
+
+    return silver.selectExpr(*[loaded(field) for field in WAREHOUSE.fields])

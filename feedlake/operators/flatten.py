@@ -6,11 +6,21 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedlake.functions import null_safe_float, whole_number
 from feedlake.schemas import COORDINATES, flat_schema
 
+# How a column gets its flat type.  43.0 is 43 in an INT column, and what fits no
+# INT is NULL; text that is no number is an error in a FLOAT column.
+_TYPED = {
+    "float": "cast(cast({0} AS double) AS float) AS {0}",
+    "int": "try_cast(try_cast({0} AS double) AS int) AS {0}",
+    "string": "cast({0} AS string) AS {0}",
+}
+
+
+def _quoted(names: Iterable[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
+
 
 def explode_features(
     documents: DataFrame, *, strict: bool = False, keep: Sequence[str] = ()
@@ -27,10 +37,16 @@ def explode_features(
     return documents.select(*keep, F.explode(features).alias("f"))
 
 
-def coordinates(positions: Column | str) -> list[Column]:
-    """Longitude, latitude and depth of a coordinate array; NULL where it is short."""
-    positions = F.col(positions) if isinstance(positions, str) else positions
-    return [F.get(positions, F.lit(i)).alias(name) for i, name in enumerate(COORDINATES)]
+def _coordinate_sql(positions: str) -> list[str]:
+    return [f"get({positions}, {i}) AS {name}" for i, name in enumerate(COORDINATES)]
+
+
+def coordinates(positions: str) -> list[Column]:
+    """Longitude, latitude and depth of a coordinate array; NULL where it is short.
+
+    ``positions`` names the array column.
+    """
+    return [F.expr(sql) for sql in _coordinate_sql(positions)]
 
 
 def properties_flatten(
@@ -41,18 +57,18 @@ def properties_flatten(
     The geometry wins over a property of the same name.
     """
     feature = features.schema["f"].dataType
-    columns: list[Column] = []
+    columns = _quoted(keep)
     if "properties" in feature.names:
         columns += [
-            F.col(f"f.properties.{name}").alias(name)
+            f"f.properties.`{name}` AS `{name}`"
             for name in feature["properties"].dataType.names
             if name not in COORDINATES
         ]
     if "geometry" in feature.names:
-        columns += coordinates("f.geometry.coordinates")
+        columns += _coordinate_sql("f.geometry.coordinates")
     if keep_id:
-        columns.append(F.col("f.id").alias("id"))
-    return features.select(*keep, *columns)
+        columns.append("f.id AS id")
+    return features.selectExpr(*columns)
 
 
 def typed_projection(
@@ -60,19 +76,14 @@ def typed_projection(
 ) -> DataFrame:
     """The flat columns in order with their types; extras dropped, absent ones NULL."""
     present = set(rows.columns)
-
-    def typed(field: T.StructField) -> Column:
-        if field.name not in present:
-            value = F.lit(None).cast(field.dataType)
-        elif isinstance(field.dataType, T.FloatType):
-            value = null_safe_float(field.name)
-        elif isinstance(field.dataType, T.IntegerType):
-            value = whole_number(field.name)
+    typed = []
+    for field in flat_schema(columns).fields:
+        kind = field.dataType.simpleString()
+        if field.name in present:
+            typed.append(_TYPED[kind].format(f"`{field.name}`"))
         else:
-            value = F.col(field.name).cast(field.dataType)
-        return value.alias(field.name)
-
-    return rows.select(*keep, *[typed(field) for field in flat_schema(columns).fields])
+            typed.append(f"cast(NULL AS {kind}) AS `{field.name}`")
+    return rows.selectExpr(*_quoted(keep), *typed)
 
 
 def flatten(

@@ -1,0 +1,171 @@
+import json
+
+import pandas as pd
+import pytest
+from conftest import document, feature
+from pyspark.sql import functions as F
+
+from feedlake.functions import null_safe_float, row_json, whole_number
+from feedlake.operators import (
+    bounded_files,
+    coordinates,
+    counted,
+    explode_features,
+    flat_map_rows,
+    flatten,
+    map_rows,
+    properties_flatten,
+    record_count,
+    typed_projection,
+)
+from feedlake.schemas import FLAT
+from feedlake.sources import parse_documents
+
+
+def flat_rows(texts, *documents, **options):
+    return flatten(parse_documents(texts(*documents)), **options).orderBy("code").collect()
+
+
+def test_one_row_per_feature(texts):
+    rows = flat_rows(texts, document(feature("a"), feature("b")), document(feature("c")), document())
+    assert [row.code for row in rows] == ["a", "b", "c"]
+
+
+def test_flat_types_and_order(texts):
+    frame = flatten(parse_documents(texts(document(feature("a")))))
+    assert [(f.name, f.dataType) for f in frame.schema.fields] == [
+        (f.name, f.dataType) for f in FLAT.fields
+    ]
+
+
+def test_numbers_are_widened_and_narrowed(texts):
+    (row,) = flat_rows(
+        texts,
+        document(feature("a", (-155, 18, 37.34), mag=4, nst=43.0, felt=7, gap=82, time=1729498113226)),
+    )
+    assert (row.mag, row.nst, row.felt, row.gap) == (4.0, 43, 7, 82.0)
+    assert (row.longitude, row.latitude) == (-155.0, 18.0)
+    assert row.depth == pytest.approx(37.34, rel=1e-6)
+    assert row.time == "1729498113226"
+
+
+def test_short_coordinates_give_null_depth(texts):
+    rows = flat_rows(
+        texts,
+        document(feature("a", (1, 2)), feature("b", ()), {"properties": {"code": "c"}}),
+    )
+    assert [(r.longitude, r.latitude, r.depth) for r in rows] == [
+        (1.0, 2.0, None),
+        (None, None, None),
+        (None, None, None),
+    ]
+
+
+def test_extra_keys_are_dropped_and_absent_ones_null(texts):
+    (row,) = flat_rows(texts, document(feature("a", unheard_of=1, place=None)))
+    assert "unheard_of" not in row.asDict()
+    assert row.place is None and row.title is None
+
+
+def test_geometry_wins_over_property_of_the_same_name(texts):
+    (row,) = flat_rows(texts, document(feature("a", (1, 2, 3), depth=99, longitude=98)))
+    assert (row.longitude, row.depth) == (1.0, 3.0)
+    # Also where the read schema is inferred and the property is there.
+    frame = texts(document(feature("a", (1, 2, 3), depth=99.0)))
+    schema = (
+        "features array<struct<properties struct<code string, depth double>, "
+        "geometry struct<coordinates array<double>>>>"
+    ).replace("struct<properties struct", "struct<properties: struct").replace(
+        ", geometry struct", ", geometry: struct"
+    ).replace("code string, depth double", "code: string, depth: double").replace(
+        "coordinates array", "coordinates: array"
+    )
+    raw = frame.select(F.from_json("value", schema).alias("d")).select("d.*")
+    lifted = properties_flatten(explode_features(raw)).first()
+    assert lifted.asDict() == {"code": "a", "longitude": 1.0, "latitude": 2.0, "depth": 3.0}
+
+
+def test_feature_id_is_dropped_unless_kept(texts):
+    (row,) = flat_rows(texts, document(feature("a")))
+    assert "id" not in row.asDict()
+    (row,) = flat_rows(texts, document(feature("a")), keep_id=True)
+    assert row.id == "id-a"
+
+
+def test_missing_features_member(texts):
+    assert flat_rows(texts, '{"type":"FeatureCollection"}') == []
+    with pytest.raises(Exception, match="no features member"):
+        flat_rows(texts, '{"type":"FeatureCollection"}', strict=True)
+    assert flat_rows(texts, document(), strict=True) == []
+
+
+def test_column_subset(texts):
+    frame = flatten(parse_documents(texts(document(feature("a", mag=1.5))), columns=("mag",)), ("mag",))
+    assert [tuple(r) for r in frame.collect()] == [(1.5,)]
+
+
+def test_typed_projection_on_any_frame(spark):
+    frame = spark.createDataFrame([("1.5", "7.0", 3, "x")], "mag string, felt string, place int, more string")
+    row = typed_projection(frame).first()
+    assert row.mag == 1.5 and row.felt == 7 and row.place == "3" and row.depth is None
+    assert len(row) == 29
+
+
+def test_integer_that_does_not_fit_is_null(spark):
+    frame = spark.createDataFrame([(1e12,), (43.9,), (None,)], "sig double")
+    assert [r.sig for r in typed_projection(frame, ("sig",)).collect()] == [None, 43, None]
+    assert [r[0] for r in frame.select(whole_number("sig")).collect()] == [None, 43, None]
+
+
+def test_null_safe_float(spark):
+    frame = spark.createDataFrame([("4.5",), (None,), ("x",)], "v string")
+    assert [r[0] for r in frame.select(null_safe_float("v", strict=False)).collect()] == [4.5, None, None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        frame.select(null_safe_float("v")).collect()
+
+
+def test_coordinates_of_any_array_column(spark):
+    frame = spark.createDataFrame([([1.0, 2.0],), (None,)], "p array<double>")
+    assert [tuple(r) for r in frame.select(*coordinates("p")).collect()] == [
+        (1.0, 2.0, None),
+        (None, None, None),
+    ]
+
+
+def test_row_json_leaves_nulls_out(spark):
+    frame = spark.createDataFrame([(1, None, "x")], "a int, b string, `c d` string")
+    assert json.loads(frame.select(row_json(frame)).first()[0]) == {"a": 1, "c d": "x"}
+    kept = frame.select(row_json(frame, ignore_null_fields=False)).first()[0]
+    assert json.loads(kept) == {"a": 1, "b": None, "c d": "x"}
+
+
+def test_user_functions(spark):
+    frame = spark.range(0, 1000, numPartitions=4)
+
+    def twice(batch: pd.DataFrame):
+        yield batch
+        yield batch + 1000
+
+    assert flat_map_rows(frame, twice, "id long").count() == 2000
+    assert map_rows(frame, lambda b: b * 2, "id long").agg(F.sum("id")).first()[0] == 999000
+    with pytest.raises(Exception, match="map_rows got"):
+        map_rows(frame, lambda b: b.head(1), "id long").count()
+
+
+def test_counting(spark, tmp_path):
+    frame, observation = counted(spark.range(0, 777, numPartitions=5), "n")
+    frame.write.parquet(str(tmp_path / "n"))
+    assert observation.get["records"] == 777
+    assert record_count(frame).first().n_records == 777
+
+
+def test_bounded_files_follow_the_size(spark, tmp_path):
+    frame = spark.range(0, 5000, numPartitions=6)
+    one = str(tmp_path / "one")
+    bounded_files(frame, 1000, file_bytes=1000).write.parquet(one)
+    many = str(tmp_path / "many")
+    bounded_files(frame, 3500, file_bytes=1000).write.parquet(many)
+    for path, files in ((one, 1), (many, 4)):
+        stored = spark.read.parquet(path)
+        assert len(stored.inputFiles()) == files
+        assert stored.count() == 5000
