@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators import flat_map_rows
+from feedlake.operators import flat_map_rows, spread
 from feedlake.session import scratch_path
 from feedlake.sources import DAILY
 
@@ -187,10 +187,11 @@ def documents(
     """All events as documents: ``ingest_date`` and the JSON text ``value``.
 
     Spark renders each feature; the features of one day that come in one Arrow
-    batch are then strung together.  Nothing is shuffled, and neither a busy day
-    nor a busy user makes a document any larger.
+    batch are then strung together.  Neither a busy day nor a busy user makes a
+    document any larger, and nothing is shuffled, unless the table is so small
+    that its files leave cores idle.
     """
-    rows = spark.sql(_FEED, events=table(spark, sf_dir, "events"))
+    rows = spark.sql(_FEED, events=spread(table(spark, sf_dir, "events"), "ts"))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         "properties",

@@ -8,7 +8,7 @@ from feedlake.operators.flatten import (
     properties_flatten,
     typed_projection,
 )
-from feedlake.operators.layout import bounded_files, counted, record_count
+from feedlake.operators.layout import bounded_files, counted, record_count, spread
 from feedlake.operators.rows import flat_map_rows, map_rows
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "map_rows",
     "properties_flatten",
     "record_count",
+    "spread",
     "to_warehouse",
     "typed_projection",
 ]

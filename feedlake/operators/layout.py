@@ -24,6 +24,19 @@ def bounded_files(
     return frame.coalesce(1) if files == 1 else frame.repartition(files)
 
 
+def spread(frame: DataFrame, *order: str) -> DataFrame:
+    """Give every core a share of a frame that has fewer partitions than cores.
+
+    For costly work on a small or unsplittable input, such as parsing one file.
+    With ``order`` the shares are ranges of these columns.  A frame with enough
+    partitions, as any large table has, is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartitionByRange(cores, *order) if order else frame.repartition(cores)
+
+
 def record_count(frame: DataFrame) -> DataFrame:
     """The number of rows as a one-row frame ``n_records``."""
     return frame.agg(F.count(F.lit(1)).alias("n_records"))

@@ -49,6 +49,15 @@ def test_multi_line_files(spark, tmp_path):
     assert codes(read_documents(spark, str(tmp_path), multi_line=True)) == ["a", "b", "c"]
 
 
+def test_multi_line_run_keeps_its_partition(spark, tmp_path):
+    folder = tmp_path / "run_kind=daily" / "ingest_date=20240102"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text(json.dumps(json.loads(document(feature("a"))), indent=2))
+    run = read_run(spark, str(tmp_path), DAILY, "20240102", multi_line=True)
+    row = flatten(run, keep=["run_kind", "ingest_date"]).first()
+    assert (row.run_kind, row.ingest_date, row.code) == (DAILY, "20240102", "a")
+
+
 def test_several_documents_per_file_by_line(spark, tmp_path):
     lines = "\n".join([document(feature("a")), document(feature("b"), feature("c"))])
     deliver(tmp_path, "1.json", lines)
