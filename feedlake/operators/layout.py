@@ -27,9 +27,10 @@ def bounded_files(
 def spread(frame: DataFrame, *order: str) -> DataFrame:
     """Give every core a share of a frame that has fewer partitions than cores.
 
-    For costly work on a small or unsplittable input, such as parsing one file.
+    For costly work on a small or unsplittable scan, such as parsing one file.
     With ``order`` the shares are ranges of these columns.  A frame with enough
-    partitions, as any large table has, is left as it is.
+    partitions, as any large table has, is left as it is.  Call it on a scan:
+    asking for the partitions of a frame with a shuffle would run that shuffle.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
     if frame.rdd.getNumPartitions() >= cores:

@@ -155,10 +155,10 @@ def parse_documents(
 
 
 def input_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """Total size of the files below ``paths``; reads the listing, no content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths if isinstance(paths, str) else list(paths))
-    )
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    """Total size of the files below ``paths``, from the file system's own listing."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in [paths] if isinstance(paths, str) else paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        total += location.getFileSystem(hadoop).getContentSummary(location).getLength()
+    return total

@@ -16,9 +16,10 @@ from feedlake.operators import (
     map_rows,
     properties_flatten,
     record_count,
+    spread,
     typed_projection,
 )
-from feedlake.schemas import FLAT
+from feedlake.schemas import CORRUPT, FLAT
 from feedlake.sources import parse_documents
 
 
@@ -70,21 +71,26 @@ def test_extra_keys_are_dropped_and_absent_ones_null(texts):
 def test_geometry_wins_over_property_of_the_same_name(texts):
     (row,) = flat_rows(texts, document(feature("a", (1, 2, 3), depth=99, longitude=98)))
     assert (row.longitude, row.depth) == (1.0, 3.0)
-    # Also where the read schema is inferred and the property is there.
-    frame = texts(document(feature("a", (1, 2, 3), depth=99.0)))
+    # Also where the read schema has a property of that name.
     schema = (
-        "features array<struct<properties struct<code string, depth double>, "
-        "geometry struct<coordinates array<double>>>>"
-    ).replace("struct<properties struct", "struct<properties: struct").replace(
-        ", geometry struct", ", geometry: struct"
-    ).replace("code string, depth double", "code: string, depth: double").replace(
-        "coordinates array", "coordinates: array"
+        "features array<struct<properties: struct<code: string, depth: double>, "
+        "geometry: struct<coordinates: array<double>>>>"
     )
+    frame = texts(document(feature("a", (1, 2, 3), depth=99.0)))
     raw = frame.select(F.from_json("value", schema).alias("d")).select("d.*")
     lifted = properties_flatten(explode_features(raw)).first()
     assert lifted.asDict() == {"code": "a", "longitude": 1.0, "latitude": 2.0, "depth": 3.0}
 
 
+def test_text_in_place_of_a_number_is_malformed(texts):
+    docs = texts(document(feature("a", mag="strong", sig=1), feature("b")), document(feature("c")))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        flatten(parse_documents(docs)).collect()
+    parsed = parse_documents(docs, mode="PERMISSIVE")
+    assert parsed.filter(f"{CORRUPT} IS NOT NULL").count() == 1
+    assert "c" in {row.code for row in flatten(parsed).collect()}
+
+
 def test_feature_id_is_dropped_unless_kept(texts):
     (row,) = flat_rows(texts, document(feature("a")))
     assert "id" not in row.asDict()
@@ -169,3 +175,13 @@ def test_bounded_files_follow_the_size(spark, tmp_path):
         stored = spark.read.parquet(path)
         assert len(stored.inputFiles()) == files
         assert stored.count() == 5000
+
+
+def test_spread_leaves_large_frames_alone(spark):
+    wide = spark.range(0, 100, numPartitions=50)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 100, numPartitions=1)
+    cores = spark.sparkContext.defaultParallelism
+    for frame in (spread(narrow), spread(narrow, "id")):
+        assert frame.rdd.getNumPartitions() == cores
+        assert frame.count() == 100
