@@ -5,7 +5,7 @@ Every event becomes one feature; a document holds up to a fixed number of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
@@ -21,6 +21,9 @@ RUN_DATE = "20240201"
 
 FEATURES_PER_DOCUMENT = 500
 
+# The queries leave what they write in the scratch folder, so text is compressed.
+COMPRESSION = "gzip"
+
 # The event fields in the names of the feed; plain SQL.  Per event type:
 # error has time 0, click a negative update time, signup one past the year 9999;
 # purchase has no place and a time zone that is no number; click has no depth.
@@ -214,18 +217,26 @@ def documents(
     )
 
 
-_landed: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(
+    spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]
+) -> str:
+    """Folder of an input that several scan queries read; written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _written:
+        path = scratch_path(spark, label)
+        write(path)
+        _written[key] = path
+    return _written[key]
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing root with the documents of every day as daily runs.
+    """Landing root with the documents of every day as daily runs."""
 
-    It is the input of the scan queries and is written once per application.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        root = scratch_path(spark, "landing")
+    def write(root: str) -> None:
         by_day = documents(spark, sf_dir).write.partitionBy("ingest_date")
-        by_day.text(f"{root}/run_kind={DAILY}")
-        _landed[key] = root
-    return _landed[key]
+        by_day.text(f"{root}/run_kind={DAILY}", compression=COMPRESSION)
+
+    return written_once(spark, sf_dir, "landing", write)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feed_queries.feed import (
     AS_OF,
+    COMPRESSION,
     FLAT_SQL,
     RUN_DATE,
     SILVER_SQL,
@@ -49,6 +50,7 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
             table=name,
             documents=docs,
             as_of=AS_OF,
+            compression=COMPRESSION,
         )
     return spark.table(name)
 
@@ -68,6 +70,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             documents=docs.filter(part),
             as_of=AS_OF,
             silver_format="json",
+            compression=COMPRESSION,
         )
     return spark.table(name)
 
@@ -92,12 +95,15 @@ def daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines to silver lines, with the ingestion time as text."""
     root = scratch_path(spark, "raw")
-    land_documents(documents(spark, sf_dir), f"{root}/landing", DAILY, RUN_DATE)
+    land_documents(
+        documents(spark, sf_dir), f"{root}/landing", DAILY, RUN_DATE, compression=COMPRESSION
+    )
     report = run_silver(
         spark,
         landing=f"{root}/landing",
         silver=f"{root}/silver",
         as_of=AS_OF,
+        compression=COMPRESSION,
     )
     schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in FLAT.fields)
     return spark.read.schema(f"{schema}, area string, insert_date string").json(report.silver_path)

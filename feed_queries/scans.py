@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feed_queries.feed import (
     AS_OF,
+    COMPRESSION,
     FLAT_SQL,
     WAREHOUSE_SQL,
     documents,
     landing,
+    written_once,
 )
 from feedlake.operators import flatten
 from feedlake.plans import to_silver
@@ -32,10 +34,12 @@ _WITH_ID = f"SELECT CAST(event_id AS VARCHAR) AS id, {', '.join(_COLUMNS)} FROM
 
 def _delivered(spark: SparkSession, sf_dir: str) -> str:
     """All events as files with one document each; returns the folder."""
-    path = scratch_path(spark, "delivered")
-    docs = documents(spark, sf_dir, features_per_document=5000).select("value")
-    docs.write.option("maxRecordsPerFile", 1).text(path)
-    return path
+
+    def write(path: str) -> None:
+        docs = documents(spark, sf_dir, features_per_document=5000).select("value")
+        docs.write.option("maxRecordsPerFile", 1).text(path)
+
+    return written_once(spark, sf_dir, "delivered", write)
 
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,9 +67,13 @@ def dated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Write all events as JSON-lines silver; returns the folder."""
-    raw = read_documents(spark, landing(spark, sf_dir))
-    return write_jsonl(to_silver(flatten(raw), as_of=AS_OF), scratch_path(spark, "silver"))
+    """All events as JSON-lines silver; returns the folder."""
+
+    def write(path: str) -> None:
+        rows = to_silver(flatten(read_documents(spark, landing(spark, sf_dir))), as_of=AS_OF)
+        write_jsonl(rows, path, compression=COMPRESSION)
+
+    return written_once(spark, sf_dir, "silver", write)
 
 
 def silver_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feed_queries.feed import (
     AS_OF,
+    COMPRESSION,
     FLAT_SQL,
     RUN_DATE,
     SILVER_SQL,
@@ -40,7 +41,7 @@ from feedlake.sources import (
 
 def _silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read_documents(spark, landing(spark, sf_dir))
-    return to_silver(flatten(raw, keep=[]), as_of=AS_OF)
+    return to_silver(flatten(raw), as_of=AS_OF)
 
 
 def landing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +49,8 @@ def landing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "landed")
     docs = documents(spark, sf_dir)
     early = F.col("ingest_date") < "20240116"
-    land_documents(docs.filter(early), root, BACKFILL, RUN_DATE)
-    land_documents(docs.filter(~early), root, DAILY, RUN_DATE)
+    for kind, part in ((BACKFILL, early), (DAILY, ~early)):
+        land_documents(docs.filter(part), root, kind, RUN_DATE, compression=COMPRESSION)
     columns = ("mag", "place", "time")
     runs = [
         flatten(
@@ -68,7 +69,8 @@ def jsonl_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "silver")
     rows = _silver_rows(spark, sf_dir)
     paths = [
-        write_silver(rows, root, kind, RUN_DATE, fmt="json") for kind in (BACKFILL, DAILY)
+        write_silver(rows, root, kind, RUN_DATE, fmt="json", compression=COMPRESSION)
+        for kind in (BACKFILL, DAILY)
     ]
     return read_silver(spark, paths)
 
@@ -83,9 +85,10 @@ def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as text lines, then their rows as JSON lines."""
-    raw = write_documents_text(documents(spark, sf_dir), scratch_path(spark, "text"))
-    docs = parse_documents(read_text_documents(spark, raw))
-    path = write_jsonl(flatten(docs), scratch_path(spark, "rows"))
+    text, lines = scratch_path(spark, "text"), scratch_path(spark, "rows")
+    write_documents_text(documents(spark, sf_dir), text, compression=COMPRESSION)
+    docs = parse_documents(read_text_documents(spark, text))
+    path = write_jsonl(flatten(docs), lines, compression=COMPRESSION)
     return spark.read.schema(FLAT).json(path)
 
 

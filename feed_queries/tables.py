@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feed_queries.feed import AS_OF, RUN_DATE, landing, table
+from feed_queries.feed import AS_OF, COMPRESSION, RUN_DATE, landing, table
 from feed_queries.scans import AUTODETECT_SQL, silver_lines
 from feedlake.operators import flatten
 from feedlake.plans import load_warehouse, to_silver
@@ -83,9 +83,9 @@ def autodetect_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_to_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run's JSON-lines silver to the table, types inferred."""
-    silver = scratch_path(spark, "silver")
-    raw = read_documents(spark, landing(spark, sf_dir))
-    write_silver(to_silver(flatten(raw), as_of=AS_OF), silver, DAILY, RUN_DATE, fmt="json")
+    silver = scratch_path(spark, "run")
+    rows = to_silver(flatten(read_documents(spark, landing(spark, sf_dir))), as_of=AS_OF)
+    write_silver(rows, silver, DAILY, RUN_DATE, fmt="json", compression=COMPRESSION)
     name = fresh_table(spark, "warehouse")
     load_warehouse(spark, silver=silver, table=name, run_date=RUN_DATE)
     return spark.table(name)

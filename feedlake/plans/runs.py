@@ -67,6 +67,7 @@ def run_feed(
     area: str = "regex",
     epoch: str = "guarded",
     silver_format: str = "parquet",
+    compression: str = "none",
     multi_line: bool = False,
     feature_start: str | None = None,
     strict: bool = True,
@@ -81,12 +82,15 @@ def run_feed(
     file with ``multi_line``, or per file and shared by many tasks with a
     ``feature_start`` (see :func:`feedlake.sources.read_split_documents`).
     ``run_date`` defaults to the day of ``as_of``.  ``area`` and ``epoch`` are
-    those of :func:`feedlake.plans.to_silver`.  ``count_table=False`` saves the
+    those of :func:`feedlake.plans.to_silver`.  ``compression`` is that of landed
+    text and JSON-lines silver.  ``count_table=False`` saves the
     look into every file of a large table that the row report takes.
     """
     run_date = run_date or run_tag(as_of)
     if documents is not None:
-        landed = land_documents(documents, landing, run_kind, run_date)
+        landed = land_documents(
+            documents, landing, run_kind, run_date, compression=compression
+        )
         multi_line, feature_start = False, None
     else:
         landed = run_path(landing, run_kind, run_date)
@@ -96,7 +100,9 @@ def run_feed(
         raw = read_documents(spark, landed, multi_line=multi_line, mode=mode)
     rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
     rows, observation = counted(rows, f"{run_kind}-{run_date}")
-    silver_path = write_silver(rows, silver, run_kind, run_date, fmt=silver_format)
+    silver_path = write_silver(
+        rows, silver, run_kind, run_date, fmt=silver_format, compression=compression
+    )
     loaded = read_silver(spark, silver_path, fmt=silver_format)
     _LOADS[run_kind](loaded, table, load_id=load_id)
     return RunReport(
@@ -135,6 +141,7 @@ def run_silver(
     epoch: str = "guarded",
     stamp: str = "text",
     silver_format: str = "json",
+    compression: str = "none",
     strict: bool = True,
     mode: str = "FAILFAST",
 ) -> RunReport:
@@ -144,7 +151,9 @@ def run_silver(
     flat = flatten(parse_documents(texts, mode=mode), strict=strict)
     rows = to_silver(flat, area=area, epoch=epoch, stamp=stamp, as_of=as_of)
     rows, observation = counted(rows, f"silver-{run_date}")
-    silver_path = write_silver(rows, silver, run_kind, run_date, fmt=silver_format)
+    silver_path = write_silver(
+        rows, silver, run_kind, run_date, fmt=silver_format, compression=compression
+    )
     return RunReport(
         run_kind=run_kind,
         run_date=run_date,

@@ -56,6 +56,16 @@ def test_json_lines(spark, tmp_path):
     assert sorted(map(json.loads, lines), key=lambda r: r["a"]) == [{"a": 1}, {"a": 2, "b": "é\n"}]
 
 
+def test_compressed_text_reads_back(spark, texts, tmp_path):
+    text = document(feature("a", place="é"))
+    path = land_documents(texts(text), str(tmp_path), DAILY, "20240101", compression="gzip")
+    assert all(name.endswith(".gz") for name in spark.read.text(path).inputFiles())
+    assert [r.value for r in read_text_documents(spark, path).collect()] == [text]
+    rows = spark.createDataFrame([(1, "x")], "a int, b string")
+    path = write_silver(rows, str(tmp_path), DAILY, "20240101", fmt="json", compression="gzip")
+    assert [tuple(r) for r in spark.read.json(path).collect()] == [(1, "x")]
+
+
 def test_unknown_silver_format(spark, tmp_path):
     with pytest.raises(ValueError, match="csv"):
         write_silver(spark.range(1), str(tmp_path), DAILY, "20240101", fmt="csv")
