@@ -27,20 +27,24 @@ def feed_session(
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is missing a temporary folder is made, but only when the
-    whole of Spark runs on this machine.
+    Where the setting is missing a temporary folder is made, one per application,
+    but only when the whole of Spark runs on this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="feedlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_scratch:
+        _local_scratch[application] = tempfile.mkdtemp(prefix="feedlake-")
+    return _local_scratch[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

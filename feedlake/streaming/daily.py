@@ -36,11 +36,14 @@ def start_daily_stream(
     epoch: str = "guarded",
     silver_format: str = "parquet",
     max_files_per_batch: int | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start taking all landing files that are there now and not yet taken.
 
     ``stream_name`` tells the loads of several streams into one table apart; it
-    defaults to a digest of the checkpoint folder.
+    defaults to a digest of the checkpoint folder.  A large backlog is taken in
+    several batches with ``max_files_per_batch`` or ``max_bytes_per_batch`` (one
+    of them).
     """
     name = stream_name or hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     write = {"parquet": write_parquet, "json": write_jsonl}[silver_format]
@@ -55,6 +58,8 @@ def start_daily_stream(
     reader = spark.readStream.schema(document_schema(keep_id=False)).option("mode", "FAILFAST")
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if max_bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
     documents = reader.json(f"{landing.rstrip('/')}/run_kind={DAILY}")
     rows = to_silver(flatten(documents), area=area, epoch=epoch, as_of=as_of)
     return (

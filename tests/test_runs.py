@@ -150,6 +150,16 @@ def test_stream_batch_that_runs_again_changes_nothing(spark, texts, lake, tmp_pa
     assert codes(spark) == ["a", "b"]
 
 
+@pytest.mark.parametrize("limit", [{"max_files_per_batch": 1}, {"max_bytes_per_batch": 1}])
+def test_stream_backlog_in_several_batches(spark, texts, lake, tmp_path, limit):
+    for day in ("20241021", "20241022", "20241023"):
+        land_documents(texts(document(quake(day))), lake["landing"], DAILY, day)
+    run_daily_stream(spark, checkpoint=str(tmp_path / "checkpoint"), timeout=120, **limit, **lake)
+    stored = spark.table("lake.feed")
+    assert codes(spark) == ["20241021", "20241022", "20241023"]
+    assert stored.select("load_id").distinct().count() == 3
+
+
 def test_two_streams_share_a_table(spark, texts, lake, tmp_path):
     land_documents(texts(document(quake("a"))), lake["landing"], DAILY, "20241021")
     for name in ("one", "two"):
