@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.functions import run_tag
 from feedlake.operators.flatten import flatten
-from feedlake.operators.layout import counted
+from feedlake.operators.layout import bounded_files, counted
 from feedlake.plans.silver import to_silver
 from feedlake.sinks.files import land_documents, write_silver
 from feedlake.sinks.tables import (
@@ -26,6 +26,7 @@ from feedlake.sinks.tables import (
 from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
+    input_bytes,
     parse_documents,
     read_documents,
     read_split_documents,
@@ -68,6 +69,7 @@ def run_feed(
     epoch: str = "guarded",
     silver_format: str = "parquet",
     compression: str = "none",
+    file_bytes: int | None = None,
     multi_line: bool = False,
     feature_start: str | None = None,
     strict: bool = True,
@@ -83,7 +85,8 @@ def run_feed(
     ``feature_start`` (see :func:`feedlake.sources.read_split_documents`).
     ``run_date`` defaults to the day of ``as_of``.  ``area`` and ``epoch`` are
     those of :func:`feedlake.plans.to_silver`.  ``compression`` is that of landed
-    text and JSON-lines silver.  ``count_table=False`` saves the
+    text and JSON-lines silver.  ``file_bytes`` sets how much landed text goes into
+    one silver file; without it every scan task writes its own.  ``count_table=False`` saves the
     look into every file of a large table that the row report takes.
     """
     run_date = run_date or run_tag(as_of)
@@ -99,6 +102,8 @@ def run_feed(
     else:
         raw = read_documents(spark, landed, multi_line=multi_line, mode=mode)
     rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
+    if file_bytes is not None:
+        rows = bounded_files(rows, input_bytes(spark, landed), file_bytes=file_bytes)
     rows, observation = counted(rows, f"{run_kind}-{run_date}")
     silver_path = write_silver(
         rows, silver, run_kind, run_date, fmt=silver_format, compression=compression

@@ -8,8 +8,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-# ANSI mode stays on: a wrong cast is an error unless the code says try_cast.
+# ANSI mode stays on: a wrong cast is an error unless the code says try_cast.  Scan
+# tasks take more text than by default, as 512 MB of JSON make some 50 MB of Parquet;
+# small inputs are shared by all cores all the same.
 SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",

@@ -29,7 +29,10 @@ def ensure_database(spark: SparkSession, table: str, location: str | None = None
 def load_overwrite(
     rows: DataFrame, table: str, *, load_id: str | None = None, fmt: str = "parquet"
 ) -> None:
-    """Replace the content of ``table``; create it if missing."""
+    """Replace the content of ``table``; create it if missing.
+
+    Spark drops the old table before it writes the new one.
+    """
     ensure_database(rows.sparkSession, table)
     if load_id is None:
         rows.write.format(fmt).mode("overwrite").saveAsTable(table)

@@ -78,6 +78,15 @@ def test_backfill_then_daily_is_the_sum(spark, texts, lake):
     assert codes(spark) == ["a", "b", "c", "c"]
 
 
+def test_silver_files_follow_the_landed_size(spark, texts, lake):
+    docs = texts(*[document(quake(f"c{i}")) for i in range(40)]).repartition(5)
+    report = run_backfill(spark, documents=docs, as_of=AS_OF, file_bytes=1 << 20, **lake)
+    assert len(spark.read.parquet(report.silver_path).inputFiles()) == 1
+    report = run_backfill(spark, documents=docs, as_of=AS_OF, file_bytes=4096, **lake)
+    assert 2 < len(spark.read.parquet(report.silver_path).inputFiles()) <= 5
+    assert (report.records, report.table_rows) == (40, 40)
+
+
 def test_daily_with_a_load_id_can_be_repeated(spark, texts, lake):
     run_backfill(spark, documents=texts(document(quake("a"))), as_of=AS_OF, load_id="base", **lake)
     for _ in range(2):
