@@ -68,11 +68,26 @@ def test_regular_expression_runs_once_per_value(spark):
     assert "rlike" not in text.lower()
 
 
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """The given tables in as many files as a large table has per core."""
+    root = tmp_path_factory.mktemp("many")
+    files = 2 * spark.sparkContext.defaultParallelism
+    for name in ("events", "orders", "documents", "customer"):
+        rows = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        rows.repartition(files).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
 @pytest.mark.parametrize(
     "name",
     """q_silver_rows q_text_scan q_split_scan q_dated_scan q_typed_projection q_epoch_guarded
     q_epoch_session q_area_regex q_area_positional q_to_json q_flat_map q_backfill q_single_file
     """.split(),
 )
-def test_queries_do_not_shuffle(spark, name):
-    assert "Exchange" not in plan(registry.queries()[name](spark, SMALL))
+def test_queries_do_not_shuffle(spark, many_files, name):
+    assert "Exchange" not in plan(registry.queries()[name](spark, many_files))
+
+
+def test_a_table_in_one_file_is_spread_over_the_cores(spark):
+    assert "rangepartitioning" in plan(registry.queries()["q_silver_rows"](spark, SMALL))
