@@ -33,7 +33,8 @@ def epoch_session(millis: Column | str) -> Column:
     timestamp can hold, give NULL.
     """
     seconds = (as_column(millis).try_cast("double") / 1000).try_cast("bigint")
-    return F.from_unixtime(F.when(F.abs(seconds) <= _LAST_TIMESTAMP_SECOND, seconds))
+    bounded = seconds.between(-_LAST_TIMESTAMP_SECOND, _LAST_TIMESTAMP_SECOND)
+    return F.from_unixtime(F.when(bounded, seconds))
 
 
 def _guarded_millis(millis: Column) -> Column:

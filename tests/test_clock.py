@@ -33,6 +33,8 @@ EPOCHS = [
     ("nan", None, None, True),
     ("inf", None, None, False),
     ("1e300", None, None, False),
+    ("-9223372036854775808000", None, None, True),
+    ("-1e300", None, None, True),
     ("1.729498113226e12", GOOD_TEXT, GOOD_TEXT, True),
     ("", None, None, False),
     ("1729498113226d", GOOD_TEXT, None, False),
