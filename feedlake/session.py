@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -53,3 +55,27 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below :func:`scratch_root` that no other call returns."""
     return f"{scratch_root(spark)}/feedlake-{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    User functions are pickled by reference to its modules, so a cluster on whose
+    machines the package is not installed needs a copy.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="feedlake-"), "feedlake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
