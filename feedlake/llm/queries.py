@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import suffix_decontamination
+from feedlake.llm import ngram_join, suffix_decontamination
 from feedlake.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard of 0.9 or more."""
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
+
+
 def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in 10-word windows of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,5 +33,6 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op8_ngram_join": (op8_ngram_join, None),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
 }
