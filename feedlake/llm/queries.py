@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import ngram_join, suffix_decontamination
+from feedlake.llm import ngram_join, robust_outliers, suffix_decontamination
 from feedlake.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of each document and whether the rules keep it."""
+    docs = table(spark, sf_dir, "documents")
+    judged = robust_outliers.judged(docs, keep=["doc_id"], reuse=True)
+    return judged.select("doc_id", "verdict.*")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard of 0.9 or more."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
@@ -33,6 +40,7 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_robust_outliers": (op1_robust_outliers, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
 }
