@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import ngram_join, robust_outliers, suffix_decontamination
-from feedlake.llm.frames import table
+from feedlake.llm import ngram_join, robust_outliers, suffix_decontamination, toxicity_grammar
+from feedlake.llm.frames import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,24 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "verdict.*")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity_grammar.Model:
+    """Learned from the labels of four fifths of the documents."""
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    return toxicity_grammar.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = toxicity_grammar.scored(docs, toxicity_model(spark, sf_dir))
+    return rated.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard of 0.9 or more."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
@@ -41,6 +59,7 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
+    "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
 }
