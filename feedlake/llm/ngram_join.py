@@ -151,10 +151,12 @@ def _enough(overlap: str, percent: int) -> str:
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a < b) of rows that share a prefix n-gram and pass two filters.
 
-    Length: the smaller set can hold enough of the larger one.  Positional: what
-    comes before the shared n-gram, itself, and what comes after it are enough.
+    Length: the smaller set can hold enough of the larger one.  Positional: the
+    shared n-gram and what comes after it are enough.  That holds for the first
+    n-gram that two similar sets share, so a join that has the rows of all shared
+    n-grams of a pair loses none.
     """
-    most = "least(pa, pb) + least(na - pa, nb - pb)"
+    most = "least(na - pa, nb - pb)"
     return (
         rows.filter("a <> b")
         .filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
@@ -267,19 +269,21 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFr
 
 def _class_components(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     entries = _entries(classes)
-    lists = (
-        entries.groupBy("gram")
-        .agg(
-            F.count(F.lit(1)).alias("members"),
-            F.min(F.struct(F.xxhash64("doc_id", "gram").alias("draw"), "doc_id", "n", "pos")).alias("hub"),
-        )
-        .filter("members > 1")
+    repeated = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = written(entries.join(repeated.select("gram"), "gram"), "shared")
+    # Two members that all others are paired with: the one with the fewest rarer
+    # n-grams, which is the likely origin of near copies, and one drawn at random.
+    draw = F.xxhash64("doc_id", "gram").alias("draw")
+    rest = ["doc_id", "n", "pos"]
+    hubs = shared.groupBy("gram").agg(
+        F.min(F.struct("pos", draw, "doc_id", "n")).alias("central"),
+        F.min(F.struct(draw, *rest)).alias("drawn"),
     )
-    shared = written(entries.join(lists, "gram"), "shared")
-    spoke = shared.selectExpr(
-        "doc_id AS a", "n AS na", "pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pos AS pb", "gram"
+    hubs = hubs.select("gram", F.explode(F.array(*[F.struct(*[f"{h}.{c}" for c in rest]) for h in ("central", "drawn")])).alias("hub"))
+    spokes = shared.join(hubs, "gram").selectExpr(
+        "doc_id AS a", "n AS na", "pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pos AS pb"
     )
-    first = written(_candidates(spoke, percent), "pairs")
+    first = written(_candidates(spokes, percent), "pairs")
     links = _linked(first, classes, docs, size, percent)
     near = connected(links)
     # What is left: pairs across components.
@@ -287,20 +291,20 @@ def _class_components(classes: DataFrame, docs: DataFrame, size: int, percent: i
     placed = written(
         shared.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed"
     )
-    mixed_lists = (
+    split = (
         placed.groupBy("gram")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.min(F.when(F.col("doc_id") == F.col("hub.doc_id"), F.col("component"))).alias("main"),
+            F.min(F.struct("pos", draw, "component")).alias("central"),
         )
         .filter("low < high")
-        .select("gram", "main")
+        .select("gram", F.col("central.component").alias("main"))
     )
-    members = placed.join(mixed_lists, "gram")
+    members = placed.join(split, "gram")
     strays = members.filter("component <> main")
     left = strays.selectExpr("gram", "doc_id AS a", "n AS na", "pos AS pa", "component AS ca")
     right = members.selectExpr("gram", "doc_id AS b", "n AS nb", "pos AS pb", "component AS cb")
-    rest = _candidates(left.join(right, "gram").filter("ca <> cb"), percent).join(first, ["a", "b"], "left_anti")
-    more = _linked(written(rest, "pairs"), classes, docs, size, percent)
-    return connected(links.union(more))
+    across = _candidates(left.join(right, "gram").filter("ca <> cb"), percent).join(first, ["a", "b"], "left_anti")
+    more = _linked(written(across, "pairs"), classes, docs, size, percent)
+    return connected(links.union(more)) if more.head(1) else near

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import ngram_join, robust_outliers, suffix_decontamination, toxicity_grammar
+from feedlake.llm import (
+    ngram_join,
+    robust_outliers,
+    suffix_decontamination,
+    token_archive,
+    toxicity_grammar,
+)
 from feedlake.llm.frames import remainder, table
+from feedlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +46,22 @@ def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of the ids of each document, read back from the archive."""
+    path = token_archive.write_archive(
+        table(spark, sf_dir, "documents"),
+        scratch_path(spark, "archive"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    back = token_archive.read_archive(spark, path)
+    return back.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard of 0.9 or more."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
@@ -60,6 +84,7 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
+    "op3_token_archive": (op3_token_archive, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
 }
