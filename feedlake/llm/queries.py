@@ -14,8 +14,9 @@ from feedlake.llm import (
     suffix_decontamination,
     token_archive,
     toxicity_grammar,
+    warc_segments,
 )
-from feedlake.llm.frames import remainder, table
+from feedlake.llm.frames import remainder, table, written
 from feedlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,15 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
 
 
+def op9_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record type and payload of each page, read back from the WARC files written of all."""
+    path = warc_segments.write_archive(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    rows = written(warc_segments.read_archive(spark, path).drop("payload"), "warc-rows")
+    return warc_segments.with_referred(rows).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that stand in 10-word windows of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,10 +91,33 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# SHA-1 in base32: 32 digits of 5 bits each, taken from the 40 hex digits.
+OP9_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex
+  FROM pages
+),
+digits AS (
+  SELECT hex, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST(((('0x' || substr(hex || '00', 1 + (5 * i) // 4, 3))::INTEGER
+        >> (7 - (5 * i) % 4)) & 31) AS INTEGER), 1), '' ORDER BY i) AS digest
+  FROM (SELECT DISTINCT hex FROM payloads) CROSS JOIN range(32) AS r(i)
+  GROUP BY hex
+)
+SELECT p.page_id, CAST(octet_length(p.payload) AS BIGINT) AS payload_bytes,
+  d.digest AS payload_digest,
+  CASE WHEN p.page_id = max(p.page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id < max(p.page_id) OVER w THEN max(p.page_id) OVER w END AS refers_to
+FROM payloads p JOIN digits d ON p.hex = d.hex
+WINDOW w AS (PARTITION BY p.hex)
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op3_token_archive": (op3_token_archive, None),
     "op8_ngram_join": (op8_ngram_join, None),
+    "op9_warc_segments": (op9_warc_segments, OP9_SQL),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
 }
