@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import (
     ngram_join,
     robust_outliers,
+    site_templates,
     suffix_decontamination,
     token_archive,
     toxicity_grammar,
@@ -63,6 +64,12 @@ def op3_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    texts = site_templates.main_texts(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_templates")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a Jaccard of 0.9 or more."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
@@ -117,6 +124,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op3_token_archive": (op3_token_archive, None),
+    "op7_site_templates": (op7_site_templates, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
     "op10_suffix_decontamination": (op10_suffix_decontamination, None),
