@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import (
+    attention_lm,
     ngram_join,
     robust_outliers,
     site_templates,
@@ -64,6 +65,16 @@ def op3_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of each document, learned from six sevenths of them."""
+    rated = attention_lm.scores(
+        table(spark, sf_dir, "documents"),
+        remainder("doc_id", 7) != 2,
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    return rated.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
 def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     texts = site_templates.main_texts(table(spark, sf_dir, "pages"))
@@ -124,6 +135,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op3_token_archive": (op3_token_archive, None),
+    "op5_attention_lm": (op5_attention_lm, None),
     "op7_site_templates": (op7_site_templates, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
