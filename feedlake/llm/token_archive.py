@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import quoted
+from feedlake.llm.words import EXACT, span_hashes, text_buffers
 
 END_ID = 0
 
@@ -47,7 +48,8 @@ SAMPLE_DOCS = 1_000
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 * 1024
 
-BLOCK_BYTES = 4 << 20
+PAYLOAD_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LEVEL = 3
 
 _FRAMES = "part int, doc_id long, n_ids long, crc long, frame binary"
@@ -58,15 +60,48 @@ _BLOCKS = (
 _READ = "part int, doc_id long, start long, ids binary"
 
 
+# Kinds of bytes, for finding places that no token spans.
+_LETTER, _DIGIT, _MARK, _BLANK, _FEED, _LATIN = 1, 2, 3, 4, 5, 6
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[0x20], _KIND[0x0A], _KIND[0xC3] = _BLANK, _FEED, _LATIN
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where a UTF-8 text can be cut so that its pieces, byte-level encoded alone, give its ids.
+
+    Byte-level pre-tokenization keeps letters, digits, other signs and white space apart,
+    and gives a word the one blank before it.  So no token spans the place before a blank
+    or line feed that follows a letter, digit or sign, between a letter and a sign, or on
+    either side of a line feed between two such characters.  Letters are those of ASCII and Latin-1;
+    other characters are not looked at, and not cut from their neighbours.
+    """
+    kind = _KIND[data]
+    before = np.zeros_like(kind)
+    before[1:] = kind[:-1]
+    # The second byte of a Latin-1 letter, C3 80 to C3 BF without the signs C3 97 and C3 B7.
+    latin = np.zeros(len(data), bool)
+    latin[2:] = (kind[:-2] == _LATIN) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7)
+    letter = (before == _LETTER) | latin
+    solid = letter | (before == _DIGIT) | (before == _MARK)
+    blank = (kind == _BLANK) | (kind == _FEED)
+    goes_on = (kind == _LETTER) | (kind == _DIGIT) | (kind == _MARK)
+    parted = blank & solid
+    alone = np.zeros(len(data), bool)
+    alone[1:] = parted[:-1]
+    return parted | ((kind == _MARK) & letter) | ((before == _FEED) & alone & goes_on)
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file, remembering the ids of pieces between blanks.
+    """Ids of texts by a tokenizer file, remembering the ids of pieces.
 
-    With byte-level pre-tokenization no token spans a boundary between a character
-    that is no white space and a blank or line feed after it, so pieces cut there can
-    be encoded alone.  Other tokenizers get whole texts.
+    Texts are cut at :func:`cuts` if the tokenizer is a plain byte-level one; other
+    tokenizers get whole texts.  One encoder lives per process and tokenizer.
     """
 
-    MOST_PIECES = 500_000
+    MOST_PIECES = 700_000
     _made: dict[str, Encoder] = {}
 
     def __init__(self, source: str):
@@ -85,33 +120,62 @@ class Encoder:
             and not spec.get("normalizer")
             and not spec.get("post_processor")
         )
-        self.pieces: dict[str, bytes] = {}
-        self.split = re.compile(r"(?<=\S)(?=[ \n])").split
+        self.pieces: dict[int, bytes] = {}
 
     @classmethod
     def of(cls, source: str) -> Encoder:
-        """One encoder per process and tokenizer."""
         key = hashlib.sha256(source.encode()).hexdigest()
         if key not in cls._made:
             cls._made[key] = cls(source)
         return cls._made[key]
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def ids(self, text: str) -> np.ndarray:
+        ids = [one.ids for one in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [struct.pack(f"={len(one)}I", *one) for one in ids]
+
+    def blocks(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """First row, ids of all texts one after the other, and the end of each, block by block."""
+        data, bounds = text_buffers(column)
+        row, rows = 0, len(bounds) - 1
+        while row < rows:
+            last = int(np.searchsorted(bounds, bounds[row] + BLOCK_BYTES, "right")) - 1
+            last = min(max(last, row + 1), rows)
+            part = data[bounds[row] : bounds[last]]
+            yield row, *self._block(part, bounds[row : last + 1] - bounds[row])
+            row = last
+
+    def _block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        text = data.tobytes()
         if not self.by_piece:
-            return np.frombuffer(self._encoded([text])[0], "<u4")
-        pieces = self.split(text)
-        known = self.pieces
-        new = list({piece for piece in pieces if piece not in known})
+            parts = self._encoded([text[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])
+            ends = np.cumsum([len(p) // 4 for p in parts])
+            return np.frombuffer(b"".join(parts), np.uint32), ends
+        here = cuts(data)
+        here[bounds[:-1][bounds[:-1] < len(data)]] = True
+        starts = np.flatnonzero(here)
+        stops = np.append(starts[1:], len(data)) if len(starts) else starts
+        hashes = span_hashes(data, starts, stops, EXACT)
+        unique, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        # Pieces are remembered until there are MOST_PIECES of them: the frequent ones
+        # come early, later ones are encoded once per block.
+        keys = unique.tolist()
+        parts = [*map(self.pieces.get, keys)]
+        new = [i for i, part in enumerate(parts) if part is None]
         if new:
-            if len(known) + len(new) > self.MOST_PIECES:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._encoded(new)))
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
+            at = first[new]
+            spans = zip(starts[at].tolist(), stops[at].tolist())
+            found = self._encoded([text[a:b].decode() for a, b in spans])
+            for i, part in zip(new, found):
+                parts[i] = part
+            room = self.MOST_PIECES - len(self.pieces)
+            self.pieces.update((keys[i], parts[i]) for i in new[: max(room, 0)])
+        sizes = np.array([len(p) // 4 for p in parts], np.int64)
+        offsets = (np.cumsum(sizes) - sizes)[place]
+        sizes = sizes[place]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.frombuffer(b"".join(parts), np.uint32)
+        flat = ids[np.arange(total[-1]) + np.repeat(offsets - total[:-1], sizes)]
+        return flat, total[np.searchsorted(starts, bounds[1:])]
 
 
 def _id_bytes(source: str) -> int:
@@ -121,9 +185,13 @@ def _id_bytes(source: str) -> int:
     return 2 if most < 1 << 16 else 4
 
 
-def _serialized(encoder: Encoder, text: str | None, width: int) -> np.ndarray:
-    ids = encoder.ids(text) if text else np.empty(0, "<u4")
-    return np.append(ids, np.uint32(END_ID)).astype(f"<u{width}")
+def _serialized(encoder: Encoder, column: pa.Array, width: int) -> Iterator[tuple[int, list[bytes]]]:
+    """First row of a block and the id array of each of its texts, the end id included."""
+    for row, flat, ends in encoder.blocks(column):
+        ids = np.insert(flat.astype(f"<u{width}"), ends, END_ID)
+        stops = (ends + np.arange(1, len(ends) + 1)) * width
+        raw = ids.tobytes()
+        yield row, [raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())]
 
 
 def train_dictionary(docs: DataFrame, source: str, width: int) -> bytes:
@@ -135,8 +203,8 @@ def train_dictionary(docs: DataFrame, source: str, width: int) -> bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(shared.value)
         for batch in batches:
-            rows = [_serialized(encoder, text, width).tobytes() for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
+            for _, rows in _serialized(encoder, batch.column(0), width):
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 
     samples = [row[0] for row in chosen.select("text").mapInArrow(run, "ids binary").collect()]
     try:
@@ -157,7 +225,7 @@ def write_archive(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = PAYLOAD_BYTES,
 ) -> str:
     """Encode ``docs`` with the tokenizer file ``tokenizer`` and write the archive to ``path``."""
     spark = docs.sparkSession
@@ -175,25 +243,18 @@ def write_archive(
         source, dictionary, bounds = shared.value
         encoder = Encoder.of(source)
         packer = zstandard.ZstdCompressor(level=LEVEL, **_compression(dictionary))
-        for whole in batches:
-            for begin in range(0, len(whole), 500):
-                batch = whole.slice(begin, 500)
-                sizes, sums, frames = [], [], []
-                for body in batch.column(1).to_pylist():
-                    ids = _serialized(encoder, body, width)
-                    sizes.append(len(ids))
-                    sums.append(zlib.crc32(ids.tobytes()))
-                    frames.append(packer.compress(ids.tobytes()))
-                keys = batch.column(0)
+        for batch in batches:
+            for row, arrays in _serialized(encoder, batch.column(1), width):
+                keys = batch.column(0).slice(row, len(arrays))
                 part = np.searchsorted(bounds, keys.fill_null(0).to_numpy(), "right")
                 part[keys.is_null().to_numpy(zero_copy_only=False)] = 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(part, pa.int32()),
                         keys,
-                        pa.array(sizes, pa.int64()),
-                        pa.array(sums, pa.int64()),
-                        pa.array(frames, pa.binary()),
+                        pa.array([len(ids) // width for ids in arrays], pa.int64()),
+                        pa.array([zlib.crc32(ids) for ids in arrays], pa.int64()),
+                        pa.array([packer.compress(ids) for ids in arrays], pa.binary()),
                     ],
                     names=["part", "doc_id", "n_ids", "crc", "frame"],
                 )

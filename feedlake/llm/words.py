@@ -21,8 +21,9 @@ _ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-# One random value per byte; an upper-case ASCII letter has that of its lower case.
-_VALUE = _SEED.integers(1 << 63, size=256, dtype=np.uint64)[_LOWER] * np.uint64(2) + np.uint64(1)
+# One random value per byte; for words an upper-case ASCII letter has that of its lower case.
+EXACT = _SEED.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_VALUE = EXACT[_LOWER]
 
 # Bytes of words that are parted by ASCII white space: [^\x20\x09-\x0D]+
 SPACED = np.ones(256, bool)
@@ -122,14 +123,21 @@ def _block(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray, first: int
     after = inside.copy()
     after[bounds] = False
     ends = np.flatnonzero(inside[:-1] & ~after[1:]) + 1
-    up, down = _Powers.of(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up[:-1], out=total[1:])
-    hashes = mixed((total[ends] - total[starts]) * down[starts])
+    hashes = span_hashes(data, starts, ends)
     counts = np.diff(np.searchsorted(starts, bounds))
     return Block(first, data, bounds, starts, ends, hashes, counts)
 
 
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUE
+) -> np.ndarray:
+    """Hashes of the spans of ``data`` from ``starts`` to ``ends``, by the values of their bytes."""
+    up, down = _Powers.of(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values[data] * up[:-1], out=total[1:])
+    return mixed((total[ends] - total[starts]) * down[starts])
+
+
 def text_hashes(text: str, letters: np.ndarray = SPACED) -> np.ndarray:
     """Word hashes of one text."""
     return next(iter(word_blocks(pa.array([text]), letters))).hashes
