@@ -28,6 +28,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def once(sql: str) -> str:
+    """SQL whose value is computed where it stands, once per row.
+
+    The optimizer inlines a column into its users and pushes filters below it, also
+    into functions over array elements, where it would be computed per element.  It
+    leaves alone what is not deterministic, as a row number is not.
+    """
+    return f"if(monotonically_increasing_id() < 0, NULL, {sql})"
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` as a Parquet table in the shared folder: a cut of its lineage."""
     path = scratch_path(frame.sparkSession, label)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm import (
     attention_lm,
+    license_scan,
     ngram_join,
     robust_outliers,
     site_templates,
@@ -75,6 +76,11 @@ def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumn("held_out", remainder("doc_id", 7) == 2)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in each document."""
+    return license_scan.found_notices(table(spark, sf_dir, "documents"), license_scan.notices(spark))
+
+
 def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     texts = site_templates.main_texts(table(spark, sf_dir, "pages"))
@@ -136,6 +142,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op3_token_archive": (op3_token_archive, None),
     "op5_attention_lm": (op5_attention_lm, None),
+    "op6_license_scan": (op6_license_scan, None),
     "op7_site_templates": (op7_site_templates, None),
     "op8_ngram_join": (op8_ngram_join, None),
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
