@@ -11,8 +11,8 @@
 4. The links are closed to components.
 
 A list of thousands of near copies would have millions of pairs.  First every
-member is paired with one member only, chosen anew in each list; what that links
-is one component.  Then exactly the pairs that are left, those across components,
+document is paired with two members of its lists only; what that links is one
+component.  Then exactly the pairs that are left, those across components,
 are made: all members outside the component that a list mostly consists of, with
 all members of the list.  Pairs within a component cannot change the result.
 """
@@ -35,10 +35,12 @@ PERCENT = 90
 
 SKETCH_BITS = 20
 _SECTIONS = 64
-_BINS = 32
+
+# N-grams per bin of a set's outline, at least; less than twice as many.
+_PER_BIN = 4
 
 _COUNTS = "section int, counts binary"
-_SETS = "doc_id long, n int, digest binary, prefix array<long>, bins array<int>"
+_SETS = "doc_id long, n int, digest binary, prefix array<long>, outline binary"
 
 
 def sets_of(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -59,6 +61,20 @@ def sets_of(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield block.first + i, np.empty(0, np.uint64)
 
 
+def outline(grams: np.ndarray) -> bytes:
+    """How many n-grams lie in each of 2**k equal ranges of hash values."""
+    k = max(0, (len(grams) // _PER_BIN).bit_length() - 1)
+    where = (grams >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(grams), np.int64)
+    return np.minimum(np.bincount(where, minlength=1 << k), 65535).astype(np.uint16).tobytes()
+
+
+def most_common(one: bytes, other: bytes) -> int:
+    """The largest overlap that two outlines allow."""
+    p, q = (np.frombuffer(x, np.uint16).astype(np.int64) for x in (one, other))
+    size = min(len(p), len(q))
+    return int(np.minimum(p.reshape(size, -1).sum(1), q.reshape(size, -1).sum(1)).sum())
+
+
 def gram_counts(docs: DataFrame, size: int) -> np.ndarray:
     """How often n-grams fall into each of ``2**SKETCH_BITS`` cells, over all documents.
 
@@ -106,13 +122,13 @@ def gram_counts(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _described(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Set size, set digest, prefix in the global order and suffix bins of each document."""
+    """Set size, set digest, prefix in the global order and outline of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = shared.value
         for batch in batches:
-            sizes, digests, prefixes, bins = [], [], [], []
+            sizes, digests, prefixes, outlines = [], [], [], []
             for _, grams in sets_of(batch.column(1), size):
                 n = len(grams)
                 sizes.append(n)
@@ -122,7 +138,7 @@ def _described(docs: DataFrame, counts: np.ndarray, size: int, percent: int) ->
                 keep = n - -(-percent * n // 100) + 1 if n else 0
                 order = np.argsort(rare[grams >> np.uint64(64 - SKETCH_BITS)], kind="stable")
                 prefixes.append(grams[order[:keep]].view(np.int64))
-                bins.append(np.bincount((grams & np.uint64(_BINS - 1)).astype(np.int64), minlength=_BINS))
+                outlines.append(outline(grams))
             lengths = np.cumsum([0] + [len(p) for p in prefixes])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -132,12 +148,9 @@ def _described(docs: DataFrame, counts: np.ndarray, size: int, percent: int) ->
                     pa.ListArray.from_arrays(
                         pa.array(lengths, pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]))
                     ),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(bins) + 1) * _BINS, pa.int32()),
-                        pa.array(np.concatenate([*bins, np.empty(0, np.int64)]), pa.int32()),
-                    ),
+                    pa.array(outlines, pa.binary()),
                 ],
-                names=["doc_id", "n", "digest", "prefix", "bins"],
+                names=["doc_id", "n", "digest", "prefix", "outline"],
             )
 
     return docs.mapInArrow(run, _SETS)
@@ -168,16 +181,22 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the candidate pairs that are similar, by a suffix filter and the whole sets."""
-    bins = classes.select("doc_id", "n", "bins")
-    one = bins.selectExpr("doc_id AS a", "n AS na", "bins AS bins_a")
-    two = bins.selectExpr("doc_id AS b", "n AS nb", "bins AS bins_b")
-    # The sets are cut at fixed values; parts that differ in size cannot overlap more
-    # than the smaller one.
-    common = "aggregate(zip_with(bins_a, bins_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
-    likely = written(
-        pairs.join(one, "a").join(two, "b").filter(_enough(common, percent)).select("a", "b", "na", "nb"),
-        "candidates",
-    )
+    # The whole order of hash values is cut at fixed points, so that the parts hold a few
+    # n-grams each; parts of two sets overlap by no more than the smaller one.
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for i, (na, nb, x, y) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(2, 6)))):
+                if most_common(x, y) * (100 + percent) >= percent * (na + nb):
+                    kept.append(i)
+            rows = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+
+    outlines = classes.select("doc_id", "n", "outline")
+    one = outlines.selectExpr("doc_id AS a", "n AS na", "outline AS outline_a")
+    two = outlines.selectExpr("doc_id AS b", "n AS nb", "outline AS outline_b")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "outline_a", "outline_b")
+    likely = written(both.mapInArrow(fitting, "a long, b long"), "candidates")
     wanted = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +261,7 @@ def similar_documents(
             F.min("doc_id").alias("doc_id"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
-            F.first("bins").alias("bins"),
+            F.first("outline").alias("outline"),
         ),
         "classes",
     )
@@ -271,17 +290,26 @@ def _class_components(classes: DataFrame, docs: DataFrame, size: int, percent: i
     entries = _entries(classes)
     repeated = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(entries.join(repeated.select("gram"), "gram"), "shared")
-    # Two members that all others are paired with: the one with the fewest rarer
-    # n-grams, which is the likely origin of near copies, and one drawn at random.
+    # Each document is first paired with two members of its lists: of the rarest n-gram it
+    # shares, the member with the fewest rarer n-grams, which is the likely origin of near
+    # copies; and one drawn at random from any list.
     draw = F.xxhash64("doc_id", "gram").alias("draw")
     rest = ["doc_id", "n", "pos"]
     hubs = shared.groupBy("gram").agg(
         F.min(F.struct("pos", draw, "doc_id", "n")).alias("central"),
         F.min(F.struct(draw, *rest)).alias("drawn"),
     )
-    hubs = hubs.select("gram", F.explode(F.array(*[F.struct(*[f"{h}.{c}" for c in rest]) for h in ("central", "drawn")])).alias("hub"))
-    spokes = shared.join(hubs, "gram").selectExpr(
-        "doc_id AS a", "n AS na", "pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pos AS pb"
+    near_hubs = (
+        shared.join(hubs, "gram")
+        .groupBy(F.col("doc_id").alias("a"), F.col("n").alias("na"))
+        .agg(
+            F.min(F.when(F.col("central.doc_id") != F.col("doc_id"), F.struct("pos", "central"))).alias("central"),
+            F.min(F.when(F.col("drawn.doc_id") != F.col("doc_id"), F.struct("drawn", "pos"))).alias("drawn"),
+        )
+    )
+    ends = [F.struct(f"{h}.pos", *[f"{h}.{h}.{c}" for c in rest[:2]], F.col(f"{h}.{h}.pos").alias("pb")) for h in ("central", "drawn")]
+    spokes = near_hubs.select("a", "na", F.explode(F.array(*ends)).alias("hub")).selectExpr(
+        "a", "na", "hub.pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pb AS pb"
     )
     first = written(_candidates(spokes, percent), "pairs")
     links = _linked(first, classes, docs, size, percent)
