@@ -12,6 +12,7 @@ from feedlake.llm import (
     attention_lm,
     license_scan,
     ngram_join,
+    piece_lattice,
     robust_outliers,
     site_templates,
     suffix_decontamination,
@@ -66,6 +67,16 @@ def op3_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of each document, and whether decoding them gives its text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = piece_lattice.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    both = piece_lattice.decoded(piece_lattice.encoded(docs, pieces), pieces)
+    return both.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.expr("decoded <=> text").alias("round_trip")
+    )
+
+
 def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of each document, learned from six sevenths of them."""
     rated = attention_lm.scores(
@@ -141,6 +152,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
     "op3_token_archive": (op3_token_archive, None),
+    "op4_piece_lattice": (op4_piece_lattice, None),
     "op5_attention_lm": (op5_attention_lm, None),
     "op6_license_scan": (op6_license_scan, None),
     "op7_site_templates": (op7_site_templates, None),
