@@ -275,15 +275,17 @@ def similar_documents(
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that are linked, directly or through others, with a
-    document of a smaller id.
+    document of a smaller id; of rows that share an id, one stays.
 
     Rows without ``doc_id`` stay.
     """
     found = similar_documents(docs, doc_id=doc_id, **options)
-    key = unused(docs, "similar_id")
-    later = found.filter("component_id < doc_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(later, docs[quoted(doc_id)].cast("long") == later[key], "left_anti")
-    return kept
+    key, gone = unused(docs, "similar_key"), unused(docs, "similar_gone")
+    later = found.filter("component_id < doc_id").select(F.col("doc_id").cast("string").alias(gone)).distinct()
+    row = F.concat(F.lit("row "), F.monotonically_increasing_id())
+    keyed = docs.withColumn(key, F.coalesce(F.col(quoted(doc_id)).cast("long").cast("string"), row))
+    kept = keyed.join(later, keyed[key] == later[gone], "left_anti")
+    return kept.dropDuplicates([key]).drop(key)
 
 
 def _class_components(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
