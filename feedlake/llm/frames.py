@@ -17,9 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def unused(frame: DataFrame, name: str) -> str:
-    """``name``, longer by underscores until no column of ``frame`` has it."""
-    taken = {column.lower() for column in frame.columns}
-    while name.lower() in taken:
+    """``name``, longer by underscores until no column of ``frame`` begins with it."""
+    while any(column.lower().startswith(name.lower()) for column in frame.columns):
         name += "_"
     return name
 

@@ -26,7 +26,7 @@ from math import exp, lgamma, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import quoted, unused, written
+from feedlake.llm.frames import once, quoted, unused, written
 
 # Fixed values of the base rules.
 LEAST_WORDS = 50
@@ -97,20 +97,20 @@ def chi_square_point(tail: float, freedom: int) -> float:
     return low
 
 
-def text_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
+def text_statistics(docs: DataFrame, text: str = "text", name: str | None = None) -> tuple[DataFrame, str]:
     """``docs`` and a struct of statistics, with the name of that column.
 
     A word is a run of other characters than ASCII white space; a null text has none.
     ``n_repeat_words`` counts words inside 3-word windows that the text has twice or
     more, ``n_dup_lines`` lines with a word that equal an earlier line.
     """
-    name = unused(docs, "statistics")
+    name = name or unused(docs, "statistics")
     body = f"coalesce({quoted(text)}, '')"
     lines = f"filter(split({body}, '\\n', -1), x -> length(trim(BOTH '{_BLANKS}' FROM x)) > 0)"
     one = docs.select(
         "*",
-        F.expr(f"array_remove(split({body}, '{_BLANK}', -1), '')").alias(f"{name}_w"),
-        F.expr(lines).alias(f"{name}_l"),
+        F.expr(once(f"array_remove(split({body}, '{_BLANK}', -1), '')")).alias(f"{name}_w"),
+        F.expr(once(lines)).alias(f"{name}_l"),
         F.expr(f"cast(length(translate({body}, '{_BLANKS}', '')) AS bigint)").alias(f"{name}_c"),
         F.expr(f"cast(length({body}) - length(translate({body}, '#*$%&|<>', '')) AS bigint)").alias(f"{name}_s"),
     )
@@ -118,18 +118,18 @@ def text_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str
     windows = f"transform(sequence(0, size({w}) - 3), i -> xxhash64(get({w}, i), get({w}, i + 1), get({w}, i + 2)))"
     two = one.select(
         "*",
-        F.expr(f"if(size({w}) < 3, cast(array() AS array<bigint>), {windows})").alias(f"{name}_h"),
+        F.expr(once(f"if(size({w}) < 3, cast(array() AS array<bigint>), {windows})")).alias(f"{name}_h"),
     )
     h = f"{name}_h"
     # Positions of windows that occur again: neighbours in the order of (hash, position).
     ordered = f"sort_array(transform({h}, (x, i) -> struct(x, i)))"
     three = two.select(
-        "*", F.expr(f"if(size(array_distinct({h})) = size({h}), NULL, {ordered})").alias(f"{name}_o")
+        "*", F.expr(once(f"if(size(array_distinct({h})) = size({h}), NULL, {ordered})")).alias(f"{name}_o")
     )
     o = f"{name}_o"
     again = f"""sort_array(transform(
         filter({o}, (e, k) -> e.x <=> get({o}, k - 1).x OR e.x <=> get({o}, k + 1).x), e -> e.i))"""
-    four = three.select("*", F.expr(f"if({o} IS NULL, NULL, {again})").alias(f"{name}_p"))
+    four = three.select("*", F.expr(once(f"if({o} IS NULL, NULL, {again})")).alias(f"{name}_p"))
     # Each such window covers three words, less what the one before it covers.
     covered = f"""aggregate({name}_p, struct(cast(-3 AS int) AS last, 0L AS total),
         (s, p) -> struct(p AS last, s.total + least(3, p - s.last) AS total), s -> s.total)"""
@@ -139,7 +139,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str
         'n_symbols', {name}_s,
         'n_dup_lines', cast(size({name}_l) - size(array_distinct({name}_l)) AS bigint),
         'n_repeat_words', if({name}_p IS NULL, 0L, {covered}))"""
-    return four.select(*[F.col(quoted(c)) for c in docs.columns], F.expr(found).alias(name)), name
+    return four.select(*[F.col(quoted(c)) for c in docs.columns], F.expr(once(found)).alias(name)), name
 
 
 def base_failed(at: str = "") -> Column:
@@ -328,7 +328,7 @@ def judged(
         slim = [F.col(f"{name}_{c}").alias(c) for c in ("lang", "source")]
         vectors = described
     else:
-        vectors, _ = text_statistics(docs.select(*{quoted(c): None for c in (text, lang, source)}), text)
+        vectors, _ = text_statistics(docs, text, name)
     at = f"{name}."
     rows = vectors.filter(~base_failed(at)).select(*slim, *_vector(at))
     rows = written(rows, "vectors")
