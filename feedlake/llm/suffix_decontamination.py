@@ -110,13 +110,11 @@ class Suffixes:
 
 @dataclass
 class Found:
-    """For each suffix: slots of the suffix array with its window, and with its longest match."""
+    """For each suffix: slots of the suffix array with its window, and its longest match."""
 
     low: np.ndarray
     high: np.ndarray
     longest: np.ndarray
-    longest_low: np.ndarray
-    longest_high: np.ndarray
 
 
 def search(array: np.ndarray, ranks: np.ndarray, suffixes: Suffixes, values: np.ndarray) -> Found:
@@ -127,7 +125,7 @@ def search(array: np.ndarray, ranks: np.ndarray, suffixes: Suffixes, values: np.
     n, m = len(array), len(suffixes.starts)
     padded = np.concatenate([ranks, np.full(1, -2, ranks.dtype)])
     low, high = np.zeros(m, np.int64), np.full(m, n, np.int64)
-    found = Found(np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64), low.copy(), low.copy())
+    found = Found(low.copy(), low.copy(), low.copy())
 
     def bound(lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray, depth: int, right: bool) -> np.ndarray:
         lo, hi = lo.copy(), hi.copy()
@@ -150,7 +148,6 @@ def search(array: np.ndarray, ranks: np.ndarray, suffixes: Suffixes, values: np.
         low[alive], high[alive] = left, right
         depth += 1
         found.longest[alive] = depth
-        found.longest_low[alive], found.longest_high[alive] = left, right
         whole = alive[suffixes.windows[alive] == depth]
         found.low[whole], found.high[whole] = low[whole], high[whole]
         alive = alive[suffixes.lengths[alive] > depth]
@@ -183,6 +180,7 @@ class Shard:
             values = np.where(vocabulary[at] == self.suffixes.words, at + 1, -1)
         else:
             values = np.full(len(self.suffixes.words), -1)
+        self.values = values
         depth = int(self.suffixes.lengths.max(initial=1))
         self.array = suffix_array(self.ranks, depth)
         self.found = search(self.array, self.ranks, self.suffixes, values)
@@ -210,23 +208,29 @@ class Shard:
             items[document].append(self.suffixes.ids[item])
         return ranges, items
 
-    def longest(self, least: int) -> Iterator[tuple[int, int, int, int, int]]:
-        """Matches of at least ``least`` words that cannot be longer on either side:
-        document, item, word of the item, word of the document, words."""
-        enough = np.flatnonzero(self.found.longest >= least)
-        slots, of = _spread(self.found.longest_low[enough], self.found.longest_high[enough])
-        query, positions = enough[of], self.array[slots]
-        begin = self.suffixes.starts[query]
-        first = np.concatenate(([True], np.diff(self.suffixes.item) != 0))[begin]
-        lefts = self.suffixes.words[np.maximum(begin - 1, 0)]
-        words = np.zeros(len(self.ranks), np.uint64)
-        words[self.ranks > 0] = self.block.hashes
-        before = words[np.maximum(positions - 1, 0)]
-        free = first | np.isin(positions, self.starts) | (lefts != before)
+    def longest(self) -> Iterator[tuple[int, int, int, int, int]]:
+        """Matches of at least a window that cannot be longer on either side: document,
+        item, word of the item, word of the document, words."""
+        slots, query = _spread(self.found.low, self.found.high)
+        positions, begin = self.array[slots], self.suffixes.starts[query]
+        # What stands in front of a match must differ, or be the edge of an item or document.
+        ranks = np.append(self.ranks, -2)
+        edge = (begin == 0) | (self.suffixes.item[np.maximum(begin - 1, 0)] != self.suffixes.item[begin])
+        left = self.values[np.maximum(begin - 1, 0)]
+        free = edge | (positions == 0) | (ranks[positions - 1] != left)
+        query, positions, begin = query[free], positions[free], begin[free]
+        words = self.suffixes.windows[query].copy()
+        going = np.arange(len(words))
+        while len(going):
+            going = going[words[going] < self.suffixes.lengths[query[going]]]
+            at = words[going]
+            going = going[ranks[np.minimum(positions[going] + at, len(ranks) - 1)] == self.values[begin[going] + at]]
+            words[going] += 1
         document = self.document_of(positions)
-        inner = begin - np.searchsorted(self.suffixes.item, self.suffixes.item[query])
-        rows = (document, self.suffixes.item[query], inner, positions - self.starts[document], self.found.longest[query])
-        yield from zip(*(column[free].tolist() for column in rows))
+        item = self.suffixes.item[query]
+        inner = begin - np.searchsorted(self.suffixes.item, item)
+        rows = (document, item, inner, positions - self.starts[document], words)
+        yield from zip(*(column.tolist() for column in rows))
 
 
 def _union(ranges: list[int], more: list[int]) -> list[int]:
@@ -334,8 +338,8 @@ def longest_matches(
 ) -> DataFrame:
     """Longest verbatim matches and where they stand, one row per document, item and place.
 
-    ``item_pos`` and ``doc_pos`` count words from 0.  A match is listed for the
-    item suffix whose longest match it is, if it cannot be extended to the left.
+    ``item_pos`` and ``doc_pos`` count words from 0.  A match has at least
+    ``least_words`` words, or is all of a shorter item, and cannot be extended.
     """
     slim = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     out = docs.sparkSession.createDataFrame([], MATCHES)
@@ -349,7 +353,7 @@ def longest_matches(
                     names = shared.value.ids
                     rows = [
                         (ids[document], names[item], *rest)
-                        for document, item, *rest in Shard(block, shared.value).longest(least_words)
+                        for document, item, *rest in Shard(block, shared.value).longest()
                     ]
                     columns = list(zip(*rows)) if rows else [[] for _ in range(5)]
                     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]

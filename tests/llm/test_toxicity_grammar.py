@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.llm import toxicity_grammar as toxic
+
+
+def outputs(symbols):
+    machine = toxic.grammar()
+    state, out = machine.start, []
+    for symbol in symbols:
+        state, written, weight = machine.step(state, symbol)
+        out.append((written, round(weight, 3)))
+    return out
+
+
+def test_composed_grammar_marks_scope():
+    w, i, t = toxic.WORD, toxic.INSULT, toxic.TARGET
+    assert outputs([i])[-1] == (i, 0.0)
+    assert outputs([t, w, i])[-1] == ("aimed insult", 0.405)
+    assert outputs([toxic.NEGATION, w, i])[-1] == ("denied insult", -0.693)
+    assert outputs([toxic.NEGATION, w, w, w, w, i])[-1] == (i, 0.0)
+    assert outputs([toxic.SPEECH, w, w, i])[-1] == ("quoted insult", -0.693)
+    assert outputs([toxic.SPEECH, toxic.NEGATION, i])[-1] == ("quoted denied insult", -1.386)
+    assert outputs([toxic.NEGATION, toxic.END, i])[-1] == (i, 0.0)
+
+
+def test_composition_equals_running_one_after_the_other():
+    one = toxic._within(toxic.NEGATION, 2, "denied", 1.0, toxic.HOSTILE, toxic.SYMBOLS)
+    tape = [*toxic.SYMBOLS, *(f"denied {s}" for s in toxic.HOSTILE)]
+    two = toxic._within(toxic.TARGET, 1, "aimed", 2.0, tape[1:3] + tape[7:], tape)
+    both = one.then(two, toxic.SYMBOLS)
+    state, a, b = both.start, one.start, two.start
+    for k in range(200):
+        symbol = toxic.SYMBOLS[(k * k + 3 * k) % 7]
+        state, out, weight = both.step(state, symbol)
+        a, middle, w1 = one.step(a, symbol)
+        b, last, w2 = two.step(b, middle)
+        assert (out, weight) == (last, w1 + w2)
+
+
+@pytest.fixture(scope="module")
+def labelled(documents, prose):
+    rows, labels = [], []
+    for i in range(300):
+        words = prose(i, 40)
+        bad = i % 5 == 0
+        if bad:
+            words[7], words[20] = ["zorkig", "blurf", "gnarpish"][i % 3], "blurf"
+        rows.append((i, " ".join(words[:20]) + ". " + " ".join(words[20:])))
+        labels.append((i, int(bad)))
+    return documents(rows), labels
+
+
+def test_learned_lexicon_and_scores(spark, labelled, documents, hostile_rows):
+    docs, labels = labelled
+    table = spark.createDataFrame(labels + [(None, 1), (7, None), (5, 0)], "doc_id long, toxic int")
+    train = table.filter("doc_id IS NULL OR doc_id % 4 <> 0")
+    model = toxic.fit(docs, train)
+    assert {"blurf", "zorkig"} <= {entry.rstrip("*") for entry in model.lexicon} | set(model.lexicon)
+    rows = toxic.scored(docs, model, score="toxicity").select("doc_id", "toxicity").collect()
+    for doc_id, score in rows:
+        assert 0 <= score <= 1
+        if doc_id != 5:
+            assert (score >= 0.5) == (doc_id % 5 == 0), doc_id
+    odd = toxic.scored(documents(hostile_rows), model, score="toxicity").select("toxicity").collect()
+    assert len(odd) == len(hostile_rows) and all(r[0] < 0.5 for r in odd)
+    kept = toxic.keep_civil(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.filter("doc_id % 5 = 0 AND doc_id <> 5").count() == 0
+
+
+def test_without_labels_nothing_is_toxic(spark, documents, hostile_rows):
+    docs = documents(hostile_rows)
+    for labels in ([], [(8, 1)], [(8, 0)]):
+        model = toxic.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        scores = toxic.scored(docs, model, score="toxicity").agg(F.max("toxicity")).first()[0]
+        assert scores < 1e-6
+    assert toxic.keep_civil(docs.limit(0), model).count() == 0
+
+
+def test_sample_has_its_bound(spark, documents):
+    docs = documents([(i, f"text {i}") for i in range(50)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    assert toxic._sample(docs, labels, 20).count() == 20
