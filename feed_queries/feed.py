@@ -9,10 +9,11 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators import flat_map_rows, spread
+from feedlake.operators import flat_map_rows
 from feedlake.session import scratch_path
 from feedlake.sources import DAILY
 
@@ -21,18 +22,23 @@ RUN_DATE = "20240201"
 
 FEATURES_PER_DOCUMENT = 500
 
+# Events of the first half of the month, and all others.
+EARLY = "ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'"
+LATE = f"NOT coalesce({EARLY}, false)"
+
 # The queries leave what they write in the scratch folder, so text is compressed.
 COMPRESSION = "gzip"
 
 # The event fields in the names of the feed; plain SQL.  Per event type:
 # error has time 0, click a negative update time, signup one past the year 9999;
 # purchase has no place and a time zone that is no number; click has no depth.
+# The magnitude is a number given as text.
 _FEED = """
 SELECT
   event_id,
   date_format(ts, 'yyyyMMdd') AS ingest_date,
   struct(
-    value AS mag,
+    cast(value AS string) AS mag,
     CASE event_type
       WHEN 'view' THEN concat(user_id, ' km N of ', event_type, ', Zone ', user_id)
       WHEN 'click' THEN concat('off the coast of ', event_type)
@@ -185,58 +191,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(
-    spark: SparkSession, sf_dir: str, *, features_per_document: int = FEATURES_PER_DOCUMENT
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    where: str = "true",
+    features_per_document: int = FEATURES_PER_DOCUMENT,
 ) -> DataFrame:
-    """All events as documents: ``ingest_date`` and the JSON text ``value``.
+    """Events as documents: ``ingest_date`` and the JSON text ``value``.
 
-    Spark renders each feature; the features of one day that come in one Arrow
-    batch are then strung together.  Neither a busy day nor a busy user makes a
-    document any larger, and nothing is shuffled, unless the table is so small
-    that its files leave cores idle.
+    ``where`` chooses events, in the scan.  Spark renders each feature; the features of
+    one day that come in one Arrow batch are then strung together.  Neither a busy day
+    nor a busy user makes a document any larger, and nothing is shuffled.
     """
-    rows = spark.sql(_FEED, events=spread(table(spark, sf_dir, "events"), "ts"))
+    return _packed(_features(spark, sf_dir, where), features_per_document)
+
+
+def _features(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """One rendered feature per event, with its day."""
+    rows = spark.sql(_FEED, events=table(spark, sf_dir, "events").filter(where))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         "properties",
         F.struct(F.lit("Point").alias("type"), "coordinates").alias("geometry"),
         F.col("event_id").cast("string").alias("id"),
     )
+    return rows.select("ingest_date", "event_id", F.to_json(feature).alias("feature"))
 
+
+def _packed(features: DataFrame, features_per_document: int) -> DataFrame:
     def collections(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         packed = []
-        for day, features in batch.groupby("ingest_date")["feature"]:
-            for start in range(0, len(features), features_per_document):
-                members = ",".join(features.iloc[start : start + features_per_document])
-                packed.append((day, f'{{"type":"FeatureCollection","features":[{members}]}}'))
+        for day, members in batch.groupby("ingest_date", dropna=False)["feature"]:
+            day = None if pd.isna(day) else day
+            for start in range(0, len(members), features_per_document):
+                part = ",".join(members.iloc[start : start + features_per_document])
+                packed.append((day, f'{{"type":"FeatureCollection","features":[{part}]}}'))
         yield pd.DataFrame(packed, columns=["ingest_date", "value"])
 
     return flat_map_rows(
-        rows.select("ingest_date", F.to_json(feature).alias("feature")),
-        collections,
-        "ingest_date string, value string",
+        features.select("ingest_date", "feature"), collections, "ingest_date string, value string"
     )
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_prepared: dict[tuple[str, str, str], str] = {}
+
 
+def prepared(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]) -> str:
+    """Folder of an input that scan queries read: part of their set-up, like the tables.
 
-def written_once(
-    spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]
-) -> str:
-    """Folder of an input that several scan queries read; written once per application."""
+    It is written by the first query of an application that needs it, and again if it
+    is gone; its content depends on ``sf_dir`` and ``label`` alone.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _written:
-        path = scratch_path(spark, label)
-        write(path)
-        _written[key] = path
-    return _written[key]
+    path = _prepared.get(key)
+    if path is not None:
+        try:
+            spark.read.text(path)
+            return path
+        except AnalysisException:
+            pass
+    path = scratch_path(spark, label)
+    write(path)
+    _prepared[key] = path
+    return path
+
+
+# Shares that the landing zone cuts each day into, so that no day is left to one task.
+_SHARES = 4
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing root with the documents of every day as daily runs."""
+    """Landing root with the documents of every day as daily runs.
+
+    Days are gathered before they are packed, in a fixed number of shares each: a day
+    becomes a few files of full documents, however many tasks read the events.
+    """
 
     def write(root: str) -> None:
-        by_day = documents(spark, sf_dir).write.partitionBy("ingest_date")
+        share = (F.col("event_id") % _SHARES).alias("share")
+        gathered = _features(spark, sf_dir).repartition("ingest_date", share)
+        ordered = gathered.sortWithinPartitions("ingest_date")
+        by_day = _packed(ordered, FEATURES_PER_DOCUMENT).write.partitionBy("ingest_date")
         by_day.text(f"{root}/run_kind={DAILY}", compression=COMPRESSION)
 
-    return written_once(spark, sf_dir, "landing", write)
+    return prepared(spark, sf_dir, "landing", write)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feed_queries.feed import FLAT_SQL, documents, table
+from feed_queries.feed import FLAT_SQL, landing, table
 from feedlake.functions import null_safe_float, of_position, text_length
 from feedlake.operators import (
     coordinates,
@@ -19,11 +19,11 @@ from feedlake.operators import (
     typed_projection,
 )
 from feedlake.schemas import FLAT
-from feedlake.sources import parse_documents
+from feedlake.sources import read_documents
 
 
 def _exploded(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
-    return explode_features(parse_documents(documents(spark, sf_dir), columns=columns), strict=True)
+    return explode_features(read_documents(spark, landing(spark, sf_dir), columns=columns), strict=True)
 
 
 def exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +40,11 @@ def from_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The members of ``properties`` as read: every number a DOUBLE."""
+    """Members of ``properties`` as columns; numbers come as text, however they are given."""
     names = ("mag", "place", "time", "updated", "tz", "felt", "tsunami", "sig", "nst", "dmin")
-    return properties_flatten(_exploded(spark, sf_dir, names), keep_id=True)
+    rows = properties_flatten(_exploded(spark, sf_dir, names), keep_id=True)
+    numbers = ("mag", "felt", "tsunami", "sig", "nst", "dmin")
+    return rows.withColumns({name: F.col(name).cast("double") for name in numbers})
 
 
 def coordinate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

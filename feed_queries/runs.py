@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from feed_queries.feed import (
     AS_OF,
     COMPRESSION,
+    EARLY,
     FLAT_SQL,
+    LATE,
     RUN_DATE,
     SILVER_SQL,
     WAREHOUSE_SQL,
     documents,
     landing,
 )
+from feed_queries.scans import delivered
 from feed_queries.tables import fresh_table
 from feedlake.operators import flatten
-from feedlake.plans import run_backfill, run_daily, run_silver, to_silver
+from feedlake.plans import load_silver, run_backfill, run_daily, run_silver, to_silver
 from feedlake.schemas import FLAT
 from feedlake.session import scratch_path
-from feedlake.sinks import land_documents
-from feedlake.sources import DAILY, parse_documents
+from feedlake.sinks import land_documents, write_silver
+from feedlake.sources import BACKFILL, DAILY, parse_documents, read_documents, split_documents
 from feedlake.streaming import run_daily_stream
 
 
@@ -57,24 +60,89 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill of the first half of the month and a daily run of the rest."""
-    name = fresh_table(spark, "daily")
-    root = scratch_path(spark, "daily")
-    docs = documents(spark, sf_dir)
-    early = F.col("ingest_date") < "20240116"
-    for run, part in ((run_backfill, early), (run_daily, ~early)):
+    return _in_two_runs(spark, sf_dir, "daily", silver_format="json")
+
+
+def _in_two_runs(spark: SparkSession, sf_dir: str, label: str, **options) -> DataFrame:
+    name = fresh_table(spark, label)
+    root = scratch_path(spark, label)
+    for run, part in ((run_backfill, EARLY), (run_daily, LATE)):
         run(
             spark,
             landing=f"{root}/landing",
             silver=f"{root}/silver",
             table=name,
-            documents=docs.filter(part),
+            documents=documents(spark, sf_dir, where=part),
             as_of=AS_OF,
-            silver_format="json",
             compression=COMPRESSION,
+            **options,
         )
     return spark.table(name)
 
 
+def daily_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs with the positional area and the epoch in the session zone."""
+    return _in_two_runs(spark, sf_dir, "daily_positional", area="positional", epoch="session")
+
+
+def backfill_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of what lies in the landing zone as one run, the same way."""
+    name = fresh_table(spark, "backfill_positional")
+    root = scratch_path(spark, "backfill_positional")
+    run_backfill(
+        spark,
+        landing=f"{root}/landing",
+        silver=f"{root}/silver",
+        table=name,
+        documents=split_documents(spark, delivered(spark, sf_dir)),
+        as_of=AS_OF,
+        area="positional",
+        epoch="session",
+        compression=COMPRESSION,
+    )
+    return spark.table(name)
+
+
+def silver_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver that is there already, loaded alone: over the table, then on top of it."""
+    name = fresh_table(spark, "load_silver")
+    root = scratch_path(spark, "load_silver")
+    rows = to_silver(flatten(read_documents(spark, landing(spark, sf_dir))), as_of=AS_OF)
+    for kind, fmt in ((BACKFILL, "parquet"), (DAILY, "json")):
+        write_silver(rows, root, kind, RUN_DATE, fmt=fmt, compression=COMPRESSION)
+        load_silver(
+            spark, silver=root, table=name, run_date=RUN_DATE, run_kind=kind, silver_format=fmt
+        )
+    return spark.table(name)
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one event; every seventh is cut off, every eleventh has no features."""
+    root = scratch_path(spark, "quarantine")
+    name = fresh_table(spark, "quarantine")
+    whole = documents(spark, sf_dir, features_per_document=1)
+    event = F.regexp_extract("value", '"code":"([0-9]+)"', 1).cast("long")
+    broken = F.when(event % 7 == 0, F.expr("left(value, length(value) - 9)"))
+    broken = broken.when(event % 11 == 0, F.expr("concat('{\"code\":\"', event, '\"}')"))
+    docs = whole.withColumn("event", event).select(broken.otherwise(F.col("value")).alias("value"))
+    report = run_backfill(
+        spark,
+        landing=f"{root}/landing",
+        silver=f"{root}/silver",
+        table=name,
+        documents=docs,
+        as_of=AS_OF,
+        mode="PERMISSIVE",
+        strict=False,
+        compression=COMPRESSION,
+    )
+    code = F.regexp_extract("value", '"code":"([0-9]+)"', 1).alias("code")
+    aside = spark.read.schema("value string").json(report.rejected_path).select(code, F.lit(False).alias("taken"))
+    taken = spark.table(name).select("code", F.lit(True).alias("taken"))
+    counted = F.lit(report.records).cast("long"), F.lit(report.rejected).cast("long")
+    return taken.unionAll(aside).select("*", counted[0].alias("n_records"), counted[1].alias("n_rejected"))
+
+
 def daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing zone as a stream, run twice; the second run finds nothing new."""
     name = fresh_table(spark, "stream")
@@ -109,22 +177,31 @@ def raw_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(f"{schema}, area string, insert_date string").json(report.silver_path)
 
 
-_POSITIONAL_SQL = f"""
-WITH {FLAT_SQL}
-SELECT code,
-  CASE WHEN status = 'error' THEN '1970-01-01 00:00:00'
-    ELSE strftime(make_timestamp((CAST(time AS BIGINT) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S')
-  END AS time,
-  CASE status
-    WHEN 'click' THEN '1969-12-31 23:59:59'
-    WHEN 'signup' THEN NULL
-    ELSE strftime(make_timestamp((CAST(updated AS BIGINT) // 1000) * 1000000),
-                  '%Y-%m-%d %H:%M:%S')
-  END AS updated,
+# Silver and warehouse rows with the positional area and the epoch in the session zone.
+POSITIONAL_SQL = (
+    FLAT_SQL
+    + """,
+silver AS (
+  SELECT * REPLACE (
+    CASE WHEN status = 'error' THEN '1970-01-01 00:00:00'
+      ELSE strftime(make_timestamp((CAST(time AS BIGINT) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S')
+    END AS time,
+    CASE status
+      WHEN 'click' THEN '1969-12-31 23:59:59'
+      WHEN 'signup' THEN NULL
+      ELSE strftime(make_timestamp((CAST(updated AS BIGINT) // 1000) * 1000000),
+                    '%Y-%m-%d %H:%M:%S')
+    END AS updated
+  ),
   substring(place, instr(place, 'of') + 3,
             greatest(length(place) - instr(place, 'of') - 2, 0)) AS area
-FROM flat
+  FROM flat
+),
 """
+    + WAREHOUSE_SQL[len(SILVER_SQL) :].lstrip().removeprefix(",")
+)
+
+_POSITIONAL_SQL = f"WITH {POSITIONAL_SQL} SELECT code, time, updated, area FROM silver"
 
 _SILVER_ROWS_SQL = f"""
 WITH {SILVER_SQL}
@@ -138,6 +215,19 @@ QUERIES = {
     "q_backfill": (backfill, f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse"),
     "q_daily": (daily, f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse"),
     "q_daily_stream": (daily_stream, f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse"),
+    "q_backfill_positional": (backfill_positional, f"WITH {POSITIONAL_SQL} SELECT * FROM warehouse"),
+    "q_daily_positional": (daily_positional, f"WITH {POSITIONAL_SQL} SELECT * FROM warehouse"),
+    "q_load_silver": (
+        silver_loads,
+        f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse UNION ALL SELECT * FROM warehouse",
+    ),
+    "q_quarantine": (
+        quarantine,
+        """SELECT code, taken, count(*) FILTER (taken) OVER () AS n_records,
+                  count(*) FILTER (NOT taken) OVER () AS n_rejected
+           FROM (SELECT CAST(event_id AS VARCHAR) AS code,
+                        event_id % 7 <> 0 AND event_id % 11 <> 0 AS taken FROM events)""",
+    ),
     "q_raw_to_silver": (
         raw_to_silver,
         f"""WITH {SILVER_SQL}

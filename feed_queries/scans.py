@@ -11,11 +11,10 @@ from feed_queries.feed import (
     WAREHOUSE_SQL,
     documents,
     landing,
-    written_once,
+    prepared,
 )
 from feedlake.operators import flatten
 from feedlake.plans import to_silver
-from feedlake.session import scratch_path
 from feedlake.sinks import write_jsonl
 from feedlake.sources import (
     DAILY,
@@ -32,25 +31,25 @@ _COLUMNS = ("mag", "place", "time", "tz", "felt", "longitude", "depth")
 _WITH_ID = f"SELECT CAST(event_id AS VARCHAR) AS id, {', '.join(_COLUMNS)} FROM flat"
 
 
-def _delivered(spark: SparkSession, sf_dir: str) -> str:
+def delivered(spark: SparkSession, sf_dir: str) -> str:
     """All events as files with one document each; returns the folder."""
 
     def write(path: str) -> None:
         docs = documents(spark, sf_dir, features_per_document=5000).select("value")
         docs.write.option("maxRecordsPerFile", 1).text(path)
 
-    return written_once(spark, sf_dir, "delivered", write)
+    return prepared(spark, sf_dir, "delivered", write)
 
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered files, each read by one task; several lines allowed."""
-    raw = read_documents(spark, _delivered(spark, sf_dir), multi_line=True, columns=_COLUMNS)
+    raw = read_documents(spark, delivered(spark, sf_dir), multi_line=True, columns=_COLUMNS)
     return flatten(raw, _COLUMNS, keep_id=True)
 
 
 def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered files, each shared by as many tasks as its size asks for."""
-    raw = read_split_documents(spark, _delivered(spark, sf_dir), columns=_COLUMNS)
+    raw = read_split_documents(spark, delivered(spark, sf_dir), columns=_COLUMNS)
     return flatten(raw, _COLUMNS, keep_id=True)
 
 
@@ -73,7 +72,7 @@ def silver_lines(spark: SparkSession, sf_dir: str) -> str:
         rows = to_silver(flatten(read_documents(spark, landing(spark, sf_dir))), as_of=AS_OF)
         write_jsonl(rows, path, compression=COMPRESSION)
 
-    return written_once(spark, sf_dir, "silver", write)
+    return prepared(spark, sf_dir, "silver", write)
 
 
 def silver_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

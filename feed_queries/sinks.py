@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from feed_queries.feed import (
     AS_OF,
     COMPRESSION,
+    EARLY,
     FLAT_SQL,
+    LATE,
     RUN_DATE,
     SILVER_SQL,
     WAREHOUSE_SQL,
@@ -16,7 +18,7 @@ from feed_queries.feed import (
     landing,
     table,
 )
-from feedlake.operators import bounded_files, counted, flatten, record_count
+from feedlake.operators import counted, flatten, laid_out, record_count
 from feedlake.plans import to_silver
 from feedlake.schemas import FLAT
 from feedlake.session import scratch_path
@@ -30,7 +32,6 @@ from feedlake.sinks import (
 from feedlake.sources import (
     BACKFILL,
     DAILY,
-    input_bytes,
     parse_documents,
     read_documents,
     read_run,
@@ -47,10 +48,9 @@ def _silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents up to mid-month as a backfill, later ones as a daily run."""
     root = scratch_path(spark, "landed")
-    docs = documents(spark, sf_dir)
-    early = F.col("ingest_date") < "20240116"
-    for kind, part in ((BACKFILL, early), (DAILY, ~early)):
-        land_documents(docs.filter(part), root, kind, RUN_DATE, compression=COMPRESSION)
+    for kind, part in ((BACKFILL, EARLY), (DAILY, LATE)):
+        docs = documents(spark, sf_dir, where=part)
+        land_documents(docs, root, kind, RUN_DATE, compression=COMPRESSION)
     columns = ("mag", "place", "time")
     runs = [
         flatten(
@@ -93,11 +93,13 @@ def text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A layout whose file count follows from the measured size of the input."""
+    """An explicit layout: the rows per order status, a small table, in one file."""
     path = scratch_path(spark, "compact")
-    size = input_bytes(spark, f"{sf_dir}/orders.parquet")
-    write_parquet(bounded_files(table(spark, sf_dir, "orders"), size), path)
-    return spark.read.parquet(path)
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderstatus")
+    counts = counts.agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderdate").alias("last"))
+    write_parquet(laid_out(counts, 1), path)
+    stored = spark.read.parquet(path)
+    return stored.withColumn("n_files", F.lit(len(stored.inputFiles())).cast("long"))
 
 
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +131,11 @@ QUERIES = {
         FROM silver""",
     ),
     "q_text_sink": (text_sink, f"WITH {FLAT_SQL} SELECT {', '.join(FLAT.names)} FROM flat"),
-    "q_single_file": (single_file, "SELECT * FROM orders"),
+    "q_single_file": (
+        single_file,
+        """SELECT o_orderstatus, count(*) AS n_orders, max(o_orderdate) AS last,
+                  CAST(1 AS BIGINT) AS n_files FROM orders GROUP BY o_orderstatus""",
+    ),
     "q_record_count": (
         record_counts,
         "SELECT count(*) AS n_records, count(*) AS n_written FROM events",

@@ -3,6 +3,7 @@
 from feedlake.operators import flatten
 from feedlake.plans import (
     RunReport,
+    load_silver,
     load_warehouse,
     run_backfill,
     run_daily,
@@ -11,7 +12,7 @@ from feedlake.plans import (
 )
 from feedlake.schemas import FLAT, SILVER, WAREHOUSE, document_schema
 from feedlake.session import feed_session
-from feedlake.sources import read_documents, read_run, read_silver
+from feedlake.sources import read_documents, read_run, read_silver, split_documents
 from feedlake.streaming import run_daily_stream, start_daily_stream
 
 __all__ = [
@@ -22,6 +23,7 @@ __all__ = [
     "document_schema",
     "feed_session",
     "flatten",
+    "load_silver",
     "load_warehouse",
     "read_documents",
     "read_run",
@@ -30,6 +32,7 @@ __all__ = [
     "run_daily",
     "run_daily_stream",
     "run_silver",
+    "split_documents",
     "start_daily_stream",
     "to_silver",
 ]

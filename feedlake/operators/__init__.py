@@ -8,20 +8,19 @@ from feedlake.operators.flatten import (
     properties_flatten,
     typed_projection,
 )
-from feedlake.operators.layout import bounded_files, counted, record_count, spread
+from feedlake.operators.layout import counted, laid_out, record_count
 from feedlake.operators.rows import flat_map_rows, map_rows
 
 __all__ = [
-    "bounded_files",
     "coordinates",
     "counted",
     "explode_features",
     "flat_map_rows",
     "flatten",
+    "laid_out",
     "map_rows",
     "properties_flatten",
     "record_count",
-    "spread",
     "to_warehouse",
     "typed_projection",
 ]

@@ -2,40 +2,17 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-DEFAULT_FILE_BYTES = 128 * 1024 * 1024
-
-
-def bounded_files(
-    frame: DataFrame, size_bytes: int, *, file_bytes: int = DEFAULT_FILE_BYTES
-) -> DataFrame:
-    """Lay ``frame`` out for files of about ``file_bytes`` each.
-
-    Data of a proven size below ``file_bytes`` becomes one file, without a
-    shuffle.  Anything larger is spread over as many tasks as it needs, so no
-    task ever gets more than its share; :func:`feedlake.sources.input_bytes`
-    measures the size.
-    """
-    files = max(1, ceil(size_bytes / file_bytes))
-    return frame.coalesce(1) if files == 1 else frame.repartition(files)
-
 
-def spread(frame: DataFrame, *order: str) -> DataFrame:
-    """Give every core a share of a frame that has fewer partitions than cores.
+def laid_out(frame: DataFrame, files: int) -> DataFrame:
+    """``frame`` for a write of at most ``files`` files, without a shuffle.
 
-    For costly work on a small or unsplittable scan, such as parsing one file.
-    With ``order`` the shares are ranges of these columns.  A frame with enough
-    partitions, as any large table has, is left as it is.  Call it on a scan:
-    asking for the partitions of a frame with a shuffle would run that shuffle.
+    For results that are known to be small.  Otherwise leave the number of files to the
+    scan tasks, and bound their size by the ``maxRecordsPerFile`` option of the writer.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartitionByRange(cores, *order) if order else frame.repartition(cores)
+    return frame.coalesce(files)
 
 
 def record_count(frame: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from feedlake.plans.runs import (
     RunReport,
+    load_silver,
     load_warehouse,
     run_backfill,
     run_daily,
@@ -11,6 +12,7 @@ from feedlake.plans.silver import to_silver
 
 __all__ = [
     "RunReport",
+    "load_silver",
     "load_warehouse",
     "run_backfill",
     "run_daily",

@@ -3,6 +3,11 @@
 Each stage reads what the stage before it wrote, so a lost executor only costs
 the tasks it ran.  No stage shuffles and none collects; the row count of a run
 comes from the write itself.
+
+A document that cannot be parsed stops a run, and so does one without a
+``features`` member.  With ``mode="PERMISSIVE"`` the first kind, and with
+``strict=False`` the second, is set aside whole: in a folder of the run below
+``<silver>_rejected``, and counted in the report.
 """
 
 from __future__ import annotations
@@ -11,12 +16,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake.functions import run_tag
 from feedlake.operators.flatten import flatten
-from feedlake.operators.layout import bounded_files, counted
+from feedlake.operators.layout import counted, laid_out
 from feedlake.plans.silver import to_silver
-from feedlake.sinks.files import land_documents, write_silver
+from feedlake.schemas import CORRUPT
+from feedlake.sinks.files import land_documents, write_rejected, write_silver
 from feedlake.sinks.tables import (
     load_append,
     load_autodetected,
@@ -26,7 +33,8 @@ from feedlake.sinks.tables import (
 from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
-    input_bytes,
+    FAILFAST,
+    PERMISSIVE,
     parse_documents,
     read_documents,
     read_split_documents,
@@ -35,18 +43,23 @@ from feedlake.sources.landing import (
 )
 from feedlake.sources.silver import read_silver
 
-
-_LOADS = {BACKFILL: load_overwrite, DAILY: load_append}
+OVERWRITE = "overwrite"
+APPEND = "append"
+_LOADS = {OVERWRITE: load_overwrite, APPEND: load_append}
+_MODE_OF = {BACKFILL: OVERWRITE, DAILY: APPEND}
 
 
 @dataclass(frozen=True)
 class RunReport:
-    """What a run did: rows it wrote to silver, and rows of the table after it."""
+    """What a run did: rows it wrote to silver, documents it set aside (and where), and
+    rows of the table after it."""
 
     run_kind: str
     run_date: str
     silver_path: str
     records: int
+    rejected: int = 0
+    rejected_path: str | None = None
     table: str | None = None
     table_rows: int | None = None
 
@@ -55,6 +68,32 @@ def _rows(frame: DataFrame) -> int:
     return frame.first()[0]
 
 
+def accepted(raw: DataFrame, path: str, *, strict: bool, mode: str) -> tuple[DataFrame, int]:
+    """Documents that a run takes, and how many it set aside in ``path``.
+
+    ``raw`` are parsed documents, with their text if any may be set aside.
+    """
+    if strict and mode == FAILFAST:
+        return raw, 0
+    unfit = F.lit(False)
+    if mode == PERMISSIVE:
+        unfit = unfit | F.col(CORRUPT).isNotNull()
+    if not strict:
+        unfit = unfit | F.col("features").isNull()
+    aside, observation = counted(raw.filter(unfit), "rejected")
+    write_rejected(aside, path)
+    return raw.filter(~unfit).drop("value", CORRUPT), observation.get["records"]
+
+
+def _lenient(strict: bool, mode: str) -> bool:
+    return not strict or mode == PERMISSIVE
+
+
+def rejected_path(silver: str, run_kind: str, run_date: str) -> str:
+    """Folder of the documents that a run set aside."""
+    return run_path(f"{silver.rstrip('/')}_rejected", run_kind, run_date)
+
+
 def run_feed(
     spark: SparkSession,
     run_kind: str,
@@ -69,11 +108,12 @@ def run_feed(
     epoch: str = "guarded",
     silver_format: str = "parquet",
     compression: str = "none",
-    file_bytes: int | None = None,
+    files: int | None = None,
+    records_per_file: int = 0,
     multi_line: bool = False,
     feature_start: str | None = None,
     strict: bool = True,
-    mode: str = "FAILFAST",
+    mode: str = FAILFAST,
     load_id: str | None = None,
     count_table: bool = True,
 ) -> RunReport:
@@ -82,12 +122,13 @@ def run_feed(
     ``documents`` (strings in ``value``) are landed first; without them the run
     takes what lies in its landing folder already: one document per line, or per
     file with ``multi_line``, or per file and shared by many tasks with a
-    ``feature_start`` (see :func:`feedlake.sources.read_split_documents`).
+    ``feature_start``.  Large delivered files are landed as pieces by
+    ``documents=split_documents(spark, paths)``.
     ``run_date`` defaults to the day of ``as_of``.  ``area`` and ``epoch`` are
     those of :func:`feedlake.plans.to_silver`.  ``compression`` is that of landed
-    text and JSON-lines silver.  ``file_bytes`` sets how much landed text goes into
-    one silver file; without it every scan task writes its own.  ``count_table=False`` saves the
-    look into every file of a large table that the row report takes.
+    text and JSON-lines silver.  Every scan task writes its own silver file;
+    ``records_per_file`` bounds files and ``files`` their number.  ``count_table=False``
+    saves the look into every file of a large table that the row report takes.
     """
     run_date = run_date or run_tag(as_of)
     if documents is not None:
@@ -97,29 +138,73 @@ def run_feed(
         multi_line, feature_start = False, None
     else:
         landed = run_path(landing, run_kind, run_date)
+    options = {"mode": mode, "keep_text": _lenient(strict, mode)}
     if feature_start is not None:
-        raw = read_split_documents(spark, landed, feature_start=feature_start)
+        raw = read_split_documents(
+            spark, landed, feature_start=feature_start, check=mode == FAILFAST, **options
+        )
     else:
-        raw = read_documents(spark, landed, multi_line=multi_line, mode=mode)
+        raw = read_documents(spark, landed, multi_line=multi_line, **options)
+    aside = rejected_path(silver, run_kind, run_date)
+    raw, n_rejected = accepted(raw, aside, strict=strict, mode=mode)
     rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
-    if file_bytes is not None:
-        rows = bounded_files(rows, input_bytes(spark, landed), file_bytes=file_bytes)
     rows, observation = counted(rows, f"{run_kind}-{run_date}")
     silver_path = write_silver(
-        rows, silver, run_kind, run_date, fmt=silver_format, compression=compression
+        rows if files is None else laid_out(rows, files),
+        silver,
+        run_kind,
+        run_date,
+        fmt=silver_format,
+        compression=compression,
+        records_per_file=records_per_file,
+    )
+    table_rows = load_silver(
+        spark,
+        silver=silver,
+        table=table,
+        run_date=run_date,
+        run_kind=run_kind,
+        silver_format=silver_format,
+        load_id=load_id,
+        count_table=count_table,
     )
-    loaded = read_silver(spark, silver_path, fmt=silver_format)
-    _LOADS[run_kind](loaded, table, load_id=load_id)
     return RunReport(
         run_kind=run_kind,
         run_date=run_date,
         silver_path=silver_path,
         records=observation.get["records"],
+        rejected=n_rejected,
+        rejected_path=aside if _lenient(strict, mode) else None,
         table=table,
-        table_rows=_rows(table_count(spark, table)) if count_table else None,
+        table_rows=table_rows,
     )
 
 
+def load_silver(
+    spark: SparkSession,
+    *,
+    silver: str,
+    table: str,
+    run_date: str,
+    run_kind: str = DAILY,
+    mode: str | None = None,
+    silver_format: str = "parquet",
+    load_id: str | None = None,
+    count_table: bool = True,
+) -> int | None:
+    """Load the silver folder of one run with the explicit schema; rows of the table after it.
+
+    ``mode`` is ``overwrite`` or ``append``, by default what the kind of run does.  A load
+    that failed is repeated by this alone.
+    """
+    mode = mode or _MODE_OF[run_kind]
+    if mode not in _LOADS:
+        raise ValueError(f"mode is one of {sorted(_LOADS)}, not {mode!r}")
+    rows = read_silver(spark, run_path(silver, run_kind, run_date), fmt=silver_format)
+    _LOADS[mode](rows, table, load_id=load_id)
+    return _rows(table_count(spark, table)) if count_table else None
+
+
 def run_backfill(spark: SparkSession, **options) -> RunReport:
     """:func:`run_feed` that **replaces** the table."""
     return run_feed(spark, BACKFILL, **options)
@@ -148,12 +233,15 @@ def run_silver(
     silver_format: str = "json",
     compression: str = "none",
     strict: bool = True,
-    mode: str = "FAILFAST",
+    mode: str = FAILFAST,
 ) -> RunReport:
     """Raw text lines to silver, without a table load."""
     run_date = run_date or run_tag(as_of)
     texts = read_text_documents(spark, run_path(landing, run_kind, run_date))
-    flat = flatten(parse_documents(texts, mode=mode), strict=strict)
+    raw = parse_documents(texts, mode=mode, keep_text=_lenient(strict, mode))
+    aside = rejected_path(silver, run_kind, run_date)
+    raw, n_rejected = accepted(raw, aside, strict=strict, mode=mode)
+    flat = flatten(raw, strict=strict)
     rows = to_silver(flat, area=area, epoch=epoch, stamp=stamp, as_of=as_of)
     rows, observation = counted(rows, f"silver-{run_date}")
     silver_path = write_silver(
@@ -164,6 +252,8 @@ def run_silver(
         run_date=run_date,
         silver_path=silver_path,
         records=observation.get["records"],
+        rejected=n_rejected,
+        rejected_path=aside if _lenient(strict, mode) else None,
     )
 
 

@@ -1,8 +1,8 @@
 """Schemas of the feed: landing document, flat row, silver row, warehouse row.
 
-The landing document is a GeoJSON ``FeatureCollection``.  Every numeric
-property is read as DOUBLE so that ``5``, ``5.0`` and ``43.0`` are all accepted;
-the flat projection narrows to the final type.
+The landing document is a GeoJSON ``FeatureCollection``.  Every number is read as
+the text it is written in, so that ``5``, ``5.0``, ``43.0`` and ``"4.5"`` are all
+accepted and keep their value; the flat projection casts to the final type.
 """
 
 from __future__ import annotations
@@ -54,7 +54,6 @@ STAMP_TEXT = "insert_date"
 CORRUPT = "_corrupt_record"
 
 _FLAT_TYPES = {"float": T.FloatType(), "int": T.IntegerType(), "string": T.StringType()}
-_DOCUMENT_TYPES = {"float": T.DoubleType(), "int": T.DoubleType(), "string": T.StringType()}
 _WAREHOUSE_TYPES = {"float": T.DoubleType(), "int": T.LongType(), "string": T.StringType()}
 
 
@@ -101,7 +100,6 @@ def document_schema(
     columns: Iterable[str] | None = None,
     *,
     keep_id: bool = True,
-    corrupt_column: bool = False,
 ) -> T.StructType:
     """Read schema of a landing document.
 
@@ -111,18 +109,15 @@ def document_schema(
     """
     wanted = flat_schema(columns).names
     properties = _struct(
-        (name, _DOCUMENT_TYPES[kind])
-        for name, kind in FLAT_COLUMNS
+        (name, T.StringType())
+        for name, _ in FLAT_COLUMNS
         if name in wanted and name not in COORDINATES
     )
     feature = []
     if properties.fields:
         feature.append(("properties", properties))
     if any(name in wanted for name in COORDINATES):
-        feature.append(("geometry", _struct([("coordinates", T.ArrayType(T.DoubleType()))])))
+        feature.append(("geometry", _struct([("coordinates", T.ArrayType(T.StringType()))])))
     if keep_id:
         feature.append(("id", T.StringType()))
-    document = [("features", T.ArrayType(_struct(feature)))]
-    if corrupt_column:
-        document.append((CORRUPT, T.StringType()))
-    return _struct(document)
+    return _struct([("features", T.ArrayType(_struct(feature)))])

@@ -5,6 +5,7 @@ from feedlake.sinks.files import (
     write_documents_text,
     write_jsonl,
     write_parquet,
+    write_rejected,
     write_silver,
 )
 from feedlake.sinks.tables import (
@@ -27,5 +28,6 @@ __all__ = [
     "write_documents_text",
     "write_jsonl",
     "write_parquet",
+    "write_rejected",
     "write_silver",
 ]

@@ -17,12 +17,17 @@ def write_documents_text(
 ) -> str:
     """Documents as text, one line each.
 
-    Line breaks between JSON tokens become blanks; inside a JSON string a line
-    break is escaped, so no text changes.  ``gzip`` makes files about a tenth of
-    the size, each of which one task reads as a whole.
+    Line breaks between JSON tokens become blanks; inside a JSON string a line break
+    must be escaped, so no text changes.  A document with a bare one there is broken;
+    it stops the write, as a blank in its place would hide that.  ``gzip`` makes files
+    about a tenth of the size, each of which one task reads as a whole.
     """
-    one_line = F.translate(F.col(column), "\r\n", "  ").alias("value")
-    documents.select(one_line).write.mode("overwrite").text(path, compression=compression)
+    text = F.col(column)
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<type: string>>")
+    broken = F.raise_error(F.lit("malformed document: a line break inside a string, or no JSON"))
+    one_line = F.when(parsed.isNotNull(), F.translate(text, "\r\n", "  ")).otherwise(broken)
+    line = F.when(text.rlike(r"[\r\n]"), one_line).otherwise(text).alias("value")
+    documents.select(line).write.mode("overwrite").text(path, compression=compression)
     return path
 
 
@@ -40,15 +45,24 @@ def land_documents(
     return write_documents_text(documents, path, column, compression=compression)
 
 
-def write_jsonl(rows: DataFrame, path: str, *, compression: str = "none") -> str:
+def write_rejected(documents: DataFrame, path: str, column: str = "value") -> str:
+    """Documents that were not taken, each whole in the field ``value`` of a JSON line."""
+    documents.select(F.col(column).alias("value")).write.mode("overwrite").json(path)
+    return path
+
+
+def write_jsonl(
+    rows: DataFrame, path: str, *, compression: str = "none", records_per_file: int = 0
+) -> str:
     """One JSON object per line; NULL fields are left out."""
-    rows.write.mode("overwrite").json(path, compression=compression)
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
+    writer.json(path, compression=compression)
     return path
 
 
-def write_parquet(rows: DataFrame, path: str) -> str:
-    """Columnar files."""
-    rows.write.mode("overwrite").parquet(path)
+def write_parquet(rows: DataFrame, path: str, *, records_per_file: int = 0) -> str:
+    """Columnar files; with ``records_per_file`` none has more rows than that."""
+    rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).parquet(path)
     return path
 
 
@@ -60,6 +74,7 @@ def write_silver(
     *,
     fmt: str = "parquet",
     compression: str = "none",
+    records_per_file: int = 0,
 ) -> str:
     """Silver rows of one run as ``parquet`` or ``json`` lines; returns the folder.
 
@@ -67,7 +82,7 @@ def write_silver(
     """
     path = run_path(silver, run_kind, run_date)
     if fmt == "parquet":
-        return write_parquet(rows, path)
+        return write_parquet(rows, path, records_per_file=records_per_file)
     if fmt == "json":
-        return write_jsonl(rows, path, compression=compression)
+        return write_jsonl(rows, path, compression=compression, records_per_file=records_per_file)
     raise ValueError(f"silver is 'json' or 'parquet', not {fmt!r}")

@@ -8,7 +8,9 @@ after a failure replaces itself.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,19 +28,58 @@ def ensure_database(spark: SparkSession, table: str, location: str | None = None
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
+def _partitioned_by_load(spark: SparkSession, table: str) -> bool:
+    return any(c.name == LOAD_ID and c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def _follow_rename(spark: SparkSession, table: str, load_id: str, fmt: str) -> None:
+    """Point the one partition of a renamed table to where its files are now.
+
+    Not every catalog moves the places of partitions along with their table.
+    """
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    (location,) = described.filter("col_name = 'Location'").select("data_type").first()
+    files = spark.read.format(fmt).load(location).inputFiles() if spark.sql(f"SHOW PARTITIONS {table}").head(1) else []
+    if files:
+        folder = unquote(files[0].rsplit("/", 1)[0])
+        spark.sql(f"ALTER TABLE {table} PARTITION ({LOAD_ID} = '{_quoted(load_id)}') SET LOCATION '{_quoted(folder)}'")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def load_overwrite(
     rows: DataFrame, table: str, *, load_id: str | None = None, fmt: str = "parquet"
 ) -> None:
     """Replace the content of ``table``; create it if missing.
 
-    Spark drops the old table before it writes the new one.
+    The rows are written to a new table first, which takes the name of the old one once
+    it is complete.  A load that fails leaves the old table as it was.
     """
-    ensure_database(rows.sparkSession, table)
-    if load_id is None:
-        rows.write.format(fmt).mode("overwrite").saveAsTable(table)
-    else:
-        tagged = rows.withColumn(LOAD_ID, F.lit(load_id))
-        tagged.write.format(fmt).mode("overwrite").partitionBy(LOAD_ID).saveAsTable(table)
+    spark = rows.sparkSession
+    ensure_database(spark, table)
+    database, _, name = table.rpartition(".")
+    place = f"{database}." if database else ""
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{place}{name}__new_{mark}", f"{place}{name}__old_{mark}"
+    try:
+        if load_id is None:
+            rows.write.format(fmt).saveAsTable(new)
+        else:
+            tagged = rows.withColumn(LOAD_ID, F.lit(load_id))
+            tagged.write.format(fmt).partitionBy(LOAD_ID).saveAsTable(new)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    replaced = spark.catalog.tableExists(table)
+    if replaced:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if load_id is not None:
+        _follow_rename(spark, table, load_id, fmt)
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def load_append(
@@ -46,10 +87,23 @@ def load_append(
 ) -> None:
     """Add to ``table``; create it if missing.
 
-    With ``load_id`` the rows replace the partition of that load, if it is there.
+    With ``load_id`` the rows replace the partition of that load, if it is there.  The
+    rows must have the columns of the table, and a table takes either loads with an id or
+    loads without; anything else is an error, and changes nothing.
     """
     spark = rows.sparkSession
     ensure_database(spark, table)
+    if spark.catalog.tableExists(table):
+        by_load = _partitioned_by_load(spark, table)
+        if by_load != (load_id is not None):
+            raise ValueError(
+                f"{table} was loaded {'with' if by_load else 'without'} a load id; "
+                f"this load has {'none' if load_id is None else 'one'}"
+            )
+        columns = [name for name in spark.table(table).columns if name != LOAD_ID]
+        if sorted(columns) != sorted(rows.columns):
+            missing, more = set(columns) - set(rows.columns), set(rows.columns) - set(columns)
+            raise ValueError(f"{table}: the rows lack {sorted(missing)} and have {sorted(more)} besides")
     if load_id is None:
         rows.write.format(fmt).mode("append").saveAsTable(table)
         return
@@ -57,9 +111,8 @@ def load_append(
         empty = rows.withColumn(LOAD_ID, F.lit(load_id)).limit(0)
         empty.write.format(fmt).partitionBy(LOAD_ID).saveAsTable(table)
     columns = [name for name in spark.table(table).columns if name != LOAD_ID]
-    load = load_id.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_ID} = '{load}') SELECT * FROM {{rows}}",
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_ID} = '{_quoted(load_id)}') SELECT * FROM {{rows}}",
         rows=rows.select(*columns),
     )
 

@@ -3,8 +3,9 @@
 from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
+    FAILFAST,
     FEATURE_START,
-    input_bytes,
+    PERMISSIVE,
     parse_documents,
     read_documents,
     read_run,
@@ -12,14 +13,16 @@ from feedlake.sources.landing import (
     read_text_documents,
     run_file_glob,
     run_path,
+    split_documents,
 )
 from feedlake.sources.silver import read_autodetect, read_silver
 
 __all__ = [
     "BACKFILL",
     "DAILY",
+    "FAILFAST",
     "FEATURE_START",
-    "input_bytes",
+    "PERMISSIVE",
     "parse_documents",
     "read_autodetect",
     "read_documents",
@@ -29,4 +32,5 @@ __all__ = [
     "read_text_documents",
     "run_file_glob",
     "run_path",
+    "split_documents",
 ]

@@ -7,6 +7,10 @@ Two shapes of landing data are read:
   :func:`read_split_documents` lets many tasks share a large one;
 * *landed* files, one single-line document per row, many rows per file, as
   :func:`feedlake.sinks.land_documents` writes them.  They split at line ends.
+
+All of them read text and go through :func:`parse_documents`, which parses each text
+once, as a list of one document: whatever stands before or after the document makes
+the text malformed.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedlake.functions._columns import once
 from feedlake.schemas import CORRUPT, document_schema
 
 # The two kinds of run, and the file name prefix of each.
@@ -55,6 +61,7 @@ def read_documents(
     multi_line: bool = False,
     mode: str = FAILFAST,
     columns: Iterable[str] | None = None,
+    keep_text: bool = False,
     glob: str | None = None,
     base_path: str | None = None,
 ) -> DataFrame:
@@ -62,11 +69,8 @@ def read_documents(
 
     ``columns`` limits the parse to the named flat columns.  A malformed document
     stops the read; with ``mode="PERMISSIVE"`` its text is kept in
-    ``_corrupt_record`` instead and its ``features`` are NULL.
-
-    Files of many lines are read as whole texts and parsed from there: Spark's
-    own multi-line JSON reader takes time quadratic in the file size where a
-    number is read as text, as ``time`` is.
+    ``_corrupt_record`` instead and its ``features`` are NULL.  Blank lines are no
+    documents.
     """
     reader = spark.read
     if glob is not None:
@@ -74,44 +78,65 @@ def read_documents(
     if base_path is not None:
         reader = reader.option("basePath", base_path)
     paths = paths if isinstance(paths, str) else list(paths)
-    if multi_line:
-        return parse_documents(reader.text(paths, wholetext=True), mode=mode, columns=columns)
-    return (
-        reader.schema(document_schema(columns, corrupt_column=mode == PERMISSIVE))
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(paths)
-    )
+    texts = reader.text(paths, wholetext=multi_line)
+    parse = parse_documents if multi_line else parse_lines
+    return parse(texts, mode=mode, columns=columns, keep_text=keep_text)
 
 
-def read_split_documents(
+def split_documents(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
     feature_start: str = FEATURE_START,
-    columns: Iterable[str] | None = None,
     glob: str | None = None,
+    check: bool = True,
 ) -> DataFrame:
-    """Delivered files, one document each, cut into pieces of about one feature.
+    """Delivered files, one document each, as ``value`` texts of about one feature.
 
     The files are split like text files that end their lines with
     ``feature_start``, so the size of a document does not matter.  A quote inside
-    a JSON string is escaped, hence the separator is never part of a value.  Each
-    piece is closed to a document of its own: what follows the closing bracket is
-    not read.  Features that start in another way stay in the piece in front of
-    them, which costs parallelism but no rows.  Malformed pieces stop the read.
+    a JSON string is escaped, hence the separator is never part of a value.  A
+    piece that ends in front of a further feature is closed to a document of its
+    own; the last one of a file must close itself.  Features that start in another
+    way stay in the piece in front of them, which costs parallelism but no rows.
+
+    With ``check`` the files are first read through for their ends: a file that was
+    cut off, or that holds a second document, is an error.
     """
     reader = spark.read
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    pieces = reader.text(
-        paths if isinstance(paths, str) else list(paths), lineSep=feature_start
-    )
-    head = F.ltrim(F.col("value"), F.lit(_JSON_BLANKS)).startswith("{")
-    opened = F.when(head, F.lit("")).otherwise(F.lit('{"features":[{'))
-    body = F.rtrim(F.col("value"), F.lit("," + _JSON_BLANKS))
-    closed = pieces.select(F.concat(opened, body, F.lit("]}")).alias("value"))
-    return parse_documents(closed, columns=columns)
+    paths = paths if isinstance(paths, str) else list(paths)
+    pieces = reader.text(paths, lineSep=feature_start)
+    text = F.trim(F.col("value"), F.lit(_JSON_BLANKS))
+    ends_open = text.endswith(",") | text.endswith("[")
+    if check:
+        closing = (
+            pieces.groupBy(F.col("_metadata.file_path").alias("file"))
+            .agg(F.count_if(~ends_open).alias("ends"))
+            .filter("ends <> 1")
+            .head(1)
+        )
+        if closing:
+            file, ends = closing[0]
+            raise ValueError(f"{file} is not one whole document: {ends} of its pieces end one")
+    opened = F.when(text.startswith("{"), F.lit("")).otherwise(F.lit('{"features":[{'))
+    closed = F.when(ends_open, F.concat(F.rtrim(text, F.lit("," + _JSON_BLANKS)), F.lit("]}"))).otherwise(text)
+    return pieces.select(F.concat(opened, closed).alias("value"))
+
+
+def read_split_documents(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    mode: str = FAILFAST,
+    columns: Iterable[str] | None = None,
+    keep_text: bool = False,
+    **options,
+) -> DataFrame:
+    """:func:`split_documents` parsed: ``features`` of about one feature per row."""
+    texts = split_documents(spark, paths, **options)
+    return parse_documents(texts, mode=mode, columns=columns, keep_text=keep_text)
 
 
 def read_run(
@@ -139,26 +164,42 @@ def read_text_documents(
     return spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=whole_text)
 
 
+def parse_lines(lines: DataFrame, **options) -> DataFrame:
+    """:func:`parse_documents` of text lines in ``value``; blank ones are no documents."""
+    return parse_documents(lines.filter(F.trim(F.col("value"), F.lit(_JSON_BLANKS)) != ""), **options)
+
+
 def parse_documents(
     texts: DataFrame,
     column: str = "value",
     *,
     mode: str = FAILFAST,
     columns: Iterable[str] | None = None,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """JSON strings to ``features``, next to the other columns of ``texts``."""
-    schema = document_schema(columns, corrupt_column=mode == PERMISSIVE)
-    options = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
-    document = F.from_json(F.col(column), schema, options).alias("document")
-    others = [F.col(f"`{name}`") for name in texts.columns if name != column]
-    return texts.select(*others, document).select(*others, "document.*")
-
-
-def input_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
-    """Total size of the files below ``paths``, from the file system's own listing."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for path in [paths] if isinstance(paths, str) else paths:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        total += location.getFileSystem(hadoop).getContentSummary(location).getLength()
-    return total
+    """JSON strings to ``features``, next to the other columns of ``texts``.
+
+    Every string is one document and is parsed once.  A malformed one is an error, or
+    with ``mode="PERMISSIVE"`` has NULL ``features`` and its text in ``_corrupt_record``.
+    A NULL string has NULL ``features``.  ``keep_text`` keeps the string beside them.
+    """
+    if mode not in (FAILFAST, PERMISSIVE):
+        raise ValueError(f"mode is {FAILFAST!r} or {PERMISSIVE!r}, not {mode!r}")
+    text = F.trim(F.col(f"`{column}`"), F.lit(_JSON_BLANKS))
+    # A list of one: text after the document would make a second member, or an error.
+    listed = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(document_schema(columns)), {"mode": mode}
+    )
+    whole = F.size("documents").eqNullSafe(1) & text.endswith("}") & F.get("documents", F.lit(0)).isNotNull()
+    others = [F.col(f"`{name}`") for name in texts.columns if keep_text or name != column]
+    parsed = texts.withColumn("documents", once(listed))
+    features = F.get("documents", F.lit(0))["features"]
+    if mode == PERMISSIVE:
+        bad = text.isNotNull() & ~whole
+        return parsed.select(
+            *others, F.when(~bad, features).alias("features"), F.when(bad, F.col(f"`{column}`")).alias(CORRUPT)
+        )
+    wrong = F.raise_error(F.concat(F.lit("malformed document: "), F.substring(text, -80, 80)))
+    return parsed.select(
+        *others, once(F.when(text.isNull() | whole, features).otherwise(wrong)).alias("features")
+    )

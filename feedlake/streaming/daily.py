@@ -1,9 +1,12 @@
 """Daily increment that takes each landing file once.
 
 The checkpoint remembers which files were taken; each micro-batch writes one
-silver folder and one table partition named after the stream and the batch, and
-replaces both when the batch is run again.  A failure between the writes and the
-checkpoint therefore loses nothing and doubles nothing.
+silver folder and one table partition named after the stream, its checkpoint and
+the batch, and replaces both when the batch is run again.  A failure between the
+writes and the checkpoint therefore loses nothing and doubles nothing.
+
+A file is taken whenever it comes, however old it is.  A day that is landed again
+is new files, and its rows are appended once more.
 """
 
 from __future__ import annotations
@@ -15,13 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedlake.operators.flatten import flatten
+from feedlake.plans.runs import accepted
 from feedlake.plans.silver import to_silver
-from feedlake.schemas import document_schema
 from feedlake.sinks.files import write_jsonl, write_parquet
 from feedlake.sinks.tables import LOAD_ID, load_append
-from feedlake.sources.landing import DAILY
+from feedlake.sources.landing import DAILY, FAILFAST, PERMISSIVE, parse_lines
 from feedlake.sources.silver import read_silver
 
+# The file source forgets files that are older than the newest one by its limit, a
+# week by default, and never reads them; this one is beyond the age of any file.
+_ANY_AGE = "36500d"
+
 
 def start_daily_stream(
     spark: SparkSession,
@@ -35,35 +42,42 @@ def start_daily_stream(
     area: str = "regex",
     epoch: str = "guarded",
     silver_format: str = "parquet",
+    strict: bool = True,
+    mode: str = FAILFAST,
     max_files_per_batch: int | None = None,
     max_bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start taking all landing files that are there now and not yet taken.
 
-    ``stream_name`` tells the loads of several streams into one table apart; it
-    defaults to a digest of the checkpoint folder.  A large backlog is taken in
-    several batches with ``max_files_per_batch`` or ``max_bytes_per_batch`` (one
-    of them).
+    Loads are named after ``stream_name``, if any, and a digest of the checkpoint
+    folder.  ``strict`` and ``mode`` are those of a batch run; documents that are set
+    aside lie below ``<silver>_rejected``, in a folder per load.  A large backlog is
+    taken in several batches with ``max_files_per_batch`` or ``max_bytes_per_batch``
+    (one of them).
     """
-    name = stream_name or hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    name = "-".join(filter(None, [stream_name, hashlib.sha256(checkpoint.encode()).hexdigest()[:12]]))
     write = {"parquet": write_parquet, "json": write_jsonl}[silver_format]
+    root = silver.rstrip("/")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         load_id = f"{name}-{batch_id}"
-        path = write(batch, f"{silver.rstrip('/')}/run_kind={DAILY}/{LOAD_ID}={load_id}")
+        folder = f"run_kind={DAILY}/{LOAD_ID}={load_id}"
+        raw = parse_lines(batch, mode=mode, keep_text=not strict or mode == PERMISSIVE)
+        raw, _ = accepted(raw, f"{root}_rejected/{folder}", strict=strict, mode=mode)
+        rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
+        path = write(rows, f"{root}/{folder}")
         load_append(
             read_silver(batch.sparkSession, path, fmt=silver_format), table, load_id=load_id
         )
 
-    reader = spark.readStream.schema(document_schema(keep_id=False)).option("mode", "FAILFAST")
+    reader = spark.readStream.option("maxFileAge", _ANY_AGE)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if max_bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
-    documents = reader.json(f"{landing.rstrip('/')}/run_kind={DAILY}")
-    rows = to_silver(flatten(documents), area=area, epoch=epoch, as_of=as_of)
+    lines = reader.text(f"{landing.rstrip('/')}/run_kind={DAILY}").select("value")
     return (
-        rows.writeStream.foreachBatch(load)
+        lines.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

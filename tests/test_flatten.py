@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from feedlake.functions import null_safe_float, row_json, whole_number
 from feedlake.operators import (
-    bounded_files,
     coordinates,
     counted,
     explode_features,
     flat_map_rows,
     flatten,
+    laid_out,
     map_rows,
     properties_flatten,
     record_count,
-    spread,
     typed_projection,
 )
-from feedlake.schemas import CORRUPT, FLAT
+from feedlake.schemas import FLAT
 from feedlake.sources import parse_documents
 
 
@@ -82,13 +81,12 @@ def test_geometry_wins_over_property_of_the_same_name(texts):
     assert lifted.asDict() == {"code": "a", "longitude": 1.0, "latitude": 2.0, "depth": 3.0}
 
 
-def test_text_in_place_of_a_number_is_malformed(texts):
-    docs = texts(document(feature("a", mag="strong", sig=1), feature("b")), document(feature("c")))
-    with pytest.raises(Exception, match="(?i)malformed"):
-        flatten(parse_documents(docs)).collect()
-    parsed = parse_documents(docs, mode="PERMISSIVE")
-    assert parsed.filter(f"{CORRUPT} IS NOT NULL").count() == 1
-    assert "c" in {row.code for row in flatten(parsed).collect()}
+def test_numbers_given_as_text(texts):
+    docs = [feature("a", mag="4.5", felt="7.0", dmin=" 0.25 "), feature("b", mag=4.5, felt=7, gap=1e3)]
+    a, b = flat_rows(texts, document(*docs))
+    assert (a.mag, a.felt, a.dmin, b.mag, b.felt, b.gap) == (4.5, 7, 0.25, 4.5, 7, 1000.0)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        flat_rows(texts, document(feature("a", mag="strong")))
 
 
 def test_feature_id_is_dropped_unless_kept(texts):
@@ -165,23 +163,14 @@ def test_counting(spark, tmp_path):
     assert record_count(frame).first().n_records == 777
 
 
-def test_bounded_files_follow_the_size(spark, tmp_path):
-    frame = spark.range(0, 5000, numPartitions=6)
-    one = str(tmp_path / "one")
-    bounded_files(frame, 1000, file_bytes=1000).write.parquet(one)
-    many = str(tmp_path / "many")
-    bounded_files(frame, 3500, file_bytes=1000).write.parquet(many)
-    for path, files in ((one, 1), (many, 4)):
-        stored = spark.read.parquet(path)
-        assert len(stored.inputFiles()) == files
-        assert stored.count() == 5000
-
-
-def test_spread_leaves_large_frames_alone(spark):
-    wide = spark.range(0, 100, numPartitions=50)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    cores = spark.sparkContext.defaultParallelism
-    for frame in (spread(narrow), spread(narrow, "id")):
-        assert frame.rdd.getNumPartitions() == cores
-        assert frame.count() == 100
+def test_explicit_number_of_files(spark, tmp_path):
+    path = str(tmp_path / "one")
+    laid_out(spark.range(0, 5000, numPartitions=6), 1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert (len(stored.inputFiles()), stored.count()) == (1, 5000)
+
+
+def test_user_functions_keep_integers_beside_nulls(spark):
+    large = 2**60 + 1
+    frame = spark.createDataFrame([(large, True), (None, None)], "n long, b boolean").coalesce(1)
+    assert {tuple(r) for r in map_rows(frame, lambda b: b, frame.schema).collect()} == {(large, True), (None, None)}

@@ -1,14 +1,24 @@
 import json
+import os
+import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import document, feature
 
 from feedlake.operators import flatten
-from feedlake.plans import load_warehouse, run_backfill, run_daily, run_silver, to_silver
+from feedlake.plans import (
+    load_silver,
+    load_warehouse,
+    run_backfill,
+    run_daily,
+    run_silver,
+    to_silver,
+)
 from feedlake.schemas import SILVER, WAREHOUSE
 from feedlake.sinks import land_documents
-from feedlake.sources import BACKFILL, DAILY, parse_documents, run_path
+from feedlake.sources import BACKFILL, DAILY, parse_documents, run_path, split_documents
 from feedlake.streaming import run_daily_stream
 
 AS_OF = datetime(2024, 10, 21, 9, 0, 0, 5000)
@@ -78,15 +88,60 @@ def test_backfill_then_daily_is_the_sum(spark, texts, lake):
     assert codes(spark) == ["a", "b", "c", "c"]
 
 
-def test_silver_files_follow_the_landed_size(spark, texts, lake):
+def test_silver_files_by_number_and_by_rows(spark, texts, lake):
     docs = texts(*[document(quake(f"c{i}")) for i in range(40)]).repartition(5)
-    report = run_backfill(spark, documents=docs, as_of=AS_OF, file_bytes=1 << 20, **lake)
+    report = run_backfill(spark, documents=docs, as_of=AS_OF, files=1, **lake)
     assert len(spark.read.parquet(report.silver_path).inputFiles()) == 1
-    report = run_backfill(spark, documents=docs, as_of=AS_OF, file_bytes=4096, **lake)
-    assert 2 < len(spark.read.parquet(report.silver_path).inputFiles()) <= 5
+    report = run_backfill(spark, documents=docs, as_of=AS_OF, files=1, records_per_file=15, **lake)
+    assert len(spark.read.parquet(report.silver_path).inputFiles()) == 3
     assert (report.records, report.table_rows) == (40, 40)
 
 
+def test_large_delivered_files_are_landed_as_pieces(spark, lake, tmp_path):
+    whole = {"type": "FeatureCollection", "features": [quake(f"c{i}") for i in range(400)]}
+    (tmp_path / "inbox.json").write_text(json.dumps(whole, separators=(",", ":")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        docs = split_documents(spark, str(tmp_path / "inbox.json"))
+        report = run_backfill(spark, documents=docs, as_of=AS_OF, **lake)
+        landed = spark.read.text(f"{lake['landing']}/run_kind=backfill/ingest_date=20241021")
+        assert landed.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (report.records, report.table_rows) == (400, 400)
+
+
+def test_what_a_run_does_not_take_is_set_aside(spark, texts, lake):
+    bad, empty = document(quake("x"))[:-9], '{"type": "FeatureCollection"}'
+    docs = texts(document(quake("a")), bad, empty, document(quake("b")))
+    options = {"documents": docs, "as_of": AS_OF, "mode": "PERMISSIVE", **lake}
+    report = run_backfill(spark, strict=False, **options)
+    assert (report.records, report.rejected, report.table_rows) == (2, 2, 2)
+    aside = spark.read.json(report.rejected_path)
+    assert sorted(r.value for r in aside.collect()) == sorted([bad, empty])
+    with pytest.raises(Exception, match="no features member"):
+        run_backfill(spark, strict=True, **options)
+    assert codes(spark) == ["a", "b"]
+    silver = run_silver(
+        spark, landing=lake["landing"], silver=lake["silver"], run_kind=BACKFILL, as_of=AS_OF,
+        mode="PERMISSIVE", strict=False,
+    )
+    assert (silver.records, silver.rejected) == (2, 2)
+
+
+def test_silver_is_loaded_alone(spark, texts, lake):
+    docs = texts(document(quake("a"), quake("b")))
+    run_daily(spark, documents=docs, as_of=AS_OF, silver_format="json", **lake)
+    place = {"silver": lake["silver"], "table": lake["table"], "run_date": "20241021", "silver_format": "json"}
+    assert load_silver(spark, **place) == 4
+    assert load_silver(spark, mode="overwrite", **place) == 2
+    assert load_silver(spark, mode="overwrite", count_table=False, **place) is None
+    assert spark.table("lake.feed").schema == WAREHOUSE
+    with pytest.raises(ValueError, match="upsert"):
+        load_silver(spark, mode="upsert", **place)
+
+
 def test_daily_with_a_load_id_can_be_repeated(spark, texts, lake):
     run_backfill(spark, documents=texts(document(quake("a"))), as_of=AS_OF, load_id="base", **lake)
     for _ in range(2):
@@ -169,6 +224,41 @@ def test_stream_backlog_in_several_batches(spark, texts, lake, tmp_path, limit):
     assert stored.select("load_id").distinct().count() == 3
 
 
+def test_stream_takes_old_files_too(spark, texts, lake, tmp_path):
+    options = {**lake, "checkpoint": str(tmp_path / "checkpoint"), "timeout": 120, "as_of": AS_OF}
+    land_documents(texts(document(quake("new"))), lake["landing"], DAILY, "20241021")
+    run_daily_stream(spark, **options)
+    late = land_documents(texts(document(quake("late"))), lake["landing"], DAILY, "20240901")
+    before = time.time() - 30 * 86400
+    for path in Path(late).glob("part-*"):
+        os.utime(path, (before, before))
+    run_daily_stream(spark, **options)
+    assert codes(spark) == ["late", "new"]
+
+
+def test_stream_stops_on_or_sets_aside_what_it_cannot_take(spark, texts, lake, tmp_path):
+    bad = document(quake("x"))[:-9]
+    docs = texts("{}", bad, document(quake("a")))
+    land_documents(docs, lake["landing"], DAILY, "20241021")
+    options = {**lake, "timeout": 120, "as_of": AS_OF}
+    with pytest.raises(Exception, match="(?i)malformed|no features member"):
+        run_daily_stream(spark, checkpoint=str(tmp_path / "one"), **options)
+    run_daily_stream(spark, checkpoint=str(tmp_path / "two"), strict=False, mode="PERMISSIVE", **options)
+    assert codes(spark) == ["a"]
+    aside = spark.read.json(f"{lake['silver']}_rejected/run_kind=daily")
+    assert sorted(r.value for r in aside.collect()) == sorted(["{}", bad])
+
+
+def test_one_stream_name_with_two_checkpoints_replaces_nothing(spark, texts, lake, tmp_path):
+    for number, name in enumerate(("one", "two")):
+        land_documents(texts(document(quake(name))), f"{lake['landing']}-{number}", DAILY, "20241021")
+        run_daily_stream(
+            spark, checkpoint=str(tmp_path / name), stream_name="feed", timeout=120,
+            **{**lake, "landing": f"{lake['landing']}-{number}"},
+        )
+    assert codes(spark) == ["one", "two"]
+
+
 def test_two_streams_share_a_table(spark, texts, lake, tmp_path):
     land_documents(texts(document(quake("a"))), lake["landing"], DAILY, "20241021")
     for name in ("one", "two"):

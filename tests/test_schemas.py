@@ -25,11 +25,11 @@ def test_silver_and_warehouse_have_31_columns_in_one_order():
 def test_document_schema_declares_only_what_is_asked():
     assert (
         document_schema(("place", "mag"), keep_id=False).simpleString()
-        == "struct<features:array<struct<properties:struct<mag:double,place:string>>>>"
+        == "struct<features:array<struct<properties:struct<mag:string,place:string>>>>"
     )
     assert (
         document_schema(("depth",), keep_id=False).simpleString()
-        == "struct<features:array<struct<geometry:struct<coordinates:array<double>>>>>"
+        == "struct<features:array<struct<geometry:struct<coordinates:array<string>>>>>"
     )
 
 

@@ -92,6 +92,34 @@ def test_overwrite_may_change_the_columns(spark, table):
     assert spark.table(table).columns == ["id", "v"]
 
 
+def test_an_overwrite_that_fails_leaves_the_table(spark, table):
+    load_overwrite(spark.range(3), table)
+    broken = spark.range(5).withColumn("v", F.expr("if(id = 3, raise_error('no'), 1)"))
+    with pytest.raises(Exception, match="no"):
+        load_overwrite(broken, table)
+    assert sorted(r.id for r in spark.table(table).collect()) == [0, 1, 2]
+    assert [t.name for t in spark.catalog.listTables("sinks")] == ["feed"]
+
+
+def test_an_append_must_have_the_columns_of_the_table(spark, table):
+    load_append(spark.range(3), table, load_id="a")
+    for rows in (spark.range(3).withColumn("more", F.lit(1)), spark.range(3).select(F.col("id").alias("x"))):
+        with pytest.raises(ValueError, match="more|x"):
+            load_append(rows, table, load_id="b")
+    with pytest.raises(ValueError, match="load id"):
+        load_append(spark.range(3), table)
+    load_overwrite(spark.range(2), table)
+    with pytest.raises(ValueError, match="load id"):
+        load_append(spark.range(3), table, load_id="b")
+    assert spark.table(table).count() == 2
+
+
+def test_a_bare_line_break_in_a_string_is_not_repaired(spark, texts, tmp_path):
+    broken = document(feature("a", place="x")).replace('"x"', '"x\ny"')
+    with pytest.raises(Exception, match="line break inside a string"):
+        land_documents(texts(broken), str(tmp_path), DAILY, "20240101")
+
+
 def test_load_id_makes_a_load_repeatable(spark, table):
     load_overwrite(spark.range(5), table, load_id="base")
     for _ in range(2):

@@ -11,7 +11,6 @@ from feedlake.sinks import land_documents, write_jsonl, write_parquet
 from feedlake.sources import (
     BACKFILL,
     DAILY,
-    input_bytes,
     parse_documents,
     read_autodetect,
     read_documents,
@@ -20,7 +19,6 @@ from feedlake.sources import (
     read_split_documents,
     read_text_documents,
     run_file_glob,
-    run_path,
 )
 
 
@@ -88,6 +86,49 @@ def test_malformed_documents(spark, tmp_path, texts):
     assert [row[CORRUPT] for row in parsed.collect()] == [broken, None]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["{0}{0}", "{0} {0}", "{0},{0}", "{0} garbage ]]", "{0}]", "[{0}]", "null", "5", "{{", "[]", '{0},"x":1'],
+)
+def test_one_text_is_one_document(spark, texts, tmp_path, text):
+    """Whatever follows the document is an error, in every reader."""
+    bad = text.format(compact(feature("a")))
+    deliver(tmp_path / "bad", "1.json", bad)
+    for read in (
+        lambda mode: parse_documents(texts(bad), mode=mode),
+        lambda mode: read_documents(spark, str(tmp_path / "bad"), mode=mode),
+        lambda mode: read_documents(spark, str(tmp_path / "bad"), mode=mode, multi_line=True),
+    ):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read("FAILFAST").collect()
+        (row,) = read("PERMISSIVE").collect()
+        assert row["features"] is None and row[CORRUPT].strip() == bad
+    with pytest.raises(Exception, match="(?i)malformed|not one whole"):
+        codes(read_split_documents(spark, str(tmp_path / "bad")), strict=True)
+
+
+def test_two_documents_in_a_file_of_lines_are_two(spark, tmp_path):
+    deliver(tmp_path, "1.json", document(feature("a")) + "\n\n  \n" + document(feature("b")) + "\n")
+    assert codes(read_documents(spark, str(tmp_path))) == ["a", "b"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        codes(read_documents(spark, str(tmp_path), multi_line=True))
+
+
+@pytest.mark.parametrize("cut", ["comma", "feature", "second", "other second"])
+def test_split_scan_stops_on_cut_files_and_second_documents(spark, tmp_path, cut):
+    whole = compact(*features("a", 5))
+    end = whole.index('{"type":"Feature","properties":{"code":"a3"')
+    text = {
+        "comma": whole[:end],
+        "feature": whole[: end + 40],
+        "second": whole + "\n" + whole,
+        "other second": whole + "\n" + json.dumps(json.loads(whole), indent=1),
+    }[cut]
+    deliver(tmp_path, "1.json", text)
+    with pytest.raises(Exception, match="(?i)malformed|not one whole"):
+        codes(read_split_documents(spark, str(tmp_path)), strict=True)
+
+
 @pytest.mark.parametrize("split_bytes", ["3000", "134217728"])
 def test_split_scan_of_large_documents(spark, tmp_path, split_bytes):
     deliver(tmp_path, "1.json", compact(*features("a", 500), metadata={"count": 500}))
@@ -171,7 +212,6 @@ def test_one_run_of_the_landing_zone(spark, texts, tmp_path):
     row = flatten(run, keep=["run_kind", "ingest_date"]).first()
     assert (row.run_kind, row.ingest_date, row.code) == (DAILY, "20240102", "b")
     assert codes(read_run(spark, root, DAILY, ["20240101", "20240102"])) == ["a", "b"]
-    assert input_bytes(spark, root) > input_bytes(spark, run_path(root, DAILY, "20240101")) > 0
 
 
 def test_silver_lines_have_warehouse_types(spark, texts, tmp_path):
