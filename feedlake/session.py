@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -35,11 +37,19 @@ def feed_session(
 _local_scratch: dict[str, str] = {}
 
 
+def _temporary_folder() -> str:
+    """A new folder on this machine that goes when Python ends."""
+    folder = tempfile.mkdtemp(prefix="feedlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is missing a temporary folder is made, one per application,
-    but only when the whole of Spark runs on this machine.
+    Where the setting is missing a temporary folder is made, one per application, but
+    only when the whole of Spark runs on this machine; it goes when Python ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -48,7 +58,7 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_scratch:
-        _local_scratch[application] = tempfile.mkdtemp(prefix="feedlake-")
+        _local_scratch[application] = _temporary_folder()
     return _local_scratch[application]
 
 
@@ -70,7 +80,7 @@ def ship_library(spark: SparkSession) -> None:
     if application in _shipped:
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="feedlake-"), "feedlake.zip")
+    archive = os.path.join(_temporary_folder(), "feedlake.zip")
     with zipfile.ZipFile(archive, "w") as out:
         for folder, _, names in os.walk(package):
             for name in names:
