@@ -63,9 +63,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, checked by decoding them."""
     pieces = piece_lattice.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    both = piece_lattice.decoded(piece_lattice.encoded(docs, pieces), pieces)
+    both = piece_lattice.encoded_and_checked(docs, pieces)
     wrong = F.raise_error(F.lit("decoding did not give a text back")).cast("array<int>")
-    ids = F.when(F.expr("decoded <=> text"), F.col("ids")).otherwise(wrong)
+    ids = F.when(F.col("round_trip"), F.col("ids")).otherwise(wrong)
     return both.select("doc_id", "lang", "source", ids.alias("ids"), F.size("ids").cast("long").alias("n_ids"))
 
 

@@ -49,15 +49,18 @@ def with_column_in_arrow(
     name: str,
     kind: T.DataType | str,
     values: Callable[[pa.RecordBatch], pa.Array],
+    rows: int = 256,
 ) -> DataFrame:
-    """``frame`` and one more column, computed batch by batch in Arrow."""
+    """``frame`` and one more column, computed in Arrow for ``rows`` rows at a time."""
     kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
     schema = T.StructType([*frame.schema.fields, T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [*batch.columns, values(batch)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
+        for whole in batches:
+            for begin in range(0, len(whole), rows):
+                batch = whole.slice(begin, rows)
+                columns = [*batch.columns, values(batch)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
 
     return frame.mapInArrow(run, schema)
 

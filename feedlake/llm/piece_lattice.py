@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import once, quoted, with_column_in_arrow, written
+from feedlake.llm.frames import once, quoted, unused, with_column_in_arrow, written
 
 DICTIONARY_WORDS = 200_000
 
@@ -58,7 +58,7 @@ class Pieces:
     merges: bool = False
     known: dict[str, bytes] = field(default_factory=dict)
 
-    MOST_WORDS = 500_000
+    MOST_WORDS = 400_000
 
     @classmethod
     def load(cls, model: str) -> Pieces:
@@ -98,6 +98,28 @@ class Pieces:
 
     def merged_path(self, word: str) -> list[int]:
         """Ids of one word by merging neighbours, best score first, leftmost of equals."""
+        return self._merged_short(word) if len(word) <= LONGEST_WORD else self._merged_long(word)
+
+    def _merged_short(self, word: str) -> list[int]:
+        """By looking at all neighbours after each merge."""
+        parts, score, none = list(word), self._score.get, self._byte_score
+        best = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while best:
+            top = max(best)
+            if top == none:
+                break
+            i = best.index(top)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del best[i]
+            if i:
+                best[i - 1] = score(parts[i - 1] + parts[i], none)
+            if i < len(best):
+                best[i] = score(parts[i] + parts[i + 1], none)
+        scores = self.scores
+        return [i for part in parts for i in ([scores[part][1]] if part in scores else self._single(part))]
+
+    def _merged_long(self, word: str) -> list[int]:
+        """With a heap of neighbours, for words of any length."""
         n, scores = len(word), self.scores
         after = list(range(1, n + 1))  # where the part that begins here ends; 0 once it is gone
         before = list(range(-1, n))  # where the part in front of this place begins
@@ -161,6 +183,7 @@ class Pieces:
 
     def ready(self) -> Pieces:
         self._longest, self._byte_score = self.longest, self.byte_score
+        self._score = {text: score for text, (score, _) in self.scores.items()}
         self._local: dict[str, bytes] = {}
         return self
 
@@ -294,15 +317,40 @@ def encoded(docs: DataFrame, pieces: Pieces, *, text: str = "text", ids: str = "
     def run(batch: pa.RecordBatch) -> pa.Array:
         own = _of(shared)
         texts = batch.column(batch.schema.names.index(text)).to_pylist()
-        parts = [None if body is None else own.ids(body) for body in texts]
-        sizes = np.array([0 if p is None else len(p) for p in parts])
-        flat = np.concatenate([p for p in parts if p is not None] or [np.empty(0, np.int32)])
-        edges = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-        return pa.ListArray.from_arrays(edges, pa.array(flat, pa.int32()), mask=pa.array([p is None for p in parts]))
+        return _listed([None if body is None else own.ids(body) for body in texts])
 
     return with_column_in_arrow(docs, ids, "array<int>", run)
 
 
+def encoded_and_checked(
+    docs: DataFrame, pieces: Pieces, *, text: str = "text", ids: str = "ids", whole: str = "round_trip"
+) -> DataFrame:
+    """``docs``, the ``ids`` of their texts, and in ``whole`` whether decoding them gives
+    the text back; one pass over the texts for both."""
+    shared = docs.sparkSession.sparkContext.broadcast(pieces)
+    name = unused(docs, "encoded")
+
+    def run(batch: pa.RecordBatch) -> pa.Array:
+        own = _of(shared)
+        texts = batch.column(batch.schema.names.index(text)).to_pylist()
+        parts = [None if body is None else own.ids(body) for body in texts]
+        good = [p is None or own.text(p) == body for p, body in zip(parts, texts)]
+        return pa.StructArray.from_arrays([_listed(parts), pa.array(good)], names=["ids", "good"])
+
+    both = with_column_in_arrow(docs, name, "struct<ids: array<int>, good: boolean>", run)
+    return both.select(
+        *[F.col(quoted(c)) for c in docs.columns], F.col(f"{name}.ids").alias(ids), F.col(f"{name}.good").alias(whole)
+    )
+
+
+def _listed(parts: list[np.ndarray | None]) -> pa.Array:
+    """Arrays as a column of lists, nulls staying nulls."""
+    sizes = np.array([0 if p is None else len(p) for p in parts])
+    flat = np.concatenate([p for p in parts if p is not None] or [np.empty(0, np.int32)])
+    edges = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+    return pa.ListArray.from_arrays(edges, pa.array(flat, pa.int32()), mask=pa.array([p is None for p in parts]))
+
+
 def decoded(docs: DataFrame, pieces: Pieces, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` and the ``text`` of their ``ids``."""
     shared = docs.sparkSession.sparkContext.broadcast(pieces)

@@ -71,10 +71,8 @@ def op4_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether decoding them gives its text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = piece_lattice.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    both = piece_lattice.decoded(piece_lattice.encoded(docs, pieces), pieces)
-    return both.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.expr("decoded <=> text").alias("round_trip")
-    )
+    both = piece_lattice.encoded_and_checked(docs, pieces)
+    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 
 def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
