@@ -146,6 +146,69 @@ FROM payloads p JOIN digits d ON p.hex = d.hex
 WINDOW w AS (PARTITION BY p.hex)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+_ALPHANUMERIC = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP8_SQL = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE
+      WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+    FROM texts)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y
+),
+links AS (
+  SELECT x, y FROM common c JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c.n >= 90 * (p.n + q.n - c.n)
+),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM texts
+  UNION
+  SELECT r.x, l.y FROM reached r
+  JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON r.y = l.x
+)
+SELECT t.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM texts t LEFT JOIN sizes s ON t.doc_id = s.doc_id JOIN reached r ON r.x = t.doc_id
+GROUP BY t.doc_id
+"""
+
+OP10_SQL = f"""
+WITH texts AS (SELECT doc_id, {_ALPHANUMERIC} AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS k
+  FROM (SELECT item_id, {_ALPHANUMERIC} AS w FROM benchmark) WHERE len(w) > 0
+),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)
+),
+places AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS words
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM texts, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+),
+found AS (SELECT doc_id, i, k, item FROM places JOIN windows USING (k, words)),
+hits AS (
+  SELECT doc_id, count(DISTINCT j) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
+  coalesce(m.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  h.n IS NOT NULL AS contaminated
+FROM texts t LEFT JOIN hits h ON t.doc_id = h.doc_id LEFT JOIN named m ON t.doc_id = m.doc_id
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
@@ -154,7 +217,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op5_attention_lm": (op5_attention_lm, None),
     "op6_license_scan": (op6_license_scan, None),
     "op7_site_templates": (op7_site_templates, None),
-    "op8_ngram_join": (op8_ngram_join, None),
+    "op8_ngram_join": (op8_ngram_join, OP8_SQL),
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
-    "op10_suffix_decontamination": (op10_suffix_decontamination, None),
+    "op10_suffix_decontamination": (op10_suffix_decontamination, OP10_SQL),
 }
