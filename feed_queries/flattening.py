@@ -83,16 +83,28 @@ def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_columns(spark, sf_dir).drop("of_position", "length")
 
 
-def flat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User generator: each document gives one row per line."""
+_CHUNK = 200
 
-    def lines(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        rows = batch.assign(line=batch["text"].str.split("\n")).explode("line")
-        rows["line_no"] = rows.groupby("doc_id").cumcount()
-        yield rows[["doc_id", "line_no", "line"]]
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return flat_map_rows(docs, lines, "doc_id long, line_no long, line string")
+def flat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User generator: the lines of each document, packed one after the other into chunks
+    of at most 200 characters; a longer line is a chunk of its own."""
+
+    def chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rows: list[list] = []
+        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            number = -1
+            for line in text.split("\n"):
+                if number >= 0 and len(rows[-1][3]) + 1 + len(line) <= _CHUNK:
+                    rows[-1][2] += 1
+                    rows[-1][3] += "\n" + line
+                else:
+                    number += 1
+                    rows.append([doc_id, number, 1, line])
+        yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "n_lines", "chunk"])
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").filter("text IS NOT NULL")
+    return flat_map_rows(docs, chunks, "doc_id long, chunk_no long, n_lines long, chunk string")
 
 
 def one_to_one(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,8 +166,22 @@ QUERIES = {
     ),
     "q_flat_map": (
         flat_map,
-        """SELECT doc_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line
-           FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)""",
+        f"""WITH RECURSIVE lines AS (
+              SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+            ),
+            packed AS (
+              SELECT doc_id, i, CAST(0 AS BIGINT) AS chunk_no, length(line) AS used
+              FROM lines WHERE i = 0
+              UNION ALL
+              SELECT n.doc_id, n.i,
+                p.chunk_no + CASE WHEN p.used + 1 + length(n.line) <= {_CHUNK} THEN 0 ELSE 1 END,
+                length(n.line) + CASE WHEN p.used + 1 + length(n.line) <= {_CHUNK}
+                  THEN p.used + 1 ELSE 0 END
+              FROM packed p JOIN lines n ON n.doc_id = p.doc_id AND n.i = p.i + 1
+            )
+            SELECT doc_id, chunk_no, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS chunk
+            FROM packed JOIN lines USING (doc_id, i) GROUP BY doc_id, chunk_no""",
     ),
     "q_map_rows": (
         one_to_one,
