@@ -104,7 +104,8 @@ def _banded(hashes: str, count: int, rows: int) -> str:
 
 def _template_blocks(templates: DataFrame, name: str, text: str, block_shingles: int) -> Iterator[list[tuple]]:
     """Name, distinct shingles, window length and number of each template, block by block."""
-    shingled = _shingled(templates.select(F.col(quoted(name)).cast("string").alias("license"), F.col(quoted(text)).alias("t")), "t", "license")
+    named = F.col(quoted(name)).cast("string").alias("license")
+    shingled = _shingled(templates.select(named, F.col(quoted(text)).alias("t")), "t", "license")
     block, size, number = [], 0, 0
     for row in shingled.select("license", F.array_distinct("h").alias("s"), F.size("h").alias("n")).toLocalIterator():
         if not row["n"]:
@@ -151,7 +152,8 @@ def _found_in_block(docs: DataFrame, block: list[tuple], least_containment: floa
     least_jaccard = min(least_containment * len(s) / (length + (1 - least_containment) * len(s)) for _, _, s, length in block)
     count, rows = bands(least_jaccard)
     lengths = sorted({length for *_, length in block})
-    wanted = "array(" + ", ".join(f"{x}L" if x > -(2**63) else "-9223372036854775807L - 1L" for x in sorted({x for _, _, s, _ in block for x in s})) + ")"
+    known_shingles = sorted({x for _, _, shingles, _ in block for x in shingles})
+    wanted = "array(" + ", ".join(f"cast('{x}' AS bigint)" for x in known_shingles) + ")"
     # Within the row: shingles of templates, where they stand, and the windows around them.
     starts = ", ".join(
         f"transform(sequence(greatest(0, (p - {w - 1} + {_stride(w) - 1}) div {_stride(w)} * {_stride(w)}), "
@@ -159,6 +161,7 @@ def _found_in_block(docs: DataFrame, block: list[tuple], least_containment: floa
         for w in lengths
     )
     at = "filter(transform(h, (x, i) -> if(array_contains(v, x), i, NULL)), p -> p IS NOT NULL)"
+    windows = f"array_distinct(flatten(transform(at, p -> concat({starts}))))"
     pieces = """transform(windows, w -> struct(
         w.length, w.start, slice(h, cast(w.start AS int) + 1, w.length) AS piece))"""
     placed = (
@@ -166,7 +169,7 @@ def _found_in_block(docs: DataFrame, block: list[tuple], least_containment: floa
         .select("row", "doc_id", "h", F.expr(once(f"array_intersect(h, {wanted})")).alias("v"))
         .filter("size(v) > 0")
         .select("row", "doc_id", "h", F.expr(once(at)).alias("at"))
-        .select("row", "doc_id", "h", F.expr(once(f"array_distinct(flatten(transform(at, p -> concat({starts}))))")).alias("windows"))
+        .select("row", "doc_id", "h", F.expr(once(windows)).alias("windows"))
         .select("row", "doc_id", F.expr(once(pieces)).alias("pieces"))
         .select("row", "doc_id", F.explode("pieces").alias("w"))
         .select("row", "doc_id", "w.*")

@@ -288,7 +288,8 @@ def fit(rows: DataFrame, *, share: float = KEPT_SHARE, label: str = "mcd") -> Da
 
 def _scaled(rows: DataFrame, fits: DataFrame) -> DataFrame:
     inverse = _inverted(fits, ["pool"])
-    median = rows.join(inverse, "pool").groupBy("pool").agg(F.percentile_approx(F.expr(_squared()), 0.5, 10000).alias("median"))
+    middle = F.percentile_approx(F.expr(_squared()), 0.5, 10000).alias("median")
+    median = rows.join(inverse, "pool").groupBy("pool").agg(middle)
     scale = F.greatest(F.col("median") / chi_square_point(0.5, _D), F.lit(1e-3)).alias("scale")
     return inverse.join(median.select("pool", scale), "pool")
 

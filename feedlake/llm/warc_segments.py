@@ -238,7 +238,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 size = 0
                 for fields, block in parse_records(data):
                     number = int(fields.get("warc-segment-number", 0))
-                    page = fields.get("x-page-id")
+                    page, total = fields.get("x-page-id"), fields.get("warc-segment-total-length")
                     rows.append(
                         {
                             "record_id": fields["warc-record-id"],
@@ -249,7 +249,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                             "refers_to": fields.get("warc-refers-to"),
                             "segment": number,
                             "origin": fields.get("warc-segment-origin-id") or fields["warc-record-id"],
-                            "total": int(fields["warc-segment-total-length"]) if "warc-segment-total-length" in fields else None,
+                            "total": int(total) if total else None,
                             "block": block,
                         }
                     )
