@@ -12,7 +12,7 @@
 
 A list of thousands of near copies would have millions of pairs.  First every
 document is paired with two members of its lists only; what that links is one
-component.  Then exactly the pairs that are left, those across components,
+component, and what is still outside is paired once more.  Then exactly the pairs that are left, those across components,
 are made: all members outside the component that a list mostly consists of, with
 all members of the list.  Pairs within a component cannot change the result.
 """
@@ -36,6 +36,9 @@ PERCENT = 90
 SKETCH_BITS = 20
 _SECTIONS = 64
 
+# Members of a component that one outside it is paired with, per list, before all are.
+_PARTNERS = 16
+
 # N-grams per bin of a set's outline, at least; less than twice as many.
 _PER_BIN = 4
 
@@ -309,32 +312,51 @@ def _class_components(classes: DataFrame, docs: DataFrame, size: int, percent: i
             F.min(F.when(F.col("drawn.doc_id") != F.col("doc_id"), F.struct("drawn", "pos"))).alias("drawn"),
         )
     )
-    ends = [F.struct(f"{h}.pos", *[f"{h}.{h}.{c}" for c in rest[:2]], F.col(f"{h}.{h}.pos").alias("pb")) for h in ("central", "drawn")]
+    ends = [
+        F.struct(f"{h}.pos", f"{h}.{h}.doc_id", f"{h}.{h}.n", F.col(f"{h}.{h}.pos").alias("pb"))
+        for h in ("central", "drawn")
+    ]
     spokes = near_hubs.select("a", "na", F.explode(F.array(*ends)).alias("hub")).selectExpr(
         "a", "na", "hub.pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pb AS pb"
     )
     first = written(_candidates(spokes, percent), "pairs")
     links = _linked(first, classes, docs, size, percent)
-    near = connected(links)
-    # What is left: pairs across components.
-    labels = near.withColumnRenamed("node", "doc_id")
-    placed = written(
-        shared.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed"
+    members = _mixed_lists(shared, connected(links))
+    # Members outside the component that a list mostly consists of are paired with a few
+    # members of it from each of their lists, which leaves few of them.
+    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(_PARTNERS)).alias("share")
+    chance = F.struct(F.xxhash64(F.lit("drawn"), "doc_id", "gram").alias("draw"), *rest)
+    partners = members.filter("component = main").groupBy("gram", share).agg(F.min(chance).alias("hub"))
+    spokes = members.filter("component <> main").join(partners, "gram").selectExpr(
+        "doc_id AS a", "n AS na", "pos AS pa", "hub.doc_id AS b", "hub.n AS nb", "hub.pos AS pb"
     )
-    split = (
-        placed.groupBy("gram")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min(F.struct("pos", draw, "component")).alias("central"),
-        )
-        .filter("low < high")
-        .select("gram", F.col("central.component").alias("main"))
+    second = written(_candidates(spokes, percent).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = _linked(second, classes, docs, size, percent)
+    if more.head(1):
+        links = links.union(more)
+        members = _mixed_lists(shared, connected(links))
+    # What is left: pairs across components.
+    left = members.filter("component <> main").selectExpr(
+        "gram", "doc_id AS a", "n AS na", "pos AS pa", "component AS ca"
     )
-    members = placed.join(split, "gram")
-    strays = members.filter("component <> main")
-    left = strays.selectExpr("gram", "doc_id AS a", "n AS na", "pos AS pa", "component AS ca")
     right = members.selectExpr("gram", "doc_id AS b", "n AS nb", "pos AS pb", "component AS cb")
-    across = _candidates(left.join(right, "gram").filter("ca <> cb"), percent).join(first, ["a", "b"], "left_anti")
+    across = _candidates(left.join(right, "gram").filter("ca <> cb"), percent)
+    across = across.join(first.union(second), ["a", "b"], "left_anti")
     more = _linked(written(across, "pairs"), classes, docs, size, percent)
-    return connected(links.union(more)) if more.head(1) else near
+    return connected(links.union(more))
+
+
+def _mixed_lists(shared: DataFrame, near: DataFrame) -> DataFrame:
+    """Entries of lists with members of several components, with their ``component`` and
+    the one of the list's central member, ``main``."""
+    labels = near.withColumnRenamed("node", "doc_id")
+    component = F.coalesce("component", "doc_id")
+    placed = written(shared.join(labels, "doc_id", "left").withColumn("component", component), "placed")
+    draw = F.xxhash64("doc_id", "gram").alias("draw")
+    lists = placed.groupBy("gram").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min(F.struct("pos", draw, "component")).alias("central"),
+    )
+    mixed = lists.filter("low < high").select("gram", F.col("central.component").alias("main"))
+    return placed.join(mixed, "gram")
