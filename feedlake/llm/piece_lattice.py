@@ -58,7 +58,7 @@ class Pieces:
     merges: bool = False
     known: dict[str, bytes] = field(default_factory=dict)
 
-    MOST_WORDS = 400_000
+    MOST_WORDS = 200_000
 
     @classmethod
     def load(cls, model: str) -> Pieces:
@@ -286,7 +286,8 @@ def merged_paths(edges: DataFrame) -> DataFrame:
     best = f"array_max(transform({fits}, e -> struct(e.score AS score, -e.start AS place, e.end AS end)))"
     fold = f"""aggregate(sequence(1, n), sequence(0, n), (c, k) -> aggregate(array({best}), c,
         (d, b) -> if(b IS NULL, d, filter(d, x -> x <= -b.place OR x >= b.end))))"""
-    part = "array_max(transform(filter(edges, e -> e.start = get(cuts, i) AND e.end = get(cuts, i + 1)), e -> struct(e.score AS score, e.ids AS ids))).ids"
+    between = "filter(edges, e -> e.start = get(cuts, i) AND e.end = get(cuts, i + 1))"
+    part = f"array_max(transform({between}, e -> struct(e.score AS score, e.ids AS ids))).ids"
     cut = whole.select("word", "edges", F.expr(once(fold)).alias("cuts"))
     return cut.select("word", F.expr(f"flatten(transform(sequence(0, size(cuts) - 2), i -> {part}))").alias("ids"))
 

@@ -31,7 +31,7 @@ from feedlake.llm.frames import quoted, unused, written
 from feedlake.llm.words import ALPHANUMERIC, Block, text_hashes, word_blocks
 
 WINDOW_WORDS = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_WORDS = 500_000
 
 VERDICT = T.StructType(
