@@ -1,14 +1,15 @@
 """Main text of web pages, with site templates found by counting element subtrees.
 
-Every element outside the marked main content is hashed with all that stands below
-it.  Spark counts, per host, on how many pages each hash occurs; subtrees that recur on
+Every block element is hashed with all that stands below it.  Spark counts, per host, on how many pages each hash occurs; subtrees that recur on
 many pages of a host are its template and are deleted.  Elements that say what they are
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) go
 in any case.  What is left of the article, or of the body of a page without one, is the
 text: one line per block, white space inside a block being one space.
 
-Paragraphs of a marked article are never deleted as templates: copies of an article on
-many pages of a host are not part of its template.
+Inside the marked main content, boxes, sections, lists and tables that recur go as well.
+Not counted there are elements that hold most of its text and, in an article, its headings,
+paragraphs and single list items and cells: copies of an article, and passages that
+articles share, are not part of the template of a host.
 
 Counts are sums over (host, hash), so a host with a third of all pages is added up
 before it is moved.  A page is parsed twice, once for the counts and once for its text;
@@ -54,6 +55,8 @@ _BLOCKS = set(
     "h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul caption".split()
 )
+# Parts of the text of an article, rather than boxes in it.
+_PASSAGES = set("h1 h2 h3 h4 h5 h6 header hgroup p li dt dd caption thead tbody tfoot tr th td".split())
 # An element of the first kind ends an open one of the second.
 _ENDS = {
     **{tag: ("p",) for tag in _BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "body", "html"}},
@@ -81,6 +84,7 @@ class _Element:
     main: _Element | None
     parts: list[str] = field(default_factory=list)
     subtree: int = 0
+    size: int = 0
     says: bool = False
     has_main: bool = False
 
@@ -152,6 +156,7 @@ class Page:
         if text and not text.isspace():
             here = self.stack[-1]
             here.parts.append(text)
+            here.size += 0 if here.gone else len(text)
             self.pieces.append((here, self.block, text))
         elif text and self.pieces:
             self.pieces.append((self.stack[-1], self.block, " "))
@@ -208,16 +213,12 @@ class Page:
         one.subtree = xxhash.xxh64_intdigest(body) - (1 << 63)
         above.parts.append(f"\x02{one.subtree:x}")
         above.has_main = above.has_main or one.has_main
+        above.size += one.size
         self.closed.append(one)
 
     def subtrees(self) -> set[int]:
-        """Hashes of block elements outside the main content."""
-        return {
-            one.subtree
-            for one in self.closed
-            if one.tag in _BLOCKS and one.main is None and not one.has_main and one.says
-            and one.tag not in ("html", "body")
-        }
+        """Hashes of block elements that may be templates."""
+        return {one.subtree for one in self.closed if one.says and _may_recur(one)}
 
     def blocks(self) -> list[tuple[str, list[int]]]:
         """Text blocks of the main content, each with the subtrees that it lies in."""
@@ -236,7 +237,7 @@ class Page:
         def flush() -> None:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, [] if chosen is not None else _chain(holder)))
+                out.append((text, _chain(holder)))
 
         for element, block, text in self.pieces:
             if element.gone or (chosen is not None and element.main is not chosen):
@@ -251,10 +252,19 @@ class Page:
         return out
 
 
+def _may_recur(one: _Element) -> bool:
+    """Whether an element is a template if it recurs; main content and what it lies in is none."""
+    if one.tag not in _BLOCKS or one.has_main or one.tag in ("html", "body"):
+        return False
+    if one.main is None:
+        return True
+    return 2 * one.size <= one.main.size and not (one.main.tag == "article" and one.tag in _PASSAGES)
+
+
 def _chain(element: _Element | None) -> list[int]:
     found = []
     while element is not None:
-        if element.tag in _BLOCKS:
+        if _may_recur(element):
             found.append(element.subtree)
         element = element.parent
     return found
@@ -332,7 +342,7 @@ def main_texts(
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and ``n_templates``, the subtrees of the page
-    outside its article that are part of the template of its host."""
+    that are part of the template of its host."""
     columns = [F.col(quoted(page_id)).alias("page_id"), F.col(quoted(url)).cast("string").alias("url"),
                F.col(quoted(html)).alias("html")]
     slim = pages.select(*columns).withColumn("page_id", F.col("page_id").cast("long"))

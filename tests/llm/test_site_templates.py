@@ -65,3 +65,20 @@ def test_odd_rows(spark):
 def test_host():
     assert sites.host_of("https://User@WWW.Example.org:8080/a?b") == "www.example.org"
     assert sites.host_of(None) == sites.host_of("no address") == ""
+
+
+def test_boxes_inside_main_content_go(spark):
+    """Boxes that recur inside <article> and <main> go; an article's own passages and copies of it stay."""
+    box = "<div class=xyz><p>Read this too</p><ul><li>one</ul></div>"
+    article = "<article><h1>Shared title</h1><div><p>story {i} is long enough to be most of it</p></div><p>a passage</p>{box}</article>"
+    main = "<main><div><p>tale {i} is long enough to be most of it all</p></div><section>{box}</section></main>"
+    copy = "<article><div class=body><h1>Copied</h1><p>the very same story</p></div></article>"
+    rows = [(i, "https://a.example/", article.format(i=i, box=box), "k", "t", "h") for i in range(6)]
+    rows += [(10 + i, "https://b.example/", main.format(i=i, box=box), "k", "t", "h") for i in range(6)]
+    rows += [(20 + i, "https://c.example/", copy, "k", "t", "h") for i in range(6)]
+    rows += [(30, "https://d.example/", article.format(i=30, box=box), "k", "t", "h")]
+    out = {r["page_id"]: r for r in sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[3]["text"] == "Shared title\nstory 3 is long enough to be most of it\na passage"
+    assert out[13]["text"] == "tale 3 is long enough to be most of it all"
+    assert out[23]["text"] == "Copied\nthe very same story"
+    assert out[30]["text"].endswith("a passage\nRead this too\none")
