@@ -1,7 +1,7 @@
 """Main text of web pages, with site templates found by counting element subtrees.
 
 Every block element is hashed with all that stands below it.  Spark counts, per host, on how many pages each hash occurs; subtrees that recur on
-many pages of a host are its template and are deleted.  Elements that say what they are
+many pages of a host are its template and are deleted, whatever the number of its pages.  Elements that say what they are
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) go
 in any case.  What is left of the article, or of the body of a page without one, is the
 text: one line per block, white space inside a block being one space.
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from feedlake.llm.frames import quoted
 
 LEAST_PAGES = 5
-LEAST_SHARE = 0.1
 
 # What elements are for, by tag, role, and words of class and id.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
@@ -318,18 +317,14 @@ def _blocks(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, _PARSED)
 
 
-def site_templates(
-    subtrees: DataFrame, *, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE
-) -> DataFrame:
-    """``host`` and ``subtree`` of what recurs on many pages of the host."""
-    pages = subtrees.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    counts = (
+def site_templates(subtrees: DataFrame, *, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host`` and ``subtree`` of what recurs on ``least_pages`` pages of a host of any size."""
+    return (
         subtrees.select("host", F.explode("subtrees").alias("subtree"))
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("pages"))
         .filter(F.col("pages") >= least_pages)
     )
-    return counts.join(pages, "host").filter(F.col("pages") >= least_share * F.col("host_pages"))
 
 
 def main_texts(
@@ -339,7 +334,6 @@ def main_texts(
     url: str = "url",
     html: str = "html",
     least_pages: int = LEAST_PAGES,
-    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and ``n_templates``, the subtrees of the page
     that are part of the template of its host."""
@@ -353,7 +347,7 @@ def main_texts(
         F.xxhash64(F.lit("second"), "html", "url", "page_id").alias("key_b"),
     )
     subtrees = _subtrees(keyed)
-    recurring = site_templates(subtrees, least_pages=least_pages, least_share=least_share)
+    recurring = site_templates(subtrees, least_pages=least_pages)
     on_page = subtrees.select("key_a", "key_b", "host", F.explode("subtrees").alias("subtree"))
     hits = (
         on_page.join(recurring.select("host", "subtree"), ["host", "subtree"])

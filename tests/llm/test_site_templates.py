@@ -82,3 +82,11 @@ def test_boxes_inside_main_content_go(spark):
     assert out[13]["text"] == "tale 3 is long enough to be most of it all"
     assert out[23]["text"] == "Copied\nthe very same story"
     assert out[30]["text"].endswith("a passage\nRead this too\none")
+
+
+def test_templates_of_a_section_of_a_large_host_go(spark):
+    """What recurs on a small share of a host with many pages is a template too."""
+    rows = [(i, f"https://a.example/{i}", page(f"story {i}", "All of this section" if i < 8 else f"note {i}", i), "k", "t", "h") for i in range(400)]
+    out = {r["page_id"]: r for r in sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[3]["text"] == "story 3\nno 3"
+    assert out[300]["text"] == "story 300\nnote 300\nno 300"
