@@ -1,7 +1,8 @@
 """Main text of web pages, with site templates found by counting element subtrees.
 
-Every block element is hashed with all that stands below it.  Spark counts, per host, on how many pages each hash occurs; subtrees that recur on
-many pages of a host are its template and are deleted, whatever the number of its pages.  Elements that say what they are
+Every block element is hashed with all that stands below it.  Spark counts, per host,
+on how many pages each hash occurs; subtrees that recur on ``LEAST_PAGES`` pages of a
+host, however large, are its template and are deleted.  Elements that say what they are
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) go
 in any case.  What is left of the article, or of the body of a page without one, is the
 text: one line per block, white space inside a block being one space.
