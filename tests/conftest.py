@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import json
 import os
 import sys
 
@@ -31,20 +30,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def feature(code: str, coordinates=(10.0, 20.5, 3.25), **properties) -> dict:
-    """A feature whose properties are ``code`` and the ones given."""
-    return {
-        "type": "Feature",
-        "properties": {"code": code, **properties},
-        "geometry": {"type": "Point", "coordinates": list(coordinates)},
-        "id": f"id-{code}",
-    }
-
-
-def document(*features: dict, **members) -> str:
-    return json.dumps({"type": "FeatureCollection", "features": list(features), **members})
-
-
 @pytest.fixture
 def texts(spark):
     """Make a frame of document strings."""

@@ -2,7 +2,7 @@ import json
 
 import pandas as pd
 import pytest
-from conftest import document, feature
+from feed_documents import document, feature
 from pyspark.sql import functions as F
 
 from feedlake.functions import null_safe_float, row_json, whole_number

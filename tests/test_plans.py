@@ -4,7 +4,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import document, feature
+from feed_documents import document, feature
 
 import __spark_entry__ as registry
 from feed_queries.feed import EARLY, documents

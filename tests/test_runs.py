@@ -5,7 +5,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from conftest import document, feature
+from feed_documents import document, feature
 
 from feedlake.operators import flatten
 from feedlake.plans import (

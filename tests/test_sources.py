@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import document, feature
+from feed_documents import document, feature
 
 from feedlake.operators import flatten
 from feedlake.plans import to_silver
