@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import quoted
-from feedlake.llm.words import EXACT, span_hashes, text_buffers
+from feedlake.llm.words import EXACT, LONG, differ, span_hashes, text_buffers
 
 END_ID = 0
 
@@ -120,7 +120,7 @@ class Encoder:
             and not spec.get("normalizer")
             and not spec.get("post_processor")
         )
-        self.pieces: dict[int, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, source: str) -> Encoder:
@@ -155,20 +155,21 @@ class Encoder:
         starts = np.flatnonzero(here)
         stops = np.append(starts[1:], len(data)) if len(starts) else starts
         hashes = span_hashes(data, starts, stops, EXACT)
-        unique, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        # A hash finds the pieces that look alike; their bytes decide.
+        odd = np.flatnonzero(differ(data, starts, stops, first[place]))
+        place[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate((first, odd))
         # Pieces are remembered until there are MOST_PIECES of them: the frequent ones
         # come early, later ones are encoded once per block.
-        keys = unique.tolist()
+        keys = [text[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())]
         parts = [*map(self.pieces.get, keys)]
         new = [i for i, part in enumerate(parts) if part is None]
         if new:
-            at = first[new]
-            spans = zip(starts[at].tolist(), stops[at].tolist())
-            found = self._encoded([text[a:b].decode() for a, b in spans])
-            for i, part in zip(new, found):
+            for i, part in zip(new, self._encoded([keys[i].decode() for i in new])):
                 parts[i] = part
             room = self.MOST_PIECES - len(self.pieces)
-            self.pieces.update((keys[i], parts[i]) for i in new[: max(room, 0)])
+            self.pieces.update((keys[i], parts[i]) for i in new[: max(room, 0)] if len(keys[i]) <= LONG)
         sizes = np.array([len(p) // 4 for p in parts], np.int64)
         offsets = (np.cumsum(sizes) - sizes)[place]
         sizes = sizes[place]

@@ -1,8 +1,10 @@
 """Words of many texts at once, as numpy arrays over Arrow buffers.
 
 Texts are read as UTF-8 bytes straight from the Arrow batch.  A word is a run of
-bytes of a class; its hash is a polynomial over the lower-cased bytes modulo 2**64
-with random coefficients, so two words are compared by eight bytes.
+bytes of a class; its hash is a chain over its lower-cased bytes, eight at a time, each
+step of which spreads every bit (xxHash does the long ones), so two words are compared by
+eight bytes.  A sum of powers would be quicker for long words only, and modulo 2**64 it
+gives some different words one hash, whatever its base.
 """
 
 from __future__ import annotations
@@ -12,18 +14,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 20
 
-_SEED = np.random.default_rng(20240201)
-_ODD = np.uint64(int(_SEED.integers(1 << 62)) * 2 + 1)
-_ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
-_LOWER = np.arange(256)
+# Spans of more bytes than this are hashed one by one.
+LONG = 64
+
+# An upper-case ASCII letter counts as its lower case in words; EXACT keeps all bytes.
+EXACT = np.arange(256, dtype=np.uint8)
+_LOWER = EXACT.copy()
 _LOWER[65:91] += 32
-# One random value per byte; for words an upper-case ASCII letter has that of its lower case.
-EXACT = _SEED.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_VALUE = EXACT[_LOWER]
+
+# The first k bytes of a little-endian value of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 # Bytes of words that are parted by ASCII white space: [^\x20\x09-\x0D]+
 SPACED = np.ones(256, bool)
@@ -42,26 +48,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of the base and of its inverse, as many as the longest block needs."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def of(cls, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if size > len(cls.up):
-            if size > 4 * BLOCK_BYTES:  # one huge text: not kept
-                return tuple(cls._made(b, size) for b in (_ODD, _ODD_INVERSE))
-            cls.up, cls.down = (cls._made(b, size) for b in (_ODD, _ODD_INVERSE))
-        return cls.up[:size], cls.down[:size]
-
-    @staticmethod
-    def _made(base: np.uint64, size: int) -> np.ndarray:
-        powers = np.full(size, base, np.uint64)
-        powers[0] = 1
-        return np.multiply.accumulate(powers)
-
-
 @dataclass
 class Block:
     """Words of the rows ``first`` to ``first + len(counts)`` of a batch.
@@ -128,14 +114,45 @@ def _block(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray, first: int
     return Block(first, data, bounds, starts, ends, hashes, counts)
 
 
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each byte, as one value; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def span_hashes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUE
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = _LOWER
 ) -> np.ndarray:
-    """Hashes of the spans of ``data`` from ``starts`` to ``ends``, by the values of their bytes."""
-    up, down = _Powers.of(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * up[:-1], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts])
+    """Hashes of the spans of ``data`` from ``starts`` to ``ends``, by what ``letters`` makes of their bytes."""
+    data = letters[data]
+    lanes, sizes = _lanes(data), ends - starts
+    out = mixed(sizes.astype(np.uint64) + _ODD)
+    at = np.arange(len(sizes))
+    for begin in range(0, LONG, 8):
+        at = at[(sizes[at] > begin) & (sizes[at] <= LONG)]
+        if not len(at):
+            break
+        value = lanes[starts[at] + begin] & _FIRST[np.minimum(sizes[at] - begin, 8)]
+        out[at] = mixed((out[at] ^ value) * _ODD)
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return out
+
+
+def differ(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Which spans do not have the bytes of the span that ``model`` names."""
+    lanes, sizes = _lanes(data), ends - starts
+    wrong = sizes != sizes[model]
+    at = np.flatnonzero(~wrong & (model != np.arange(len(model))))
+    begin = 0
+    while len(at):
+        left = _FIRST[np.minimum(sizes[at] - begin, 8)]
+        same = (lanes[starts[at] + begin] & left) == (lanes[starts[model[at]] + begin] & left)
+        wrong[at[~same]] = True
+        begin += 8
+        at = at[same & (sizes[at] > begin)]
+    return wrong
 
 
 def text_hashes(text: str, letters: np.ndarray = SPACED) -> np.ndarray:
