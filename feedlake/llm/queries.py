@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm import (
     attention_lm,
+    best_fit_packing,
     license_scan,
     ngram_join,
     piece_lattice,
@@ -124,6 +125,16 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of each document's pieces, packed into as few sequences of 4096 as best fit needs."""
+    pieces = best_fit_packing.encoded_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return best_fit_packing.placed(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 # SHA-1 in base32: 32 digits of 5 bits each, taken from the 40 hex digits.
 OP9_SQL = """
 WITH payloads AS (
@@ -220,4 +231,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_ngram_join": (op8_ngram_join, OP8_SQL),
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
     "op10_suffix_decontamination": (op10_suffix_decontamination, OP10_SQL),
+    "op11_best_fit_packing": (op11_best_fit_packing, None),
 }

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import quoted
-from feedlake.llm.words import EXACT, LONG, differ, span_hashes, text_buffers
+from feedlake.llm.words import EXACT, LONG, differ, span_hashes, text_blocks
 
 END_ID = 0
 
@@ -111,20 +111,24 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(source)
         # The strings of special tokens are ordinary text in a text.
         self.tokenizer.encode_special_tokens = True
-        spec = json.loads(source)
+        self.by_piece = self.piecewise(json.loads(source))
+        self.pieces: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def piecewise(spec: dict) -> bool:
+        """Whether the pieces of a text, encoded one by one, give its ids."""
         before = spec.get("pre_tokenizer") or {}
-        self.by_piece = (
+        return (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not spec.get("normalizer")
             and not spec.get("post_processor")
         )
-        self.pieces: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, source: str) -> Encoder:
-        key = hashlib.sha256(source.encode()).hexdigest()
+        key = f"{cls.__name__} {hashlib.sha256(source.encode()).hexdigest()}"
         if key not in cls._made:
             cls._made[key] = cls(source)
         return cls._made[key]
@@ -135,14 +139,15 @@ class Encoder:
 
     def blocks(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """First row, ids of all texts one after the other, and the end of each, block by block."""
-        data, bounds = text_buffers(column)
-        row, rows = 0, len(bounds) - 1
-        while row < rows:
-            last = int(np.searchsorted(bounds, bounds[row] + BLOCK_BYTES, "right")) - 1
-            last = min(max(last, row + 1), rows)
-            part = data[bounds[row] : bounds[last]]
-            yield row, *self._block(part, bounds[row : last + 1] - bounds[row])
-            row = last
+        for row, data, bounds in text_blocks(column, BLOCK_BYTES):
+            yield row, *self._block(data, bounds)
+
+    def spans(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces that are encoded one by one begin and end."""
+        here = cuts(data)
+        here[bounds[:-1][bounds[:-1] < len(data)]] = True
+        starts = np.flatnonzero(here)
+        return starts, np.append(starts[1:], len(data)) if len(starts) else starts
 
     def _block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         text = data.tobytes()
@@ -150,10 +155,7 @@ class Encoder:
             parts = self._encoded([text[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])
             ends = np.cumsum([len(p) // 4 for p in parts])
             return np.frombuffer(b"".join(parts), np.uint32), ends
-        here = cuts(data)
-        here[bounds[:-1][bounds[:-1] < len(data)]] = True
-        starts = np.flatnonzero(here)
-        stops = np.append(starts[1:], len(data)) if len(starts) else starts
+        starts, stops = self.spans(data, bounds)
         hashes = span_hashes(data, starts, stops, EXACT)
         _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         # A hash finds the pieces that look alike; their bytes decide.

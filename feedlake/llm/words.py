@@ -25,8 +25,8 @@ LONG = 64
 
 # An upper-case ASCII letter counts as its lower case in words; EXACT keeps all bytes.
 EXACT = np.arange(256, dtype=np.uint8)
-_LOWER = EXACT.copy()
-_LOWER[65:91] += 32
+LOWER = EXACT.copy()
+LOWER[65:91] += 32
 
 # The first k bytes of a little-endian value of eight.
 _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
@@ -83,10 +83,8 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), bounds
 
 
-def word_blocks(
-    column: pa.Array, letters: np.ndarray = SPACED, block_bytes: int = BLOCK_BYTES
-) -> Iterator[Block]:
-    """The words of a text column, block by block; a text is never split."""
+def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes and row bounds of blocks of texts; a text is never split."""
     if not len(column):
         return
     data, bounds = text_buffers(column)
@@ -94,11 +92,20 @@ def word_blocks(
     while row < rows:
         end = int(np.searchsorted(bounds, bounds[row] + block_bytes, "right")) - 1
         end = min(max(end, row + 1), rows)
-        yield _block(data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row], letters, row)
+        yield row, data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]
         row = end
 
 
-def _block(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray, first: int) -> Block:
+def word_blocks(
+    column: pa.Array, letters: np.ndarray = SPACED, block_bytes: int = BLOCK_BYTES
+) -> Iterator[Block]:
+    """The words of a text column, block by block; a text is never split."""
+    for row, data, bounds in text_blocks(column, block_bytes):
+        yield _block(data, bounds, letters, row)
+
+
+def word_spans(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of the texts between ``bounds`` begin and end."""
     inside = np.zeros(len(data) + 1, bool)
     inside[:-1] = letters[data]
     before = np.zeros(len(data) + 1, bool)
@@ -108,7 +115,11 @@ def _block(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray, first: int
     # A word ends where a byte of no word follows, or the next text begins.
     after = inside.copy()
     after[bounds] = False
-    ends = np.flatnonzero(inside[:-1] & ~after[1:]) + 1
+    return starts, np.flatnonzero(inside[:-1] & ~after[1:]) + 1
+
+
+def _block(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray, first: int) -> Block:
+    starts, ends = word_spans(data, bounds, letters)
     hashes = span_hashes(data, starts, ends)
     counts = np.diff(np.searchsorted(starts, bounds))
     return Block(first, data, bounds, starts, ends, hashes, counts)
@@ -122,7 +133,7 @@ def _lanes(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = _LOWER
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = LOWER
 ) -> np.ndarray:
     """Hashes of the spans of ``data`` from ``starts`` to ``ends``, by what ``letters`` makes of their bytes."""
     data = letters[data]
