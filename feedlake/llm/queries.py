@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import (
     attention_lm,
     best_fit_packing,
+    importance_resampling,
     license_scan,
     ngram_join,
     piece_lattice,
@@ -135,6 +136,13 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of each document towards the benchmark's words, and its rank if it is drawn."""
+    return importance_resampling.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 # SHA-1 in base32: 32 digits of 5 bits each, taken from the 40 hex digits.
 OP9_SQL = """
 WITH payloads AS (
@@ -220,6 +228,60 @@ SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
 FROM texts t LEFT JOIN hits h ON t.doc_id = h.doc_id LEFT JOIN named m ON t.doc_id = m.doc_id
 """
 
+# CRC-32 of a text's UTF-8 bytes: 256 steps by the rule of its polynomial, one per byte.
+_CRC_STEPS = """
+steps AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+)
+"""
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of ``text``; the list ``t`` is that of the steps."""
+    code = f"hex(encode({text}))"
+    byte = f"CAST('0x' || substr({code}, 2 * k - 1, 2) AS BIGINT)"
+    numbers = f"list_transform(range(1, 1 + length({code}) // 2), lambda k: {byte})"
+    step = "xor(t[1 + (xor(c, b) & 255)], c >> 8)"
+    return f"xor(list_reduce(list_prepend(4294967295, {numbers}), lambda c, b: {step}), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH {_CRC_STEPS.strip()},
+texts AS (SELECT doc_id, {_ALPHANUMERIC} AS w FROM documents),
+features AS (SELECT doc_id, unnest(w) AS word FROM texts),
+wanted AS (SELECT unnest({_ALPHANUMERIC}) AS word FROM benchmark),
+cells AS MATERIALIZED (
+  SELECT word, {_crc32("word")} % 10000 AS cell
+  FROM (SELECT word FROM features UNION SELECT word FROM wanted), steps
+),
+source AS (SELECT cell, count(*) AS s FROM features JOIN cells USING (word) GROUP BY cell),
+target AS (SELECT cell, count(*) AS t FROM wanted JOIN cells USING (word) GROUP BY cell),
+gains AS (
+  SELECT b.cell, CAST(floor(1000 * ln(
+    (coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM source) + 10000)::DOUBLE /
+    ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM target) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range(10000)) AS cell) b
+  LEFT JOIN source USING (cell) LEFT JOIN target USING (cell)
+),
+weights AS (
+  SELECT doc_id, sum(gain) AS weight FROM features JOIN cells USING (word) JOIN gains USING (cell) GROUP BY doc_id
+),
+scores AS (
+  SELECT x.doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || x.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM texts x LEFT JOIN weights USING (doc_id)
+),
+ranks AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place
+  FROM scores WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM ranks) THEN place END AS rank
+FROM scores LEFT JOIN ranks USING (doc_id)
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
@@ -232,4 +294,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op9_warc_segments": (op9_warc_segments, OP9_SQL),
     "op10_suffix_decontamination": (op10_suffix_decontamination, OP10_SQL),
     "op11_best_fit_packing": (op11_best_fit_packing, None),
+    "op12_importance_resampling": (op12_importance_resampling, OP12_SQL),
 }
