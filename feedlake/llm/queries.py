@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import (
     attention_lm,
     best_fit_packing,
+    conversation_repair,
     importance_resampling,
     license_scan,
     ngram_join,
@@ -143,6 +144,12 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of each conversation, after planted damage."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repaired(rows)
+
+
 # SHA-1 in base32: 32 digits of 5 bits each, taken from the 40 hex digits.
 OP9_SQL = """
 WITH payloads AS (
@@ -282,6 +289,84 @@ SELECT doc_id, n_features, weight, score,
 FROM scores LEFT JOIN ranks USING (doc_id)
 """
 
+# One row after the other, the least cost and audit of each role that can come last; up to
+# two rows are inserted before a row or at the end, more can never be cheapest.
+OP13_SQL = f"""
+WITH RECURSIVE {_CRC_STEPS.strip()},
+plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+),
+kinds AS (SELECT *, {_crc32("name")} % 20 AS kind FROM plain, steps),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))
+  FROM kinds
+),
+placed AS (
+  SELECT conv_id, turn, role, text, role[1] AS initial, row_number() OVER w AS i,
+    lag(role[1]) OVER w AS before,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS solid
+  FROM damaged
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+faults AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN solid[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+),
+following(state, initial, role) AS (
+  VALUES ('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')
+),
+inserted(state, to_state, price, audit, lines) AS (
+  SELECT state, state, 0, '', []::VARCHAR[] FROM following
+  UNION ALL SELECT state, initial, 2, 'I', [role || ':'] FROM following
+  UNION ALL SELECT p.state, q.initial, 4, 'II', [p.role || ':', q.role || ':']
+  FROM following p JOIN following q ON p.initial = q.state
+),
+repairs AS (
+  SELECT conv_id, 0::BIGINT AS i, '' AS state, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, state, min({{'cost': cost, 'audit': audit, 'lines': lines}}) FROM (
+    SELECT r.conv_id, f.i,
+      CASE e.edit WHEN 'D' THEN n.to_state WHEN 'K' THEN f.initial ELSE t.initial END AS state,
+      r.best.cost + n.price + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+        + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+      r.best.audit || n.audit || e.edit AS audit,
+      r.best.lines || n.lines || CASE e.edit WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+        ELSE [t.role || ':' || f.text] END AS lines
+    FROM repairs r
+    JOIN faults f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1
+    JOIN inserted n ON n.state = r.state
+    JOIN following t ON t.state = n.to_state
+    JOIN (VALUES ('D'), ('K'), ('R')) AS e(edit) ON e.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate') AND (
+      e.edit = 'R' OR f.initial = t.initial OR f.initial = 's' AND n.to_state = '')
+  ) GROUP BY conv_id, i, state
+),
+sizes AS (
+  SELECT c.conv_id, count(f.i) AS n, coalesce(max(f.turn) - min(f.turn) + 1 - count(DISTINCT f.turn), 0) AS gaps,
+    count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate,
+    count_if(fault = 'truncated') AS truncated,
+    count_if(f.before IS NOT NULL AND f.before || f.initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id
+),
+ends AS (
+  SELECT s.conv_id, min({{'cost': r.best.cost + n.price, 'audit': r.best.audit || n.audit, 'lines': r.best.lines || n.lines}}) AS best
+  FROM sizes s JOIN repairs r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.n
+  JOIN inserted n ON n.state = r.state WHERE n.to_state IN ('', 'a') GROUP BY s.conv_id
+)
+SELECT s.conv_id, CAST(gaps AS BIGINT) AS gaps, CAST(blank AS BIGINT) AS blank,
+  CAST(duplicate AS BIGINT) AS duplicate, CAST(truncated AS BIGINT) AS truncated,
+  CAST(illegal AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+  sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM sizes s JOIN ends e ON e.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_robust_outliers": (op1_robust_outliers, None),
     "op2_toxicity_grammar": (op2_toxicity_grammar, None),
@@ -295,4 +380,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_suffix_decontamination": (op10_suffix_decontamination, OP10_SQL),
     "op11_best_fit_packing": (op11_best_fit_packing, None),
     "op12_importance_resampling": (op12_importance_resampling, OP12_SQL),
+    "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }
