@@ -314,7 +314,8 @@ placed AS (
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ),
 faults AS (
-  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN again THEN 'duplicate'
+  SELECT *, CASE WHEN solid = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
     WHEN solid[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
   FROM placed
 ),
