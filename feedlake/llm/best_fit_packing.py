@@ -21,8 +21,11 @@ packed like any others; other columns are not kept; an empty table gives no rows
 from __future__ import annotations
 
 import json
+import operator
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +33,11 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from feedlake.llm.frames import quoted, written
 from feedlake.llm.token_archive import Encoder
-from feedlake.llm.words import SPACED, word_spans
+from feedlake.llm.words import LOWER, SPACED, word_spans
 
 CAPACITY = 4096
 END_ID = 1
@@ -44,32 +48,89 @@ _PIECES = (
 
 
 class WordEncoder(Encoder):
-    """Ids of texts by a tokenizer whose tokens never span white space, word by word."""
+    """Ids of texts by a lower-casing tokenizer whose tokens never span white space, in parts of words.
+
+    A word is also cut before an ASCII sign that follows an ASCII letter or digit, which no
+    token spans either.  Words of ASCII and Latin-1 are lower-cased first, so that those at
+    the start of a sentence are remembered as well; in other words a letter may belong to
+    the mark after it, and they are left as they are.
+    """
 
     MOST_PIECES = 400_000
+    BLOCK_BYTES = 4 << 20
     # Steps that treat the words of a text alone and together alike.
     _NORMALIZERS = {"NFC", "Lowercase"}
+    # Small letters of ASCII and Latin-1: no step before the merges changes or parts them.
+    _LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+    def __init__(self, source: str):
+        super().__init__(source)
+        if self.by_piece:
+            spec = json.loads(source)
+            bytewise = spec["pre_tokenizer"]["pretokenizers"][1]
+            self.merges = Tokenizer.from_str(json.dumps({**spec, "normalizer": None, "pre_tokenizer": bytewise}))
+            self.merges.encode_special_tokens = True
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        if not self.by_piece:
+            return super()._encoded(texts)
+        plain = [self._LETTERS.fullmatch(text) is not None for text in texts]
+        ids = [iter(self._ids(one, [*compress(texts, which)])) for one, which in (
+            (self.tokenizer, map(operator.not_, plain)), (self.merges, plain)
+        )]
+        return [next(ids[which]) for which in plain]
 
     @staticmethod
     def piecewise(spec: dict) -> bool:
-        normalizer = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
+        steps = (spec.get("normalizer") or {}).get("normalizers", [])
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         blanks = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
-        if len(splits) != 2 or spec.get("post_processor"):
+        if len(splits) != 2 or spec.get("post_processor") or {"type": "Lowercase"} not in steps:
             return False
         split, bytewise = splits
         pattern = split.get("pattern", {}).get("Regex", " ")
+        probes = "a b\t1 2\n. !\r\v\fä 's a! z- 0' m'd"
+        apart = (r"\s", r"[a-z0-9][^a-z0-9]")
         return (
-            all(n["type"] in WordEncoder._NORMALIZERS or n == blanks for n in normalizer.get("normalizers", [normalizer]))
+            all(step["type"] in WordEncoder._NORMALIZERS or step == blanks for step in steps)
             and (split["type"], split["behavior"], split["invert"]) == ("Split", "Removed", True)
-            and not any(regex.search(r"\s", found) for found in regex.findall(pattern, "a b\t1 2\n. !\r\v\fä 's"))
+            and not any(regex.search(one, found) for found in regex.findall(pattern, probes) for one in apart)
             and bytewise["type"] == "ByteLevel"
             and not bytewise["add_prefix_space"]
             and not bytewise["use_regex"]
         )
 
     def spans(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return word_spans(data, bounds, SPACED)
+        starts, ends = word_spans(data, bounds, SPACED)
+        sign = np.flatnonzero(_SIGNS[data])
+        sign = sign[sign > 0]
+        sign = sign[_SOLID[data[sign - 1]]]
+        # Not at the beginning of a text, whatever the one before it ends with.
+        sign = np.setdiff1d(sign, starts, assume_unique=True)
+        return np.sort(np.concatenate((starts, sign))), np.sort(np.concatenate((ends, sign)))
+
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        latin = np.zeros(len(data) + 1, bool)
+        latin[1:] = data == 0xC3
+        second = latin[:-1]
+        low = LOWER[data]
+        # U+00C0 to U+00DE are the capitals of U+00E0 to U+00FE, but for the sign at D7.
+        low[second & (data <= 0x9E) & (data != 0x97)] += 0x20
+        other = (data >= 0x80) & ~second & (data != 0xC3)
+        if other.any():
+            # Only the words without other characters are folded.
+            blank = np.flatnonzero(~SPACED[data])
+            edges = np.concatenate(([0], blank, [len(data)]))
+            word = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            odd = np.bincount(word[other], minlength=len(edges) - 1)[word] > 0
+            low[odd] = data[odd]
+        return low
+
+
+_SOLID = np.zeros(256, bool)
+_SOLID[0x30:0x3A] = _SOLID[0x41:0x5B] = _SOLID[0x61:0x7B] = True
+_SIGNS = np.zeros(256, bool)
+_SIGNS[0x21:0x7F] = ~_SOLID[0x21:0x7F]
 
 
 class OpenSequences:
@@ -216,7 +277,8 @@ def placed(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     shared = pieces.sparkSession.sparkContext.broadcast((runs, longer))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["length", "part"]).withColumn("nth", F.col("nth") + F.col("before"))
+    # A row per task and length: sorted and merged, as its size grows with the input.
+    ranked = pieces.join(before.hint("merge"), ["length", "part"]).withColumn("nth", F.col("nth") + F.col("before"))
     ranked = ranked.drop("part", "before")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

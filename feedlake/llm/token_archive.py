@@ -49,7 +49,6 @@ SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 64 * 1024
 
 PAYLOAD_BYTES = 4 << 20
-BLOCK_BYTES = 2 << 20
 LEVEL = 3
 
 _FRAMES = "part int, doc_id long, n_ids long, crc long, frame binary"
@@ -102,6 +101,7 @@ class Encoder:
     """
 
     MOST_PIECES = 700_000
+    BLOCK_BYTES = 2 << 20
     _made: dict[str, Encoder] = {}
 
     def __init__(self, source: str):
@@ -133,13 +133,17 @@ class Encoder:
             cls._made[key] = cls(source)
         return cls._made[key]
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        ids = [one.ids for one in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        ids = [one.ids for one in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return [struct.pack(f"={len(one)}I", *one) for one in ids]
 
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return self._ids(self.tokenizer, texts)
+
     def blocks(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """First row, ids of all texts one after the other, and the end of each, block by block."""
-        for row, data, bounds in text_blocks(column, BLOCK_BYTES):
+        for row, data, bounds in text_blocks(column, self.BLOCK_BYTES):
             yield row, *self._block(data, bounds)
 
     def spans(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +153,13 @@ class Encoder:
         starts = np.flatnonzero(here)
         return starts, np.append(starts[1:], len(data)) if len(starts) else starts
 
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        """The bytes with what the tokenizer does not tell apart made one; as many, in their places."""
+        return data
+
     def _block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.by_piece:
+            data = self.folded(data)
         text = data.tobytes()
         if not self.by_piece:
             parts = self._encoded([text[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])

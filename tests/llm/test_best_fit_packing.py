@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,6 +124,21 @@ def test_empty_table(spark, documents):
     assert packing.sequences(packed).count() == 0
 
 
+def test_ids_of_odd_words():
+    """Capitals, marks that join the letter before, contractions, signs and digits, alone and in texts."""
+    words = ["ÉTION", "Étion,", "H\u0331ut", "h\u0331", "A\u030A", "É\u0301x", "İx", "ẞ", "ß", "STRASSE", "×÷", "A×B", "it's", "'S", "x'll!",
+             "don't.", "a.b,c", "1.5", "12ab", "é!", "é'd", "¿Qué?", "ﬁ", "Ǆ", "中文。", "<\u0338", "a<\u0338b", "_a_", "#x#", "\x00y", "N°5"]
+    draw = random.Random(4)
+    texts = ["", *words, *(w.upper() for w in words), *(" ".join(draw.choices(words, k=30)) for _ in range(200))]
+    texts += ["".join(draw.choices(words, k=3)) for _ in range(500)]
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    encoder = packing.WordEncoder.of(open(PATH, encoding="utf-8").read())
+    for _ in range(2):  # from the tokenizer, then as remembered
+        got = [p.tolist() for _, flat, ends in encoder.blocks(pa.array(texts)) for p in np.split(flat, ends[:-1])]
+        assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_words_are_encoded_alone():
     assert packing.WordEncoder.of(open(PATH, encoding="utf-8").read()).by_piece
     other = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
