@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from feedlake.schemas import ACCEPTED, DISPOSITION
+
 
 def laid_out(frame: DataFrame, files: int) -> DataFrame:
     """``frame`` for a write of at most ``files`` files, without a shuffle.
@@ -23,7 +25,12 @@ def record_count(frame: DataFrame) -> DataFrame:
 def counted(frame: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``frame`` with a row count taken along the way, by the action that runs it.
 
-    After the action ``observation.get["records"]`` holds the count; no extra job.
+    After the action ``observation.get["records"]`` holds the count; no extra job.  Where
+    rows have a ``disposition``, the accepted ones are ``records`` and the others ``rejected``.
     """
     observation = Observation(name)
-    return frame.observe(observation, F.count(F.lit(1)).alias("records")), observation
+    if DISPOSITION not in frame.columns:
+        return frame.observe(observation, F.count(F.lit(1)).alias("records")), observation
+    taken = F.col(DISPOSITION) == ACCEPTED
+    counts = F.count_if(taken).alias("records"), F.count_if(~taken).alias("rejected")
+    return frame.observe(observation, *counts), observation

@@ -53,6 +53,12 @@ STAMP_TEXT = "insert_date"
 
 CORRUPT = "_corrupt_record"
 
+# What a run did with a document: the partition column of silver that was dealt by it, its
+# two values, and the column with the whole text of a rejected one.
+DISPOSITION = "disposition"
+ACCEPTED, REJECTED = "accepted", "rejected"
+REJECTED_TEXT = "value"
+
 _FLAT_TYPES = {"float": T.FloatType(), "int": T.IntegerType(), "string": T.StringType()}
 _WAREHOUSE_TYPES = {"float": T.DoubleType(), "int": T.LongType(), "string": T.StringType()}
 

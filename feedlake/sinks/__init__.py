@@ -2,10 +2,10 @@
 
 from feedlake.sinks.files import (
     land_documents,
+    write_documents_framed,
     write_documents_text,
     write_jsonl,
     write_parquet,
-    write_rejected,
     write_silver,
 )
 from feedlake.sinks.tables import (
@@ -14,7 +14,10 @@ from feedlake.sinks.tables import (
     load_autodetected,
     load_direct,
     load_overwrite,
+    read_table,
+    recover,
     table_count,
+    table_rows,
 )
 
 __all__ = [
@@ -24,10 +27,13 @@ __all__ = [
     "load_autodetected",
     "load_direct",
     "load_overwrite",
+    "read_table",
+    "recover",
     "table_count",
+    "table_rows",
+    "write_documents_framed",
     "write_documents_text",
     "write_jsonl",
     "write_parquet",
-    "write_rejected",
     "write_silver",
 ]

@@ -6,10 +6,23 @@ it as a whole, so a rerun of the same day leaves no stale files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.sources.landing import run_path
+from feedlake.schemas import DISPOSITION
+from feedlake.sources.landing import FRAMES, TEXT, checked_layout, run_path
+
+# Text in one frame of a landed file, before compression.
+FRAME_BYTES = 32 << 20
+
+
+def _one_line(column: str) -> Column:
+    """A document on one line; one with a bare line break inside a string is broken."""
+    text = F.col(column)
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<type: string>>")
+    broken = F.raise_error(F.lit("malformed document: a line break inside a string, or no JSON"))
+    one_line = F.when(parsed.isNotNull(), F.translate(text, "\r\n", "  ")).otherwise(broken)
+    return F.when(text.rlike(r"[\r\n]"), one_line).otherwise(text).alias("value")
 
 
 def write_documents_text(
@@ -20,14 +33,32 @@ def write_documents_text(
     Line breaks between JSON tokens become blanks; inside a JSON string a line break
     must be escaped, so no text changes.  A document with a bare one there is broken;
     it stops the write, as a blank in its place would hide that.  ``gzip`` makes files
-    about a tenth of the size, each of which one task reads as a whole.
+    about a tenth of the size, each of which one task reads as a whole; see
+    :func:`write_documents_framed` for files that are small and split.
     """
-    text = F.col(column)
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<type: string>>")
-    broken = F.raise_error(F.lit("malformed document: a line break inside a string, or no JSON"))
-    one_line = F.when(parsed.isNotNull(), F.translate(text, "\r\n", "  ")).otherwise(broken)
-    line = F.when(text.rlike(r"[\r\n]"), one_line).otherwise(text).alias("value")
-    documents.select(line).write.mode("overwrite").text(path, compression=compression)
+    documents.select(_one_line(column)).write.mode("overwrite").text(path, compression=compression)
+    return path
+
+
+def write_documents_framed(
+    documents: DataFrame,
+    path: str,
+    column: str = "value",
+    *,
+    compression: str = "zstd",
+    frame_bytes: int = FRAME_BYTES,
+) -> str:
+    """Documents as rows of Parquet files whose row groups are frames of bounded size.
+
+    Each frame is compressed alone and found through the footer of its file, so a landed
+    file of any size is read by as many tasks as its compressed size asks for.
+    """
+    writer = documents.select(_one_line(column)).write.mode("overwrite")
+    # Text does not repeat, so a dictionary would only be tried and thrown away.
+    writer = writer.option("parquet.block.size", frame_bytes).option("parquet.enable.dictionary", "false")
+    # Rows are counted before a writer first looks at the size of its frame.
+    writer = writer.option("parquet.page.size.row.check.min", 1).option("parquet.block.size.row.check.min", 1)
+    writer.parquet(path, compression=compression)
     return path
 
 
@@ -39,18 +70,18 @@ def land_documents(
     *,
     column: str = "value",
     compression: str = "none",
+    layout: str = TEXT,
 ) -> str:
-    """Keep the raw documents of one run; returns the folder."""
+    """Keep the raw documents of one run; returns the folder.
+
+    ``layout`` is ``text`` (a line per document) or ``frames`` (rows in compressed frames).
+    """
     path = run_path(landing, run_kind, run_date)
+    if checked_layout(layout) == FRAMES:
+        return write_documents_framed(documents, path, column)
     return write_documents_text(documents, path, column, compression=compression)
 
 
-def write_rejected(documents: DataFrame, path: str, column: str = "value") -> str:
-    """Documents that were not taken, each whole in the field ``value`` of a JSON line."""
-    documents.select(F.col(column).alias("value")).write.mode("overwrite").json(path)
-    return path
-
-
 def write_jsonl(
     rows: DataFrame, path: str, *, compression: str = "none", records_per_file: int = 0
 ) -> str:
@@ -78,11 +109,17 @@ def write_silver(
 ) -> str:
     """Silver rows of one run as ``parquet`` or ``json`` lines; returns the folder.
 
-    ``compression`` is that of JSON lines; Parquet compresses its own pages.
+    ``compression`` is that of JSON lines; Parquet compresses its own pages.  Rows that
+    have a ``disposition`` are dealt by it: one write makes a folder of accepted rows and
+    one of rejected documents below that of the run.
     """
+    if fmt not in ("json", "parquet"):
+        raise ValueError(f"silver is 'json' or 'parquet', not {fmt!r}")
     path = run_path(silver, run_kind, run_date)
-    if fmt == "parquet":
-        return write_parquet(rows, path, records_per_file=records_per_file)
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
+    if DISPOSITION in rows.columns:
+        writer = writer.partitionBy(DISPOSITION)
     if fmt == "json":
-        return write_jsonl(rows, path, compression=compression, records_per_file=records_per_file)
-    raise ValueError(f"silver is 'json' or 'parquet', not {fmt!r}")
+        writer = writer.option("compression", compression)
+    writer.format(fmt).save(path)
+    return path

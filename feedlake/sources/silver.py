@@ -5,28 +5,59 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.functions import whole_number
 from feedlake.operators.casts import to_warehouse
-from feedlake.schemas import SILVER, WAREHOUSE
+from feedlake.schemas import ACCEPTED, DISPOSITION, REJECTED_TEXT, SILVER, WAREHOUSE
 
 
 def read_silver(
-    spark: SparkSession, paths: str | Sequence[str], *, fmt: str = "json"
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    fmt: str = "json",
+    base_path: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Silver files with the 31 warehouse columns and types; absent ones are NULL."""
+    """Silver files with the 31 warehouse columns and types; absent ones are NULL.
+
+    Of silver that was dealt by disposition only the folder of accepted rows is read.
+    ``keep`` names folder columns below ``base_path`` that are kept, as text.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
+    kept = [F.col(name).cast("string").alias(name) for name in keep]
     if fmt == "parquet":
-        return to_warehouse(spark.read.schema(SILVER).parquet(*paths))
+        rows = _accepted(reader.schema(SILVER).parquet(*paths))
+        return to_warehouse(rows, keep=kept)
     if fmt != "json":
         raise ValueError(f"silver is 'json' or 'parquet', not {fmt!r}")
     # The offset is JSON text in silver; read straight as a number it would be NULL.
     on_disk = T.StructType(
         [T.StructField(f.name, T.StringType()) if f.name == "tz" else f for f in WAREHOUSE.fields]
     )
-    rows = spark.read.schema(on_disk).option("mode", "FAILFAST").json(paths)
-    return rows.withColumn("tz", whole_number("tz", "bigint"))
+    rows = _accepted(reader.schema(on_disk).option("mode", "FAILFAST").json(paths))
+    return rows.withColumn("tz", whole_number("tz", "bigint")).select(*WAREHOUSE.names, *kept)
+
+
+def _accepted(rows: DataFrame) -> DataFrame:
+    """Rows without those of rejected documents, whose files are not opened."""
+    if DISPOSITION not in rows.columns:
+        return rows
+    return rows.filter(F.col(DISPOSITION) == ACCEPTED).drop(DISPOSITION)
+
+
+def _accepted_folder(spark: SparkSession, path: str) -> str:
+    """Where the accepted rows of a silver folder lie; its folders are listed, no file is opened."""
+    dealt = DISPOSITION in spark.read.schema(f"{REJECTED_TEXT} string").text(path).columns
+    return f"{path.rstrip('/')}/{DISPOSITION}={ACCEPTED}" if dealt else path
+
+
+def read_rejected(spark: SparkSession, path: str, *, fmt: str = "json") -> DataFrame:
+    """The whole texts, in ``value``, of the documents that a run set aside in ``path``."""
+    return spark.read.schema(f"{REJECTED_TEXT} string").format(fmt).load(path)
 
 
 def read_autodetect(
@@ -41,4 +72,5 @@ def read_autodetect(
     reader = spark.read.option("inferTimestamp", infer_timestamps)
     if infer_timestamps:
         reader = reader.option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-    return reader.json(paths if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return reader.json([_accepted_folder(spark, path) for path in paths])

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from feed_documents import document, feature
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.sinks import (
@@ -11,7 +12,10 @@ from feedlake.sinks import (
     load_autodetected,
     load_direct,
     load_overwrite,
+    read_table,
+    recover,
     table_count,
+    table_rows,
     write_documents_text,
     write_jsonl,
     write_silver,
@@ -101,6 +105,88 @@ def test_an_overwrite_that_fails_leaves_the_table(spark, table):
     assert [t.name for t in spark.catalog.listTables("sinks")] == ["feed"]
 
 
+@pytest.mark.parametrize("load_id", [None, "it's 1"])
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_an_overwrite_that_is_cut_short_at_any_step(spark, table, monkeypatch, load_id, when):
+    """The driver is lost before or after any statement that changes the catalog."""
+    plain = SparkSession.sql
+    steps = []
+
+    def dies_at(step):
+        def sql(self, query, *args, **options):
+            changes = query.startswith(("ALTER", "DROP"))
+            if changes:
+                steps.append(query)
+            if changes and when == "before" and len(steps) > step:
+                raise KeyboardInterrupt(query)
+            out = plain(self, query, *args, **options)
+            if changes and when == "after" and len(steps) > step:
+                raise KeyboardInterrupt(query)
+            return out
+
+        return sql
+
+    for step in range(20):
+        load_overwrite(spark.range(3), table, load_id=load_id)
+        steps.clear()
+        monkeypatch.setattr(SparkSession, "sql", dies_at(step))
+        try:
+            load_overwrite(spark.range(100, 105), table, load_id=load_id)
+            done = True
+        except KeyboardInterrupt:
+            done = False
+        monkeypatch.undo()
+        if done:
+            break
+        got = sorted(r.id for r in read_table(spark, table).collect())
+        assert got in ([0, 1, 2], [100, 101, 102, 103, 104]), steps
+        committed = step > 0 or when == "after"
+        recover(spark, table)
+        after = sorted(r.id for r in spark.table(table).collect())
+        assert after == ([100, 101, 102, 103, 104] if committed else [0, 1, 2]), steps
+        assert table_rows(spark, table) == len(after)
+        assert [t.name for t in spark.catalog.listTables("sinks")] == ["feed"]
+    assert step >= 5
+
+
+def test_an_incomplete_replacement_goes(spark, table):
+    load_overwrite(spark.range(3), table)
+    spark.range(9).write.saveAsTable(f"{table}__new_0123456789ab")
+    spark.range(9).write.saveAsTable(f"{table}__new_products")
+    load_append(spark.range(2), table)
+    assert spark.table(table).count() == table_rows(spark, table) == 5
+    assert sorted(t.name for t in spark.catalog.listTables("sinks")) == ["feed", "feed__new_products"]
+    spark.sql(f"DROP TABLE {table}__new_products")
+
+
+def test_a_row_report_opens_no_data_file(spark, table, tmp_path):
+    load_overwrite(spark.range(1_000), table)
+    load_append(spark.range(500), table)
+    spark.sparkContext.setJobGroup("report", "report")
+    try:
+        assert table_rows(spark, table) == 1_500
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("report")
+    assert len(jobs) == 0
+    # A failed load leaves no count to trust: the table is counted.
+    broken = spark.range(5).withColumn("id", F.expr("if(id = 3, raise_error('no'), id)"))
+    with pytest.raises(Exception, match="no"):
+        load_append(broken, table)
+    spark.range(2).write.mode("append").saveAsTable(table)
+    assert table_rows(spark, table) == spark.table(table).count() >= 1_502
+    load_overwrite(spark.range(4), table)
+    load_direct(spark.range(3), table=table, mode="append")
+    assert table_rows(spark, table) == 7
+
+
+def test_row_counts_by_load(spark, table):
+    load_overwrite(spark.range(5), table, load_id="base")
+    for n in (7, 2):
+        load_append(spark.range(n), table, load_id="it's 1")
+        assert table_rows(spark, table) == 5 + n == spark.table(table).count()
+
+
 def test_an_append_must_have_the_columns_of_the_table(spark, table):
     load_append(spark.range(3), table, load_id="a")
     for rows in (spark.range(3).withColumn("more", F.lit(1)), spark.range(3).select(F.col("id").alias("x"))):
