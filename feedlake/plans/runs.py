@@ -6,8 +6,8 @@ comes from the write itself.
 
 A document that cannot be parsed stops a run, and so does one without a
 ``features`` member.  With ``mode="PERMISSIVE"`` the first kind, and with
-``strict=False`` the second, is set aside whole: in a folder of the run below
-``<silver>_rejected``, and counted in the report.
+``strict=False`` the second, is set aside whole: the write that makes silver deals its rows
+by disposition, so both folders and both counts come from one parse and one job.
 """
 
 from __future__ import annotations
@@ -22,19 +22,20 @@ from feedlake.functions import run_tag
 from feedlake.operators.flatten import flatten
 from feedlake.operators.layout import counted, laid_out
 from feedlake.plans.silver import to_silver
-from feedlake.schemas import CORRUPT
-from feedlake.sinks.files import land_documents, write_rejected, write_silver
+from feedlake.schemas import ACCEPTED, CORRUPT, DISPOSITION, REJECTED, REJECTED_TEXT
+from feedlake.sinks.files import land_documents, write_silver
 from feedlake.sinks.tables import (
     load_append,
     load_autodetected,
     load_overwrite,
-    table_count,
+    table_rows,
 )
 from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
     FAILFAST,
     PERMISSIVE,
+    TEXT,
     parse_documents,
     read_documents,
     read_split_documents,
@@ -64,34 +65,42 @@ class RunReport:
     table_rows: int | None = None
 
 
-def _rows(frame: DataFrame) -> int:
-    return frame.first()[0]
+def lenient(strict: bool, mode: str) -> bool:
+    """Whether a run sets documents aside."""
+    return not strict or mode == PERMISSIVE
 
 
-def accepted(raw: DataFrame, path: str, *, strict: bool, mode: str) -> tuple[DataFrame, int]:
-    """Documents that a run takes, and how many it set aside in ``path``.
+def dealt(raw: DataFrame, *, strict: bool, mode: str) -> DataFrame:
+    """Parsed documents, with their text, as features of accepted ones and one row per rejected one.
 
-    ``raw`` are parsed documents, with their text if any may be set aside.
+    A rejected document gets one empty feature, so that it comes through the flattening as
+    a row of its own, with its text in ``value``.
     """
-    if strict and mode == FAILFAST:
-        return raw, 0
     unfit = F.lit(False)
     if mode == PERMISSIVE:
         unfit = unfit | F.col(CORRUPT).isNotNull()
     if not strict:
         unfit = unfit | F.col("features").isNull()
-    aside, observation = counted(raw.filter(unfit), "rejected")
-    write_rejected(aside, path)
-    return raw.filter(~unfit).drop("value", CORRUPT), observation.get["records"]
+    kind = raw.schema["features"].dataType.simpleString()
+    nothing = F.array(F.lit(None)).cast(kind)
+    return raw.select(
+        F.when(unfit, REJECTED).otherwise(ACCEPTED).alias(DISPOSITION),
+        F.when(unfit, F.col("value")).alias(REJECTED_TEXT),
+        F.when(unfit, nothing).otherwise(F.col("features")).alias("features"),
+    )
 
 
-def _lenient(strict: bool, mode: str) -> bool:
-    return not strict or mode == PERMISSIVE
+def silver_rows(raw: DataFrame, *, strict: bool, mode: str, **derive) -> DataFrame:
+    """Parsed documents to silver rows; those of a lenient run with their disposition."""
+    if not lenient(strict, mode):
+        return to_silver(flatten(raw, strict=strict), **derive)
+    rows = dealt(raw, strict=strict, mode=mode)
+    return to_silver(flatten(rows, strict=strict, keep=[DISPOSITION, REJECTED_TEXT]), **derive)
 
 
-def rejected_path(silver: str, run_kind: str, run_date: str) -> str:
-    """Folder of the documents that a run set aside."""
-    return run_path(f"{silver.rstrip('/')}_rejected", run_kind, run_date)
+def rejected_path(silver_path: str) -> str:
+    """Folder of the documents that the run of a silver folder set aside, if it did."""
+    return f"{silver_path}/{DISPOSITION}={REJECTED}"
 
 
 def run_feed(
@@ -111,7 +120,8 @@ def run_feed(
     files: int | None = None,
     records_per_file: int = 0,
     multi_line: bool = False,
-    feature_start: str | None = None,
+    split: bool = False,
+    layout: str = TEXT,
     strict: bool = True,
     mode: str = FAILFAST,
     load_id: str | None = None,
@@ -121,33 +131,30 @@ def run_feed(
 
     ``documents`` (strings in ``value``) are landed first; without them the run
     takes what lies in its landing folder already: one document per line, or per
-    file with ``multi_line``, or per file and shared by many tasks with a
-    ``feature_start``.  Large delivered files are landed as pieces by
-    ``documents=split_documents(spark, paths)``.
+    file with ``multi_line``, or per file and shared by many tasks with ``split``.
+    Large delivered files are landed as pieces by
+    ``documents=split_documents(spark, paths)``.  ``layout`` is that of landed
+    documents, ``text`` or ``frames`` (small, and split at any size).
     ``run_date`` defaults to the day of ``as_of``.  ``area`` and ``epoch`` are
     those of :func:`feedlake.plans.to_silver`.  ``compression`` is that of landed
     text and JSON-lines silver.  Every scan task writes its own silver file;
-    ``records_per_file`` bounds files and ``files`` their number.  ``count_table=False``
-    saves the look into every file of a large table that the row report takes.
+    ``records_per_file`` bounds files and ``files`` their number.  The row report comes
+    from the counts that loads keep with the table; ``count_table=False`` does without.
     """
     run_date = run_date or run_tag(as_of)
     if documents is not None:
         landed = land_documents(
-            documents, landing, run_kind, run_date, compression=compression
+            documents, landing, run_kind, run_date, compression=compression, layout=layout
         )
-        multi_line, feature_start = False, None
+        multi_line = split = False
     else:
         landed = run_path(landing, run_kind, run_date)
-    options = {"mode": mode, "keep_text": _lenient(strict, mode)}
-    if feature_start is not None:
-        raw = read_split_documents(
-            spark, landed, feature_start=feature_start, check=mode == FAILFAST, **options
-        )
+    options = {"mode": mode, "keep_text": lenient(strict, mode)}
+    if split:
+        raw = read_split_documents(spark, landed, check=mode == FAILFAST, **options)
     else:
-        raw = read_documents(spark, landed, multi_line=multi_line, **options)
-    aside = rejected_path(silver, run_kind, run_date)
-    raw, n_rejected = accepted(raw, aside, strict=strict, mode=mode)
-    rows = to_silver(flatten(raw, strict=strict), area=area, epoch=epoch, as_of=as_of)
+        raw = read_documents(spark, landed, multi_line=multi_line, layout=layout, **options)
+    rows = silver_rows(raw, strict=strict, mode=mode, area=area, epoch=epoch, as_of=as_of)
     rows, observation = counted(rows, f"{run_kind}-{run_date}")
     silver_path = write_silver(
         rows if files is None else laid_out(rows, files),
@@ -167,14 +174,14 @@ def run_feed(
         silver_format=silver_format,
         load_id=load_id,
         count_table=count_table,
+        records=observation.get["records"],
     )
     return RunReport(
         run_kind=run_kind,
         run_date=run_date,
         silver_path=silver_path,
-        records=observation.get["records"],
-        rejected=n_rejected,
-        rejected_path=aside if _lenient(strict, mode) else None,
+        **observation.get,
+        rejected_path=rejected_path(silver_path) if lenient(strict, mode) else None,
         table=table,
         table_rows=table_rows,
     )
@@ -191,18 +198,19 @@ def load_silver(
     silver_format: str = "parquet",
     load_id: str | None = None,
     count_table: bool = True,
+    records: int | None = None,
 ) -> int | None:
     """Load the silver folder of one run with the explicit schema; rows of the table after it.
 
     ``mode`` is ``overwrite`` or ``append``, by default what the kind of run does.  A load
-    that failed is repeated by this alone.
+    that failed is repeated by this alone.  ``records``, if known, are not counted again.
     """
     mode = mode or _MODE_OF[run_kind]
     if mode not in _LOADS:
         raise ValueError(f"mode is one of {sorted(_LOADS)}, not {mode!r}")
     rows = read_silver(spark, run_path(silver, run_kind, run_date), fmt=silver_format)
-    _LOADS[mode](rows, table, load_id=load_id)
-    return _rows(table_count(spark, table)) if count_table else None
+    _LOADS[mode](rows, table, load_id=load_id, records=records)
+    return table_rows(spark, table) if count_table else None
 
 
 def run_backfill(spark: SparkSession, **options) -> RunReport:
@@ -238,11 +246,8 @@ def run_silver(
     """Raw text lines to silver, without a table load."""
     run_date = run_date or run_tag(as_of)
     texts = read_text_documents(spark, run_path(landing, run_kind, run_date))
-    raw = parse_documents(texts, mode=mode, keep_text=_lenient(strict, mode))
-    aside = rejected_path(silver, run_kind, run_date)
-    raw, n_rejected = accepted(raw, aside, strict=strict, mode=mode)
-    flat = flatten(raw, strict=strict)
-    rows = to_silver(flat, area=area, epoch=epoch, stamp=stamp, as_of=as_of)
+    raw = parse_documents(texts, mode=mode, keep_text=lenient(strict, mode))
+    rows = silver_rows(raw, strict=strict, mode=mode, area=area, epoch=epoch, stamp=stamp, as_of=as_of)
     rows, observation = counted(rows, f"silver-{run_date}")
     silver_path = write_silver(
         rows, silver, run_kind, run_date, fmt=silver_format, compression=compression
@@ -251,9 +256,8 @@ def run_silver(
         run_kind=run_kind,
         run_date=run_date,
         silver_path=silver_path,
-        records=observation.get["records"],
-        rejected=n_rejected,
-        rejected_path=aside if _lenient(strict, mode) else None,
+        **observation.get,
+        rejected_path=rejected_path(silver_path) if lenient(strict, mode) else None,
     )
 
 
@@ -269,4 +273,4 @@ def load_warehouse(
     """Replace ``table`` by the JSON-lines silver of one run, types inferred."""
     path = run_path(silver, run_kind, run_date)
     load_autodetected(spark, path, table, infer_timestamps=infer_timestamps)
-    return _rows(table_count(spark, table))
+    return table_rows(spark, table)

@@ -4,8 +4,9 @@ from feedlake.sources.landing import (
     BACKFILL,
     DAILY,
     FAILFAST,
-    FEATURE_START,
+    FRAMES,
     PERMISSIVE,
+    TEXT,
     parse_documents,
     read_documents,
     read_run,
@@ -15,17 +16,19 @@ from feedlake.sources.landing import (
     run_path,
     split_documents,
 )
-from feedlake.sources.silver import read_autodetect, read_silver
+from feedlake.sources.silver import read_autodetect, read_rejected, read_silver
 
 __all__ = [
     "BACKFILL",
     "DAILY",
     "FAILFAST",
-    "FEATURE_START",
+    "FRAMES",
     "PERMISSIVE",
+    "TEXT",
     "parse_documents",
     "read_autodetect",
     "read_documents",
+    "read_rejected",
     "read_run",
     "read_silver",
     "read_split_documents",

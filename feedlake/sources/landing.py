@@ -34,6 +34,9 @@ FEATURE_START = '{"type":"Feature",'
 
 _JSON_BLANKS = " \t\r\n"
 
+# How landed documents lie: a text line each, or rows of compressed frames.
+TEXT, FRAMES = "text", "frames"
+
 FAILFAST = "FAILFAST"
 PERMISSIVE = "PERMISSIVE"
 
@@ -44,6 +47,12 @@ def _checked_kind(run_kind: str) -> str:
     return run_kind
 
 
+def checked_layout(layout: str) -> str:
+    if layout not in (TEXT, FRAMES):
+        raise ValueError(f"layout is {TEXT!r} or {FRAMES!r}, not {layout!r}")
+    return layout
+
+
 def run_path(root: str, run_kind: str, run_date: str) -> str:
     """Folder of one run below a landing or silver root."""
     return f"{root.rstrip('/')}/run_kind={_checked_kind(run_kind)}/ingest_date={run_date}"
@@ -64,10 +73,12 @@ def read_documents(
     keep_text: bool = False,
     glob: str | None = None,
     base_path: str | None = None,
+    layout: str = TEXT,
 ) -> DataFrame:
     """Documents as ``features`` (an array of structs), one row each.
 
-    ``columns`` limits the parse to the named flat columns.  A malformed document
+    ``layout`` is that of landed documents, ``text`` or ``frames``; frames are dealt to
+    tasks like lines.  ``columns`` limits the parse to the named flat columns.  A malformed document
     stops the read; with ``mode="PERMISSIVE"`` its text is kept in
     ``_corrupt_record`` instead and its ``features`` are NULL.  Blank lines are no
     documents.
@@ -77,8 +88,11 @@ def read_documents(
         reader = reader.option("pathGlobFilter", glob)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
-    paths = paths if isinstance(paths, str) else list(paths)
-    texts = reader.text(paths, wholetext=multi_line)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if checked_layout(layout) == FRAMES:
+        texts = reader.schema("value string").parquet(*paths)
+    else:
+        texts = reader.text(paths, wholetext=multi_line)
     parse = parse_documents if multi_line else parse_lines
     return parse(texts, mode=mode, columns=columns, keep_text=keep_text)
 

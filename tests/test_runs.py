@@ -1,11 +1,13 @@
 import json
 import os
+import random
 import time
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 from feed_documents import document, feature
+from pyspark.sql import functions as F
 
 from feedlake.operators import flatten
 from feedlake.plans import (
@@ -16,9 +18,19 @@ from feedlake.plans import (
     run_silver,
     to_silver,
 )
+from feedlake.plans.runs import silver_rows
 from feedlake.schemas import SILVER, WAREHOUSE
-from feedlake.sinks import land_documents
-from feedlake.sources import BACKFILL, DAILY, parse_documents, run_path, split_documents
+from feedlake.sinks import land_documents, table_rows, write_documents_framed
+from feedlake.sources import (
+    BACKFILL,
+    DAILY,
+    parse_documents,
+    read_documents,
+    read_rejected,
+    read_silver,
+    run_path,
+    split_documents,
+)
 from feedlake.streaming import run_daily_stream
 
 AS_OF = datetime(2024, 10, 21, 9, 0, 0, 5000)
@@ -118,7 +130,7 @@ def test_what_a_run_does_not_take_is_set_aside(spark, texts, lake):
     options = {"documents": docs, "as_of": AS_OF, "mode": "PERMISSIVE", **lake}
     report = run_backfill(spark, strict=False, **options)
     assert (report.records, report.rejected, report.table_rows) == (2, 2, 2)
-    aside = spark.read.json(report.rejected_path)
+    aside = read_rejected(spark, report.rejected_path, fmt="parquet")
     assert sorted(r.value for r in aside.collect()) == sorted([bad, empty])
     with pytest.raises(Exception, match="no features member"):
         run_backfill(spark, strict=True, **options)
@@ -128,6 +140,70 @@ def test_what_a_run_does_not_take_is_set_aside(spark, texts, lake):
         mode="PERMISSIVE", strict=False,
     )
     assert (silver.records, silver.rejected) == (2, 2)
+    aside = read_rejected(spark, silver.rejected_path)
+    assert sorted(r.value for r in aside.collect()) == sorted([bad, empty])
+    assert sorted(r.code for r in read_silver(spark, silver.silver_path).collect()) == ["a", "b"]
+    assert load_warehouse(
+        spark, silver=lake["silver"], table="lake.inferred", run_date="20241021", run_kind=BACKFILL
+    ) == 2
+    assert "value" not in spark.table("lake.inferred").columns
+
+
+def test_accepted_and_rejected_come_from_one_job(spark, texts, lake):
+    bad = document(quake("x"))[:-9]
+    docs = texts(document(quake("a")), bad, "{}", document())
+    land_documents(docs, lake["landing"], DAILY, "20241021")
+    spark.sparkContext.setJobGroup("one", "one")
+    try:
+        report = run_silver(
+            spark, landing=lake["landing"], silver=lake["silver"], as_of=AS_OF,
+            mode="PERMISSIVE", strict=False, silver_format="parquet",
+        )
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one")) == 1
+    assert (report.records, report.rejected) == (1, 2)
+    raw = parse_documents(docs, mode="PERMISSIVE", keep_text=True)
+    rows = silver_rows(raw, strict=False, mode="PERMISSIVE", as_of=AS_OF)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_all_or_none_rejected(spark, texts, lake):
+    options = {"as_of": AS_OF, "mode": "PERMISSIVE", "strict": False, **lake}
+    report = run_backfill(spark, documents=texts("{}", "x"), **options)
+    assert (report.records, report.rejected, report.table_rows) == (0, 2, 0)
+    report = run_backfill(spark, documents=texts(document(quake("a"))), **options)
+    assert (report.records, report.rejected, report.table_rows) == (1, 0, 1)
+
+
+@pytest.mark.parametrize("silver_format", ["parquet", "json"])
+def test_landed_frames(spark, texts, lake, silver_format):
+    docs = texts(document(quake("a")), document(quake("b"), quake("c")), "{}")
+    options = {"as_of": AS_OF, "layout": "frames", "silver_format": silver_format, "strict": False, **lake}
+    report = run_backfill(spark, documents=docs, **options)
+    assert (report.records, report.rejected) == (3, 1)
+    assert run_backfill(spark, **options).records == 3
+    assert codes(spark) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="layout"):
+        run_backfill(spark, documents=docs, as_of=AS_OF, **{**lake, "layout": "tar"})
+
+
+def test_one_landed_file_of_frames_is_read_by_many_tasks(spark, lake, tmp_path):
+    draw = random.Random(1)
+    texts = [(document(*(quake(f"{i}-{j}", place=draw.randbytes(90).hex()) for j in range(40))),) for i in range(800)]
+    docs = spark.createDataFrame(texts, "value string").coalesce(1)
+    path = write_documents_framed(docs, str(tmp_path / "landed"), frame_bytes=1 << 20)
+    (file,) = Path(path).glob("*.parquet")
+    size, before = file.stat().st_size, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 6))
+    try:
+        raw = read_documents(spark, path, layout="frames", columns=("code",))
+        taken = flatten(raw, ("code",)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(r["count"] for r in taken) == 32_000
+    assert len(taken) >= 5 and max(r["count"] for r in taken) < 12_000
 
 
 def test_silver_is_loaded_alone(spark, texts, lake):
@@ -152,7 +228,7 @@ def test_daily_with_a_load_id_can_be_repeated(spark, texts, lake):
     assert codes(spark) == ["a", "c"]
 
 
-@pytest.mark.parametrize("options", [{"multi_line": True}, {"feature_start": '{"type":"Feature",'}])
+@pytest.mark.parametrize("options", [{"multi_line": True}, {"split": True}])
 def test_delivered_files(spark, lake, tmp_path, options):
     folder = tmp_path / "landing" / "run_kind=backfill" / "ingest_date=20241021"
     folder.mkdir(parents=True)
@@ -243,12 +319,44 @@ def test_stream_stops_on_or_sets_aside_what_it_cannot_take(spark, texts, lake, t
     options = {**lake, "timeout": 120, "as_of": AS_OF}
     with pytest.raises(Exception, match="(?i)malformed|no features member"):
         run_daily_stream(spark, checkpoint=str(tmp_path / "one"), **options)
-    run_daily_stream(spark, checkpoint=str(tmp_path / "two"), strict=False, mode="PERMISSIVE", **options)
+    loads = run_daily_stream(spark, checkpoint=str(tmp_path / "two"), strict=False, mode="PERMISSIVE", **options)
     assert codes(spark) == ["a"]
-    aside = spark.read.json(f"{lake['silver']}_rejected/run_kind=daily")
+    assert [(one.run_date, one.records, one.rejected) for one in loads] == [("20241021", 1, 2)]
+    aside = read_rejected(spark, loads[0].rejected_path, fmt="parquet")
     assert sorted(r.value for r in aside.collect()) == sorted(["{}", bad])
 
 
+def test_a_day_landed_again_through_the_stream_replaces_itself(spark, texts, lake, tmp_path):
+    options = {**lake, "checkpoint": str(tmp_path / "checkpoint"), "timeout": 120, "as_of": AS_OF}
+    for day in ("20241021", "20241022"):
+        land_documents(texts(document(quake(f"{day}-a"), quake(f"{day}-b"))), lake["landing"], DAILY, day)
+    told = []
+    loads = run_daily_stream(spark, on_load=told.append, **options)
+    assert [(one.run_date, one.records) for one in loads] == [("20241021", 2), ("20241022", 2)] and told == loads
+    land_documents(texts(document(quake("20241021-a"))), lake["landing"], DAILY, "20241021")
+    loads = run_daily_stream(spark, **options)
+    assert [(one.run_date, one.records) for one in loads] == [("20241021", 1)]
+    assert codes(spark) == ["20241021-a", "20241022-a", "20241022-b"]
+    assert table_rows(spark, lake["table"]) == 3
+    # More files of a day that is there: the day is loaded with all of them.
+    more = lake["landing"] + "/run_kind=daily/ingest_date=20241022/more.json"
+    Path(more).write_text(document(quake("20241022-c")))
+    assert [one.records for one in run_daily_stream(spark, **options)] == [3]
+    assert codes(spark) == ["20241021-a", "20241022-a", "20241022-b", "20241022-c"]
+    # A day of no features takes the place of its rows.
+    land_documents(texts(document()), lake["landing"], DAILY, "20241022")
+    run_daily_stream(spark, **options)
+    assert codes(spark) == ["20241021-a"]
+    assert table_rows(spark, lake["table"]) == 1
+    assert run_daily_stream(spark, **options) == []
+
+
+def test_stream_over_frames(spark, texts, lake, tmp_path):
+    land_documents(texts(document(quake("a"))), lake["landing"], DAILY, "20241021", layout="frames")
+    run_daily_stream(spark, checkpoint=str(tmp_path / "c"), layout="frames", timeout=120, **lake)
+    assert codes(spark) == ["a"]
+
+
 def test_one_stream_name_with_two_checkpoints_replaces_nothing(spark, texts, lake, tmp_path):
     for number, name in enumerate(("one", "two")):
         land_documents(texts(document(quake(name))), f"{lake['landing']}-{number}", DAILY, "20241021")
