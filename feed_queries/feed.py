@@ -206,9 +206,23 @@ def documents(
     return _packed(_features(spark, sf_dir, where), features_per_document)
 
 
+# The given table is one row group, which one task would read, render and pack.  A feed
+# comes in many files, so the events are dealt to this many, by their id, as set-up.
+_EVENT_FILES = 32
+
+
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, in many files."""
+
+    def write(path: str) -> None:
+        table(spark, sf_dir, "events").repartition(_EVENT_FILES, "event_id").write.parquet(path)
+
+    return spark.read.parquet(prepared(spark, sf_dir, "events", write))
+
+
 def _features(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """One rendered feature per event, with its day."""
-    rows = spark.sql(_FEED, events=table(spark, sf_dir, "events").filter(where))
+    rows = spark.sql(_FEED, events=spread_events(spark, sf_dir).filter(where))
     feature = F.struct(
         F.lit("Feature").alias("type"),
         "properties",
@@ -246,7 +260,7 @@ def prepared(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str]
     path = _prepared.get(key)
     if path is not None:
         try:
-            spark.read.text(path)
+            spark.read.format("binaryFile").load(path)
             return path
         except AnalysisException:
             pass

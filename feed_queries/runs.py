@@ -24,7 +24,7 @@ from feedlake.plans import load_silver, run_backfill, run_daily, run_silver, to_
 from feedlake.schemas import FLAT
 from feedlake.session import scratch_path
 from feedlake.sinks import land_documents, write_silver
-from feedlake.sources import BACKFILL, DAILY, parse_documents, read_documents, split_documents
+from feedlake.sources import BACKFILL, DAILY, parse_documents, read_documents, read_rejected, split_documents
 from feedlake.streaming import run_daily_stream
 
 
@@ -53,7 +53,7 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
             table=name,
             documents=docs,
             as_of=AS_OF,
-            compression=COMPRESSION,
+            layout="frames",
         )
     return spark.table(name)
 
@@ -134,10 +134,10 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_of=AS_OF,
         mode="PERMISSIVE",
         strict=False,
-        compression=COMPRESSION,
+        layout="frames",
     )
     code = F.regexp_extract("value", '"code":"([0-9]+)"', 1).alias("code")
-    aside = spark.read.schema("value string").json(report.rejected_path).select(code, F.lit(False).alias("taken"))
+    aside = read_rejected(spark, report.rejected_path, fmt="parquet").select(code, F.lit(False).alias("taken"))
     taken = spark.table(name).select("code", F.lit(True).alias("taken"))
     counted = F.lit(report.records).cast("long"), F.lit(report.rejected).cast("long")
     return taken.unionAll(aside).select("*", counted[0].alias("n_records"), counted[1].alias("n_rejected"))
