@@ -132,7 +132,7 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = best_fit_packing.encoded_pieces(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
-    return best_fit_packing.placed(pieces).select(
+    return best_fit_packing.placed(pieces.drop("ids")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
