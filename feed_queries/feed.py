@@ -274,6 +274,13 @@ def prepared(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str]
 _SHARES = 4
 
 
+def day_documents(spark: SparkSession, sf_dir: str, features_per_document: int) -> DataFrame:
+    """Every day's events gathered, then packed into full documents."""
+    share = (F.col("event_id") % _SHARES).alias("share")
+    gathered = _features(spark, sf_dir).repartition("ingest_date", share)
+    return _packed(gathered.sortWithinPartitions("ingest_date"), features_per_document)
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Landing root with the documents of every day as daily runs.
 
@@ -282,10 +289,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def write(root: str) -> None:
-        share = (F.col("event_id") % _SHARES).alias("share")
-        gathered = _features(spark, sf_dir).repartition("ingest_date", share)
-        ordered = gathered.sortWithinPartitions("ingest_date")
-        by_day = _packed(ordered, FEATURES_PER_DOCUMENT).write.partitionBy("ingest_date")
+        by_day = day_documents(spark, sf_dir, FEATURES_PER_DOCUMENT).write.partitionBy("ingest_date")
         by_day.text(f"{root}/run_kind={DAILY}", compression=COMPRESSION)
 
     return prepared(spark, sf_dir, "landing", write)

@@ -9,7 +9,7 @@ from feed_queries.feed import (
     COMPRESSION,
     FLAT_SQL,
     WAREHOUSE_SQL,
-    documents,
+    day_documents,
     landing,
     prepared,
 )
@@ -35,7 +35,7 @@ def delivered(spark: SparkSession, sf_dir: str) -> str:
     """All events as files with one document each; returns the folder."""
 
     def write(path: str) -> None:
-        docs = documents(spark, sf_dir, features_per_document=5000).select("value")
+        docs = day_documents(spark, sf_dir, 5000).select("value")
         docs.write.option("maxRecordsPerFile", 1).text(path)
 
     return prepared(spark, sf_dir, "delivered", write)

@@ -14,9 +14,9 @@ from feedlake.sources.landing import (
     read_text_documents,
     run_file_glob,
     run_path,
-    split_documents,
 )
 from feedlake.sources.silver import read_autodetect, read_rejected, read_silver
+from feedlake.sources.split import split_documents
 
 __all__ = [
     "BACKFILL",

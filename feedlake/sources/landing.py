@@ -23,15 +23,13 @@ from pyspark.sql import types as T
 
 from feedlake.functions._columns import once
 from feedlake.schemas import CORRUPT, document_schema
+from feedlake.sources.split import split_documents
 
 # The two kinds of run, and the file name prefix of each.
 BACKFILL = "backfill"
 DAILY = "daily"
 _FILE_PREFIX = {BACKFILL: "", DAILY: "daily"}
 
-# Fixed value: how a feature starts in a document written without blanks.
-FEATURE_START = '{"type":"Feature",'
-
 _JSON_BLANKS = " \t\r\n"
 
 # How landed documents lie: a text line each, or rows of compressed frames.
@@ -97,48 +95,6 @@ def read_documents(
     return parse(texts, mode=mode, columns=columns, keep_text=keep_text)
 
 
-def split_documents(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    *,
-    feature_start: str = FEATURE_START,
-    glob: str | None = None,
-    check: bool = True,
-) -> DataFrame:
-    """Delivered files, one document each, as ``value`` texts of about one feature.
-
-    The files are split like text files that end their lines with
-    ``feature_start``, so the size of a document does not matter.  A quote inside
-    a JSON string is escaped, hence the separator is never part of a value.  A
-    piece that ends in front of a further feature is closed to a document of its
-    own; the last one of a file must close itself.  Features that start in another
-    way stay in the piece in front of them, which costs parallelism but no rows.
-
-    With ``check`` the files are first read through for their ends: a file that was
-    cut off, or that holds a second document, is an error.
-    """
-    reader = spark.read
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    paths = paths if isinstance(paths, str) else list(paths)
-    pieces = reader.text(paths, lineSep=feature_start)
-    text = F.trim(F.col("value"), F.lit(_JSON_BLANKS))
-    ends_open = text.endswith(",") | text.endswith("[")
-    if check:
-        closing = (
-            pieces.groupBy(F.col("_metadata.file_path").alias("file"))
-            .agg(F.count_if(~ends_open).alias("ends"))
-            .filter("ends <> 1")
-            .head(1)
-        )
-        if closing:
-            file, ends = closing[0]
-            raise ValueError(f"{file} is not one whole document: {ends} of its pieces end one")
-    opened = F.when(text.startswith("{"), F.lit("")).otherwise(F.lit('{"features":[{'))
-    closed = F.when(ends_open, F.concat(F.rtrim(text, F.lit("," + _JSON_BLANKS)), F.lit("]}"))).otherwise(text)
-    return pieces.select(F.concat(opened, closed).alias("value"))
-
-
 def read_split_documents(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -148,7 +104,7 @@ def read_split_documents(
     keep_text: bool = False,
     **options,
 ) -> DataFrame:
-    """:func:`split_documents` parsed: ``features`` of about one feature per row."""
+    """:func:`split_documents` parsed: ``features`` of one feature per row."""
     texts = split_documents(spark, paths, **options)
     return parse_documents(texts, mode=mode, columns=columns, keep_text=keep_text)
 

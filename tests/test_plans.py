@@ -31,18 +31,30 @@ def landing(texts, tmp_path):
     return root
 
 
-@pytest.mark.parametrize("read", [read_documents, read_split_documents])
-def test_landing_to_silver_is_map_only(spark, landing, read):
-    text = plan(to_silver(flatten(read(spark, landing))))
+def test_landing_to_silver_is_map_only(spark, landing):
+    text = plan(to_silver(flatten(read_documents(spark, landing))))
     assert "Exchange" not in text and "Python" not in text and "Pandas" not in text
 
 
+def test_only_pieces_that_cross_a_range_are_shuffled(spark, landing):
+    text = plan(to_silver(flatten(read_split_documents(spark, landing, check=False))), "simple")
+    below = text.split("Union")[1].splitlines()[1:]
+    depth = len(below[0]) - len(below[0].lstrip())
+    whole = [line for line in below if line[depth] == ":"]
+    crossing = [line for line in below if line[depth] != ":"]
+    assert any("FileScan" in line for line in whole) and not any("Exchange" in line for line in whole)
+    assert any("Exchange" in line for line in crossing)
+    assert "Python" not in text
+
+
 @pytest.mark.parametrize("strict", [True, False])
 @pytest.mark.parametrize("mode", ["FAILFAST", "PERMISSIVE"])
 def test_each_text_is_parsed_once(spark, landing, strict, mode):
-    for read in (read_documents, read_split_documents):
-        text = plan(flatten(read(spark, landing, mode=mode), strict=strict), "simple")
-        assert text.count("from_json(") == 1
+    text = plan(flatten(read_documents(spark, landing, mode=mode), strict=strict), "simple")
+    assert text.count("from_json(") == 1
+    # Whole pieces and those put together are parsed after their union.
+    text = plan(flatten(read_split_documents(spark, landing, mode=mode, check=False), strict=strict), "simple")
+    assert text.count("from_json(") == 1
 
 
 def test_landing_to_silver_is_generated_code_around_the_parse(spark, landing):
@@ -89,7 +101,7 @@ def many_files(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "name",
-    """q_silver_rows q_text_scan q_split_scan q_dated_scan q_typed_projection q_epoch_guarded
+    """q_silver_rows q_text_scan q_dated_scan q_typed_projection q_epoch_guarded
     q_epoch_session q_area_regex q_area_positional q_to_json q_flat_map q_backfill
     """.split(),
 )
