@@ -38,7 +38,7 @@ def test_landing_to_silver_is_map_only(spark, landing):
 
 def test_only_pieces_that_cross_a_range_are_shuffled(spark, landing):
     text = plan(to_silver(flatten(read_split_documents(spark, landing, check=False))), "simple")
-    below = text.split("Union")[1].splitlines()[1:]
+    below = [line for line in text.split("Union")[1].splitlines()[1:] if line.strip()]
     depth = len(below[0]) - len(below[0].lstrip())
     whole = [line for line in below if line[depth] == ":"]
     crossing = [line for line in below if line[depth] != ":"]
