@@ -40,8 +40,8 @@ def test_only_pieces_that_cross_a_range_are_shuffled(spark, landing):
     text = plan(to_silver(flatten(read_split_documents(spark, landing, check=False))), "simple")
     below = [line for line in text.split("Union")[1].splitlines()[1:] if line.strip()]
     depth = len(below[0]) - len(below[0].lstrip())
-    whole = [line for line in below if line[depth] == ":"]
-    crossing = [line for line in below if line[depth] != ":"]
+    whole = [line for line in below if line[depth : depth + 1] == ":"]
+    crossing = [line for line in below if line[depth : depth + 1] != ":"]
     assert any("FileScan" in line for line in whole) and not any("Exchange" in line for line in whole)
     assert any("Exchange" in line for line in crossing)
     assert "Python" not in text
