@@ -1,24 +1,28 @@
 """Main text of web pages, with site templates found by counting element subtrees.
 
-Every block element is hashed with all that stands below it.  Spark counts, per host,
-on how many pages each hash occurs; subtrees that recur on ``LEAST_PAGES`` pages of a
-host, however large, are its template and are deleted.  Elements that say what they are
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) go
-in any case.  What is left of the article, or of the body of a page without one, is the
-text: one line per block, white space inside a block being one space.
-
-Inside the marked main content, boxes, sections, lists and tables that recur go as well.
-Not counted there are elements that hold most of its text and, in an article, its headings,
-paragraphs and single list items and cells: copies of an article, and passages that
-articles share, are not part of the template of a host.
-
-Counts are sums over (host, hash), so a host with a third of all pages is added up
-before it is moved.  A page is parsed twice, once for the counts and once for its text;
-markup is never shuffled.
+Every block element is hashed with all that stands below it.  Spark counts, per host, on
+how many different pages each hash occurs; pages with the same text are one, so copies of a
+page are no template of their host.  Subtrees that recur on ``LEAST_PAGES`` pages are
+deleted.  Elements that say what they are (menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, reader comments) go in any case.  What is left of the main content
+is the text: one line per block, white space inside a block being one space.
+
+The main content of a page is all that stands in an ``article``, ``main`` or an element of
+that role.  Without one all of the body may be text, and the deepest box with more than
+three quarters of it counts as the main content.  Headings, paragraphs, list items, cells
+and boxes of running text are passages, which pages may share, and never templates alone;
+other block elements are, by position: beside the main content if they recur, inside of it
+if they hold no more than half of it and recur on a tenth of the pages of their host, or on
+``MANY_PAGES``.
+
+Counts are sums over (host, hash), so a host with a third of all pages is added up before
+it is moved.  A page is parsed twice, for the counts, which are written, and for its text;
+markup is never shuffled.  A block is listed with all elements it lies in, so a page takes
+time and space by its blocks times the depth of its nesting.
 
 Defined results: null or empty html has no text; a null url is a host of its own; equal
-pages count each; a page cut off anywhere is read as far as it goes; other columns are
-not kept.
+pages are counted as one; a page cut off anywhere is read as far as it goes; other columns
+are not kept.
 """
 
 from __future__ import annotations
@@ -27,16 +31,24 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import quoted
+from feedlake.llm.frames import quoted, written
 
 LEAST_PAGES = 5
 
+# Boxes inside the main content: this share of the pages of their host, or so many.
+LEAST_SHARE = 0.1
+MANY_PAGES = 1_000
+
+# A box with this many words directly in it is running text.
+_RUNNING = 50
+
 # What elements are for, by tag, role, and words of class and id.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,14 +61,22 @@ _GONE_WORDS = set(
     "social related recommended recommendations comment comments commentlist respond replies disqus pagination pager "
     "skip toolbar search hidden".split()
 )
+# What may follow such a word in a class or id: parts of a layout, not things.
+_LAYOUT = set(
+    "area bar block body box btn button buttons col column container content group head heading holder icon icons id info "
+    "inner item items label law left link links list main message now outer panel policy right row section settings slot "
+    "text this title top bottom unit wrap wrapper".split()
+)
 _MAIN_TAGS = {"article", "main"}
 _BLOCKS = set(
     "address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul caption".split()
 )
-# Parts of the text of an article, rather than boxes in it.
-_PASSAGES = set("h1 h2 h3 h4 h5 h6 header hgroup p li dt dd caption thead tbody tfoot tr th td".split())
+# Parts of a text, rather than boxes in it.
+_PASSAGES = set(
+    "h1 h2 h3 h4 h5 h6 header hgroup p li dt dd caption thead tbody tfoot tr th td blockquote pre figcaption address".split()
+)
 # An element of the first kind ends an open one of the second.
 _ENDS = {
     **{tag: ("p",) for tag in _BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "body", "html"}},
@@ -85,8 +105,10 @@ class _Element:
     parts: list[str] = field(default_factory=list)
     subtree: int = 0
     size: int = 0
+    words: int = 0
     says: bool = False
     has_main: bool = False
+    largest: _Element | None = None
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -109,8 +131,20 @@ def _is_gone(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
         return True
     if tag in ("body", "html"):
         return False
-    words = _NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return any(word in _GONE_WORDS for word in words)
+    return any(map(_is_furniture, f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()))
+
+
+@lru_cache(maxsize=10_000)
+def _is_furniture(name: str) -> bool:
+    """Whether a class or id names such a thing: site-header and ad-top do, social-history does not."""
+    words = _NAME.findall(name)
+    if not words:
+        return False
+    if words[-1] in _GONE_WORDS:
+        return True
+    return words[0] in _GONE_WORDS and all(
+        word in _LAYOUT or word in _GONE_WORDS or word[0].isdigit() for word in words[1:]
+    )
 
 
 class Page:
@@ -119,7 +153,7 @@ class Page:
     def __init__(self, source: str):
         self.root = _Element("#", None, False, None)
         self.stack = [self.root]
-        self.closed: list[_Element] = []
+        self.opened: list[_Element] = []
         # Pieces of text with their element and the number of their block.
         self.pieces: list[tuple[_Element, int, str]] = []
         self.block = 0
@@ -151,12 +185,34 @@ class Page:
                     self._end(tag)
         while len(self.stack) > 1:
             self._close()
+        self.marked = any(one.main is one for one in self.opened)
+        if not self.marked:
+            self._find_main()
+
+    def _find_main(self) -> None:
+        """The deepest box with more than three quarters of the text, unless that is the body."""
+        heavy = self.root
+        while (inner := heavy.largest) is not None and 4 * inner.size > 3 * self.root.size:
+            if inner.tag not in _BLOCKS or inner.tag in _PASSAGES:
+                break
+            heavy = inner
+        if heavy.tag in ("#", "html", "body"):
+            return
+        heavy.main = heavy
+        above = heavy
+        while above is not None:
+            above.has_main, above = True, above.parent
+        for one in self.opened:  # parents come first
+            if one.main is None and one.parent.main is not None:
+                one.main = one.parent.main
 
     def _text(self, text: str) -> None:
         if text and not text.isspace():
             here = self.stack[-1]
             here.parts.append(text)
-            here.size += 0 if here.gone else len(text)
+            if not here.gone:
+                here.size += len(text)
+                here.words += len(text.split())
             self.pieces.append((here, self.block, text))
         elif text and self.pieces:
             self.pieces.append((self.stack[-1], self.block, " "))
@@ -176,11 +232,10 @@ class Page:
         one = _Element(tag, above, gone, above.main)
         if not gone and above.main is None and (tag in _MAIN_TAGS or attributes.get("role", "").lower() == "main"):
             one.main = one
-        elif not gone and tag == "article" and above.main is not None and above.main.tag != "article":
-            one.main = one
         if attributes:
             one.parts.append("\x00".join(f"{k}={v}" for k, v in sorted(attributes.items()) if k in ("class", "id", "href")))
         self.stack.append(one)
+        self.opened.append(one)
 
     def _implied(self, tags: tuple[str, ...]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -214,33 +269,46 @@ class Page:
         above.parts.append(f"\x02{one.subtree:x}")
         above.has_main = above.has_main or one.has_main
         above.size += one.size
-        self.closed.append(one)
-
-    def subtrees(self) -> set[int]:
-        """Hashes of block elements that may be templates."""
-        return {one.subtree for one in self.closed if one.says and _may_recur(one)}
+        if one.tag not in _BLOCKS:
+            above.words += one.words
+        if one.size and (above.largest is None or one.size > above.largest.size):
+            above.largest = one
+
+    def text_hash(self) -> int:
+        """Hash of all text but that of elements that go in any case."""
+        said = " ".join(text for one, _, text in self.pieces if not one.gone)
+        return xxhash.xxh64_intdigest(" ".join(said.split())) - (1 << 63)
+
+    def subtrees(self) -> dict[int, bool]:
+        """Hashes of block elements that may be templates, and whether all stand in the main content."""
+        found: dict[int, bool] = {}
+        for one in self.opened:
+            if one.says and self._may_recur(one):
+                inside = one.main is not None
+                found[one.subtree] = inside and found.get(one.subtree, True)
+        return found
+
+    def _may_recur(self, one: _Element) -> bool:
+        """Whether an element is a template if it recurs."""
+        if one.tag not in _BLOCKS or one.has_main or one.tag in ("html", "body"):
+            return False
+        if one.tag in _PASSAGES or one.words >= _RUNNING:
+            return False
+        return one.main is None or 2 * one.size <= one.main.size
 
     def blocks(self) -> list[tuple[str, list[int]]]:
         """Text blocks of the main content, each with the subtrees that it lies in."""
-        sizes: dict[int, int] = {}
-        mains = {id(e.main): e.main for e, _, _ in self.pieces if e.main is not None and not e.gone}
-        for element, _, text in self.pieces:
-            if element.main is not None and not element.gone:
-                sizes[id(element.main)] = sizes.get(id(element.main), 0) + len(text)
-        chosen = None
-        if sizes:
-            articles = [k for k in sizes if mains[k].tag == "article"]
-            chosen = mains[max(articles or sizes, key=sizes.__getitem__)]
+        here = self.marked and any(one.main is not None and not one.gone for one, _, _ in self.pieces)
         out: list[tuple[str, list[int]]] = []
         last, parts, holder = -1, [], None
 
         def flush() -> None:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, _chain(holder)))
+                out.append((text, self._chain(holder)))
 
         for element, block, text in self.pieces:
-            if element.gone or (chosen is not None and element.main is not chosen):
+            if element.gone or (here and element.main is None):
                 continue
             if block != last:
                 if parts:
@@ -251,23 +319,13 @@ class Page:
             flush()
         return out
 
-
-def _may_recur(one: _Element) -> bool:
-    """Whether an element is a template if it recurs; main content and what it lies in is none."""
-    if one.tag not in _BLOCKS or one.has_main or one.tag in ("html", "body"):
-        return False
-    if one.main is None:
-        return True
-    return 2 * one.size <= one.main.size and not (one.main.tag == "article" and one.tag in _PASSAGES)
-
-
-def _chain(element: _Element | None) -> list[int]:
-    found = []
-    while element is not None:
-        if _may_recur(element):
-            found.append(element.subtree)
-        element = element.parent
-    return found
+    def _chain(self, element: _Element | None) -> list[int]:
+        found = []
+        while element is not None:
+            if self._may_recur(element):
+                found.append(element.subtree)
+            element = element.parent
+        return found
 
 
 def host_of(url: str | None) -> str:
@@ -281,23 +339,29 @@ _PARSED = (
 )
 
 
+_SUBTREES = "host string, page long, key_a long, key_b long, subtrees array<struct<subtree: bigint, inside: boolean>>"
+
+
 def _subtrees(pages: DataFrame) -> DataFrame:
-    """Host and hash of each different subtree of each page, with the key of the page."""
+    """Host, hash of the text, and the different subtrees of each page, with its key."""
+    kind = pa.list_(pa.struct([("subtree", pa.int64()), ("inside", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, len(whole), 500):
                 batch = whole.slice(begin, 500)
-                hosts, found = [], []
+                hosts, texts, found = [], [], []
                 for url, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    page = Page(body or "")
                     hosts.append(host_of(url))
-                    found.append(sorted(Page(body or "").subtrees()))
+                    texts.append(page.text_hash())
+                    found.append([{"subtree": h, "inside": inside} for h, inside in sorted(page.subtrees().items())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts), *batch.columns[3:5], pa.array(found, pa.list_(pa.int64()))],
-                    names=["host", "key_a", "key_b", "subtrees"],
+                    [pa.array(hosts), pa.array(texts, pa.int64()), *batch.columns[3:5], pa.array(found, kind)],
+                    names=["host", "page", "key_a", "key_b", "subtrees"],
                 )
 
-    return pages.mapInArrow(run, "host string, key_a long, key_b long, subtrees array<long>")
+    return pages.mapInArrow(run, _SUBTREES)
 
 
 def _blocks(pages: DataFrame) -> DataFrame:
@@ -318,14 +382,23 @@ def _blocks(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, _PARSED)
 
 
-def site_templates(subtrees: DataFrame, *, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host`` and ``subtree`` of what recurs on ``least_pages`` pages of a host of any size."""
-    return (
-        subtrees.select("host", F.explode("subtrees").alias("subtree"))
-        .groupBy("host", "subtree")
-        .agg(F.count(F.lit(1)).alias("pages"))
-        .filter(F.col("pages") >= least_pages)
-    )
+def site_templates(
+    subtrees: DataFrame,
+    *,
+    least_pages: int = LEAST_PAGES,
+    least_share: float = LEAST_SHARE,
+    many_pages: int = MANY_PAGES,
+) -> DataFrame:
+    """``host`` and ``subtree`` of what recurs on ``least_pages`` different pages of a host.
+
+    ``wide`` tells what recurs widely enough to be a template inside the main content too.
+    """
+    seen = subtrees.select("host", "page", F.explode("subtrees.subtree").alias("subtree")).distinct()
+    recurring = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
+    recurring = recurring.filter(F.col("pages") >= least_pages)
+    sizes = subtrees.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("size"))
+    wide = (F.col("pages") >= many_pages) | (F.col("pages") >= least_share * F.col("size"))
+    return recurring.join(sizes, "host").select("host", "subtree", wide.alias("wide"))
 
 
 def main_texts(
@@ -335,6 +408,8 @@ def main_texts(
     url: str = "url",
     html: str = "html",
     least_pages: int = LEAST_PAGES,
+    least_share: float = LEAST_SHARE,
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """``page_id``, ``url``, main ``text`` and ``n_templates``, the subtrees of the page
     that are part of the template of its host."""
@@ -347,11 +422,15 @@ def main_texts(
         F.xxhash64("page_id", "url", "html").alias("key_a"),
         F.xxhash64(F.lit("second"), "html", "url", "page_id").alias("key_b"),
     )
-    subtrees = _subtrees(keyed)
-    recurring = site_templates(subtrees, least_pages=least_pages)
-    on_page = subtrees.select("key_a", "key_b", "host", F.explode("subtrees").alias("subtree"))
+    # Read twice: to find what recurs, and to tell each page of it.
+    subtrees = written(_subtrees(keyed), "subtrees")
+    recurring = site_templates(
+        subtrees, least_pages=least_pages, least_share=least_share, many_pages=many_pages
+    )
+    on_page = subtrees.select("key_a", "key_b", "host", F.inline("subtrees"))
     hits = (
-        on_page.join(recurring.select("host", "subtree"), ["host", "subtree"])
+        on_page.join(recurring, ["host", "subtree"])
+        .filter("wide OR NOT inside")
         .groupBy("key_a", "key_b")
         .agg(F.collect_set("subtree").alias("templates"))
     )

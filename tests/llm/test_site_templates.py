@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from feedlake.llm import site_templates as sites
@@ -19,7 +21,7 @@ def text(html):
         ("<article><p>a</p><div class='ad box'>buy</div><p>b</p></article>", "a\nb"),
         ("<article><p>a</p><form><p>name</p></form><!-- c --><script>if (a<b) '</p>'</script><p>b", "a\nb"),
         ("<main><article><p>x</p></article><section id='comments'><p>hi</p></section></main>", "x"),
-        ("<article><p>short</p></article><article><p>a longer article</p></article>", "a longer article"),
+        ("<article><p>short</p></article><article><p>a longer article</p></article>", "short\na longer article"),
         ("<header>site</header><article><header><h1>Title</h1></header><p>x</p></article>", "Title\nx"),
         ("<body class='sidebar'><div>kept</div><div hidden>gone</div><div style='display: none'>gone</div></body>", "kept"),
         ("<article><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></article>", "one\ntwo\nc1\nc2"),
@@ -90,3 +92,84 @@ def test_templates_of_a_section_of_a_large_host_go(spark):
     out = {r["page_id"]: r for r in sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
     assert out[3]["text"] == "story 3\nno 3"
     assert out[300]["text"] == "story 300\nnote 300\nno 300"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<main><p>intro</p><article><p>story</p></article><p>outro</p></main>", "intro\nstory\noutro"),
+        ("<article><p>one</p></article><div>teaser</div><article><p>two</p></article>", "one\ntwo"),
+        ("<div role=main><p>a</p></div><p>beside</p>", "a"),
+        ("<article><p>a</p><div class='social-history'>kept</div><div class='social-links'>gone</div></article>", "a\nkept"),
+        ("<article><div class=related-work><p>kept</p></div><div id=related><p>gone</p></div></article>", "kept"),
+        ("<article><p>a</p><section class=site-header>gone</section><div class=ad-300x250>gone</div></article>", "a"),
+        ("<article><p>x</p><article class=comment><p>nice</p></article></article>", "x"),
+    ],
+)
+def test_all_of_the_main_content(html, want):
+    assert text(html) == want
+
+
+@pytest.mark.parametrize("tag", ["div", "main", "article", "section", "div class=story"])
+def test_copies_of_a_page_keep_their_text(spark, tag):
+    """However many copies a host has, they are one page; what differs beside the text makes them several."""
+    body = "<{0}><div><p>the story of the day, told at length</p></div><p>and its end</p></{1}>"
+    story = body.format(tag, tag.split()[0])
+    rows = [(i, "https://a.example/", f"<body>{story}</body>", "k", "t", "h") for i in range(40)]
+    rows += [(100 + i, "https://b.example/", f"<body><p>seen {i}</p>{story}</body>", "k", "t", "h") for i in range(12)]
+    out = {r["page_id"]: r["text"] for r in sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(out[i] == "the story of the day, told at length\nand its end" for i in range(40))
+    assert all("the story of the day, told at length\nand its end" in out[100 + i] for i in range(12))
+
+
+def test_a_passage_on_a_few_of_many_pages_stays(spark):
+    quote = "<div><h2>As they said</h2><blockquote>to be or not to be</blockquote></div>"
+    rows = []
+    for i in range(120):
+        own = f"<div><p>page {i} has a text of its own that is long, number {i * 7}</p></div>"
+        inside = quote if i < 6 else ""
+        rows.append((i, "https://a.example/", f"<body><div id=c>{own}{inside}</div><div>all rights</div></body>", "k", "t", "h"))
+    out = {r["page_id"]: r["text"] for r in sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[3].endswith("\nAs they said\nto be or not to be") and out[3].startswith("page 3 has")
+    assert "all rights" not in out[3] + out[50]
+    few = {r["page_id"]: r["text"] for r in sites.main_texts(spark.createDataFrame(rows[:30], PAGES)).collect()}
+    assert "to be" not in few[3]  # a fifth of the pages of a small host
+    many = sites.main_texts(spark.createDataFrame(rows, PAGES), many_pages=6).filter("page_id = 3").first()
+    assert "to be" not in many["text"]
+
+
+def brute(rows, least_pages=5, share=0.1, many=1_000):
+    """The same by plain loops over the parsed pages."""
+    pages = [(page_id, sites.host_of(url), sites.Page(body or "")) for page_id, url, body, *_ in rows]
+    seen, sizes = {}, {}
+    for _, host, page in pages:
+        sizes.setdefault(host, set()).add(page.text_hash())
+        for subtree in page.subtrees():
+            seen.setdefault((host, subtree), set()).add(page.text_hash())
+    out = []
+    for page_id, host, page in pages:
+        gone = set()
+        for subtree, inside in page.subtrees().items():
+            n = len(seen[host, subtree])
+            if n >= least_pages and (not inside or n >= many or n >= share * len(sizes[host])):
+                gone.add(subtree)
+        out.append((page_id, "\n".join(t for t, under in page.blocks() if not gone & set(under)), len(gone)))
+    return sorted(out)
+
+
+def test_counts_against_loops(spark):
+    draw = random.Random(8)
+    boxes = [f"<div><p>box {i}</p><ul><li>item {i}</ul></div>" for i in range(6)]
+    rows = []
+    for i in range(300):
+        host = draw.choice(["a", "a", "a", "b", "c"])
+        parts = [f"<p>{draw.choice(['x', 'y', 'z'])} text {draw.randrange(90)} and more of it</p>" for _ in range(draw.randrange(5))]
+        parts += draw.sample(boxes, draw.randrange(4))
+        draw.shuffle(parts)
+        cut = draw.randrange(len(parts) + 1)
+        open_, close = draw.choice([("<article>", "</article>"), ("<div>", "</div>"), ("<main>", "</main>"), ("", "")])
+        html = f"<body>{''.join(parts[:cut])}{open_}{''.join(parts[cut:])}{close}</body>"
+        rows.append((i, f"http://{host}.example/{i}", html, "k", "t", "h"))
+    got = sites.main_texts(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted((r["page_id"], r["text"], r["n_templates"]) for r in got) == brute(rows)
+    assert any(r["n_templates"] for r in got)
