@@ -12,6 +12,7 @@ from feed_queries.feed import (
     day_documents,
     landing,
     prepared,
+    table,
 )
 from feedlake.operators import flatten
 from feedlake.plans import to_silver
@@ -20,6 +21,7 @@ from feedlake.sources import (
     DAILY,
     parse_documents,
     read_autodetect,
+    read_chosen_runs,
     read_documents,
     read_run,
     read_silver,
@@ -65,6 +67,15 @@ def dated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(raw, _COLUMNS, keep=["ingest_date"], keep_id=True)
 
 
+def chosen_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the days whose number of purchases is a multiple of three."""
+    by_day = """SELECT date_format(ts, 'yyyyMMdd') AS ingest_date FROM {events}
+                WHERE event_type = 'purchase' GROUP BY 1 HAVING count(*) % 3 = 0"""
+    runs = spark.sql(by_day, events=table(spark, sf_dir, "events"))
+    raw = read_chosen_runs(spark, landing(spark, sf_dir), DAILY, runs, columns=_COLUMNS)
+    return flatten(raw, _COLUMNS, keep=["ingest_date"], keep_id=True)
+
+
 def silver_lines(spark: SparkSession, sf_dir: str) -> str:
     """All events as JSON-lines silver; returns the folder."""
 
@@ -96,6 +107,13 @@ QUERIES = {
     "q_text_scan": (text_scan, f"WITH {FLAT_SQL} {_WITH_ID}"),
     "q_silver_scan": (silver_scan, f"WITH {WAREHOUSE_SQL} SELECT * FROM warehouse"),
     "q_autodetect_scan": (autodetect_scan, AUTODETECT_SQL),
+    "q_chosen_scan": (
+        chosen_scan,
+        f"""WITH {FLAT_SQL}
+        SELECT ingest_date, CAST(event_id AS VARCHAR) AS id, {', '.join(_COLUMNS)} FROM flat
+        WHERE ingest_date IN (
+          SELECT ingest_date FROM flat WHERE status = 'purchase' GROUP BY ingest_date HAVING count(*) % 3 = 0)""",
+    ),
     "q_dated_scan": (
         dated_scan,
         f"WITH {FLAT_SQL} SELECT ingest_date, CAST(event_id AS VARCHAR) AS id, "

@@ -16,6 +16,8 @@ from feedlake.sinks import (
     load_autodetected,
     load_direct,
     load_overwrite,
+    read_warehouse,
+    register_warehouse,
     table_count,
     write_silver,
 )
@@ -66,6 +68,16 @@ def write_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def connector_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders through the connector: a load, the same load again, and one on top of it."""
+    register_warehouse(spark)
+    path = scratch_path(spark, "connector")
+    orders = table(spark, sf_dir, "orders")
+    for load_id in ("first", "first", "second"):
+        load_direct(orders, fmt="feed_warehouse", mode="append", options={"path": path, "load_id": load_id})
+    return read_warehouse(spark, path, orders.schema)
+
+
 def total_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report after two loads counts the whole table."""
     name = fresh_table(spark, "counted")
@@ -106,6 +118,11 @@ QUERIES = {
         write_mode,
         "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     ),
+    "q_connector_load": (
+        connector_load,
+        """SELECT *, 'first' AS load FROM orders
+           UNION ALL SELECT *, 'second' AS load FROM orders""",
+    ),
     "q_table_count": (total_rows, "SELECT 2 * count(*) AS table_rows FROM orders"),
     "q_autodetect_load": (autodetect_load, AUTODETECT_SQL),
     "q_silver_to_warehouse": (silver_to_warehouse, AUTODETECT_SQL),

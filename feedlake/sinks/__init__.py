@@ -1,5 +1,6 @@
 """Sinks: landing text, silver files, catalog tables."""
 
+from feedlake.sinks.connector import read_warehouse, register_warehouse
 from feedlake.sinks.files import (
     land_documents,
     write_documents_framed,
@@ -28,7 +29,9 @@ __all__ = [
     "load_direct",
     "load_overwrite",
     "read_table",
+    "read_warehouse",
     "recover",
+    "register_warehouse",
     "table_count",
     "table_rows",
     "write_documents_framed",

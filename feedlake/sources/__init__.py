@@ -8,6 +8,7 @@ from feedlake.sources.landing import (
     PERMISSIVE,
     TEXT,
     parse_documents,
+    read_chosen_runs,
     read_documents,
     read_run,
     read_split_documents,
@@ -27,6 +28,7 @@ __all__ = [
     "TEXT",
     "parse_documents",
     "read_autodetect",
+    "read_chosen_runs",
     "read_documents",
     "read_rejected",
     "read_run",

@@ -127,6 +127,24 @@ def read_run(
     return documents.withColumn("ingest_date", F.col("ingest_date").cast("string"))
 
 
+def read_chosen_runs(
+    spark: SparkSession, landing: str, run_kind: str, runs: DataFrame, *, layout: str = TEXT, **options
+) -> DataFrame:
+    """Documents of the runs whose ``ingest_date`` is in the table ``runs``.
+
+    The days are not known when the scan is planned: they come from the table as it runs
+    and prune its folders, so files of other days are not opened.
+    """
+    place = f"{landing.rstrip('/')}/run_kind={_checked_kind(run_kind)}"
+    if checked_layout(layout) == FRAMES:
+        texts = spark.read.schema("value string, ingest_date string").parquet(place)
+    else:
+        texts = spark.read.schema("value string, ingest_date string").text(place)
+    # Spark prunes by a table that a condition has chosen from; all dates fulfil this one.
+    days = runs.select(F.col("ingest_date").cast("string").alias("ingest_date")).filter("ingest_date > ''")
+    return parse_lines(texts.join(days, "ingest_date", "left_semi"), **options)
+
+
 def read_text_documents(
     spark: SparkSession, paths: str | Sequence[str], *, whole_text: bool = False
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from feedlake.sources import (
     BACKFILL,
     DAILY,
     parse_documents,
+    read_chosen_runs,
     read_autodetect,
     read_documents,
     read_run,
@@ -214,6 +215,29 @@ def test_one_run_of_the_landing_zone(spark, texts, tmp_path):
     assert codes(read_run(spark, root, DAILY, ["20240101", "20240102"])) == ["a", "b"]
 
 
+@pytest.mark.parametrize("layout", ["text", "frames"])
+def test_runs_chosen_by_a_table_prune_their_folders(spark, tmp_path, layout):
+    """300 days, three of them in the table: the files of the others are not opened."""
+    days = [f"2024{i:04d}" for i in range(300)]
+    rows = [(document(feature(day)), day) for day in days]
+    landed = spark.createDataFrame(rows, "value string, ingest_date string").repartition(4)
+    writer = landed.write.partitionBy("ingest_date")
+    place = f"{tmp_path}/run_kind=daily"
+    writer.text(place) if layout == "text" else writer.parquet(place)
+    table = str(tmp_path / "runs")
+    spark.createDataFrame([(day, n) for n, day in enumerate(days)], "ingest_date string, n int").write.parquet(table)
+    runs = spark.read.parquet(table).filter("n % 100 = 7")
+    chosen = read_chosen_runs(spark, str(tmp_path), DAILY, runs, layout=layout, columns=("code",))
+    got = flatten(chosen, ("code",), keep=["ingest_date"])
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    # The folders are listed by now; a file that is gone would stop a task that opens it.
+    for day in days:
+        if day not in (days[7], days[107], days[207]):
+            for path in (tmp_path / "run_kind=daily" / f"ingest_date={day}").glob("part-*"):
+                path.unlink()
+    assert sorted((r.ingest_date, r.code) for r in got.collect()) == [(d, d) for d in (days[7], days[107], days[207])]
+
+
 def test_silver_lines_have_warehouse_types(spark, texts, tmp_path):
     flat = flatten(parse_documents(texts(document(feature("a", mag=1.1, tz="7", felt=3)))))
     rows = to_silver(flat, as_of=datetime(2024, 10, 21, 9, 0, 0, 5999))
