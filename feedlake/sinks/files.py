@@ -6,11 +6,13 @@ it as a whole, so a rerun of the same day leaves no stale files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
-from feedlake.schemas import DISPOSITION
+from feedlake.schemas import ACCEPTED, DISPOSITION, REJECTED_TEXT
 from feedlake.sources.landing import FRAMES, TEXT, checked_layout, run_path
+from feedlake.sources.silver import TYPES, accepted_folder
 
 # Text in one frame of a landed file, before compression.
 FRAME_BYTES = 32 << 20
@@ -85,15 +87,60 @@ def land_documents(
 def write_jsonl(
     rows: DataFrame, path: str, *, compression: str = "none", records_per_file: int = 0
 ) -> str:
-    """One JSON object per line; NULL fields are left out."""
+    """One JSON object per line; NULL fields are left out.
+
+    What type a reader would infer for each column is counted on the way and written below
+    ``_types``, so :func:`feedlake.sources.read_autodetect` need not read the lines for it.
+    """
+    dealt = DISPOSITION in rows.columns
+    columns = [f for f in rows.schema.fields if not (dealt and f.name in (DISPOSITION, REJECTED_TEXT))]
+    kinds = [_INFERRED.get(f.dataType.simpleString()) for f in columns]
+    plain = None not in kinds
+    seen = Observation()
+    if plain:
+        rows = rows.observe(seen, *_type_counts(columns, kinds, dealt))
     writer = rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
+    if dealt:
+        writer = writer.partitionBy(DISPOSITION)
     writer.json(path, compression=compression)
+    if plain:
+        found = seen.get
+        types = [
+            (field.name, "string" if found.get(f"odd{i}") else kind)
+            for i, (field, kind) in enumerate(zip(columns, kinds))
+            if found[f"n{i}"]
+        ]
+        lines = rows.sparkSession.createDataFrame(types, "name string, kind string").coalesce(1)
+        lines.write.mode("overwrite").json(f"{accepted_folder(path) if dealt else path}/{TYPES}")
     return path
 
 
+# What inference makes of the JSON of a type; a number with a point or exponent is a double.
+_INFERRED = {
+    "tinyint": "bigint", "smallint": "bigint", "int": "bigint", "bigint": "bigint", "float": "double",
+    "double": "double", "boolean": "boolean", "string": "string", "date": "string", "timestamp": "string",
+    "timestamp_ntz": "string",
+}
+
+
+def _type_counts(columns: list[StructField], kinds: list[str], dealt: bool) -> list[Column]:
+    """For each column how many accepted rows have a value, and one that is no plain number."""
+    taken = F.col(DISPOSITION) == ACCEPTED if dealt else F.lit(True)
+    counts = []
+    for i, (field, kind) in enumerate(zip(columns, kinds)):
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        counts.append(F.count_if(taken & value.isNotNull()).alias(f"n{i}"))
+        if kind == "double":  # written as text
+            counts.append(F.count_if(taken & (F.isnan(value) | (F.abs(value) == float("inf")))).alias(f"odd{i}"))
+    return counts
+
+
 def write_parquet(rows: DataFrame, path: str, *, records_per_file: int = 0) -> str:
     """Columnar files; with ``records_per_file`` none has more rows than that."""
-    rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).parquet(path)
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
+    if DISPOSITION in rows.columns:
+        writer = writer.partitionBy(DISPOSITION)
+    writer.parquet(path)
     return path
 
 
@@ -116,10 +163,6 @@ def write_silver(
     if fmt not in ("json", "parquet"):
         raise ValueError(f"silver is 'json' or 'parquet', not {fmt!r}")
     path = run_path(silver, run_kind, run_date)
-    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
-    if DISPOSITION in rows.columns:
-        writer = writer.partitionBy(DISPOSITION)
     if fmt == "json":
-        writer = writer.option("compression", compression)
-    writer.format(fmt).save(path)
-    return path
+        return write_jsonl(rows, path, compression=compression, records_per_file=records_per_file)
+    return write_parquet(rows, path, records_per_file=records_per_file)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,10 @@ from feedlake.operators.casts import to_warehouse
 from feedlake.schemas import ACCEPTED, DISPOSITION, REJECTED_TEXT, SILVER, WAREHOUSE
 
 
+# Folder of the types of JSON lines, beside them; readers skip names that begin like this.
+TYPES = "_types"
+
+
 def read_silver(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -49,10 +54,32 @@ def _accepted(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col(DISPOSITION) == ACCEPTED).drop(DISPOSITION)
 
 
-def _accepted_folder(spark: SparkSession, path: str) -> str:
-    """Where the accepted rows of a silver folder lie; its folders are listed, no file is opened."""
+def accepted_folder(path: str) -> str:
+    """Where the accepted rows of silver that was dealt by disposition lie."""
+    return f"{path.rstrip('/')}/{DISPOSITION}={ACCEPTED}"
+
+
+def _lines_of(spark: SparkSession, path: str) -> str:
+    """The folder of the accepted rows of silver; folders are listed, no file is opened."""
     dealt = DISPOSITION in spark.read.schema(f"{REJECTED_TEXT} string").text(path).columns
-    return f"{path.rstrip('/')}/{DISPOSITION}={ACCEPTED}" if dealt else path
+    return accepted_folder(path) if dealt else path
+
+
+def _written_types(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """What inference would say of folders whose types were written with them, else None."""
+    kinds: dict[str, str] = {}
+    for path in paths:
+        try:
+            rows = spark.read.schema("name string, kind string").json(f"{path.rstrip('/')}/{TYPES}").collect()
+        except AnalysisException:  # written by others
+            return None
+        for name, kind in rows:
+            before = kinds.get(name, kind)
+            # Whole numbers and others are numbers; any other two types are text.
+            kinds[name] = kind if before == kind else "double" if {before, kind} == {"bigint", "double"} else "string"
+    if not kinds:
+        return None
+    return T.StructType([T.StructField(name, T._parse_datatype_string(kinds[name])) for name in sorted(kinds)])
 
 
 def read_rejected(spark: SparkSession, path: str, *, fmt: str = "json") -> DataFrame:
@@ -65,12 +92,15 @@ def read_autodetect(
 ) -> DataFrame:
     """JSON lines with types inferred from all of the data.
 
-    Inference is one more pass over the files, so prefer :func:`read_silver`
-    where the schema is known.  With ``infer_timestamps`` texts such as
+    Folders that :func:`feedlake.sinks.write_jsonl` wrote have their types beside them, and
+    are read once.  For others, and to find timestamps, inference is one more pass over the
+    files, so prefer :func:`read_silver` where the schema is known.  With ``infer_timestamps`` texts such as
     ``2024-10-21 08:08:33`` become timestamps.
     """
     reader = spark.read.option("inferTimestamp", infer_timestamps)
     if infer_timestamps:
         reader = reader.option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return reader.json([_accepted_folder(spark, path) for path in paths])
+    folders = [_lines_of(spark, path) for path in paths]
+    types = None if infer_timestamps else _written_types(spark, folders)
+    return (reader if types is None else reader.schema(types)).json(folders)

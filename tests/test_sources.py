@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from feed_documents import document, feature
@@ -258,3 +258,23 @@ def test_inferred_types(spark, tmp_path):
     assert kinds == {"a": "double", "b": "boolean", "t": "string"}
     kinds = dict(read_autodetect(spark, str(tmp_path), infer_timestamps=True).dtypes)
     assert kinds["t"].startswith("timestamp")
+
+
+def test_types_written_with_silver_are_those_inferred(spark, tmp_path):
+    """Every kind of column, alone and in two folders, against inference over the same lines."""
+    schema = "a int, b bigint, c float, d double, e string, f boolean, g date, h timestamp, none string, `odd.name` smallint, bad double"
+    day, time = date(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5)
+    rows = [(1, 2**40, 1.0, 1e300, "x", True, day, time, None, 3, 1.0), (None, None, None, None, "7", None, None, None, None, None, float("nan"))]
+    one = write_jsonl(spark.createDataFrame(rows, schema), str(tmp_path / "one"))
+    two = write_jsonl(spark.createDataFrame([(1.5, "x", 2, None)], "a double, b string, c int, e string"), str(tmp_path / "two"))
+    for paths in ([one], [two], [one, two]):
+        plain = [f"{p}/*.json" for p in paths]
+        got, want = read_autodetect(spark, paths), spark.read.option("inferTimestamp", False).json(plain)
+        assert got.schema == want.schema
+        key = lambda r: str(tuple(r))
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    # The lines are not read for their types: here they are gone when the schema is made.
+    for path in (tmp_path / "one").glob("part-*"):
+        path.write_text("{broken")
+    assert read_autodetect(spark, one).schema == spark.read.schema(read_autodetect(spark, one).schema).json(one).schema
+    assert "_corrupt_record" not in read_autodetect(spark, one).columns
