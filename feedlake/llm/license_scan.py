@@ -54,10 +54,41 @@ NOTICES = {
     "All rights reserved": "All rights reserved.",
 }
 
+# Passages of the license texts themselves and of the headers that files carry.
+# The headers of the GNU licenses differ between versions by one number, so they name none.
+TEXTS = {
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+        except in compliance with the License. You may obtain a copy of the License at""",
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+        associated documentation files (the "Software"), to deal in the Software without restriction, including
+        without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+        copies of the Software, and to permit persons to whom the Software is furnished to do so""",
+    "GPL": "the terms of the GNU General Public License as published by",
+    "LGPL": "the terms of the GNU Lesser General Public License as published by",
+    "AGPL": "the terms of the GNU Affero General Public License as published by",
+    "BSD-2-Clause": """Redistributions of source code must retain the above copyright notice, this list of conditions
+        and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with
+        the distribution.""",
+    "BSD-3-Clause": """may be used to endorse or promote products derived from this software without specific prior
+        written permission""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "MPL-2.0": """If a copy of the MPL was not distributed with this file, You can obtain one at""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+        software and accompanying documentation covered by this license""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the
+        authors be held liable for any damages arising from the use of this software.""",
+    "CC0-1.0": """the person associating CC0 with this deed has dedicated the work to the public domain by waiving all
+        rights to the work worldwide under copyright law""",
+    "Unlicense": """Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in
+        source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+}
+
 
 def notices(spark: SparkSession) -> DataFrame:
-    """The notices of this module as templates."""
-    return spark.createDataFrame(list(NOTICES.items()), "license string, text string")
+    """The notices and texts of this module as templates, versions of a license under its name."""
+    return spark.createDataFrame([*NOTICES.items(), *TEXTS.items()], "license string, text string")
 
 
 def bands(least_jaccard: float, hashes: int = HASHES, missed: float = MISSED) -> tuple[int, int]:

@@ -80,3 +80,42 @@ def test_some_window_holds_a_run_wholly(shingles):
 def test_main_path_is_native(spark, case):
     plan = scan.found_notices(case[1], scan.notices(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+LICENSE_FILES = {
+    "MIT": """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "LGPL": """ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,""",
+}
+
+
+def test_license_texts_and_headers(spark, documents, prose):
+    """As they stand in files, also in the middle of other text; each names one license."""
+    rows = [(i, text) for i, text in enumerate(LICENSE_FILES.values())]
+    rows += [(100 + i, " ".join(prose(i, 300)) + "\n" + text + "\n" + " ".join(prose(i + 50, 200))) for i, text in enumerate(LICENSE_FILES.values())]
+    found = scan.found_notices(documents(rows), scan.notices(spark)).collect()
+    names = {}
+    for row in found:
+        names.setdefault(row["doc_id"], set()).add(row["license"])
+    for i, name in enumerate(LICENSE_FILES):
+        assert names[i] == names[100 + i] == {name}
