@@ -3,6 +3,14 @@
 Stages filter the ``documents`` table and keep its columns; the last one encodes what is
 left.  Between stages the rows are written and read again, so no stage repeats the work of
 another and a lost executor costs no more than its tasks.
+
+Defined results: a null or empty text fails the quality rules, as does one of fewer than 50
+words; where a stage meets one all the same, it is not toxic, has no near copy, holds no
+benchmark passage, and is encoded as null or as no ids.  Repeated rows are judged one by
+one, and the n-gram join keeps one of them; of rows that share an id it keeps one, too.
+Rows without an id are kept by every stage that keeps their text.  Columns besides those
+of ``documents``, whatever their names, pass the first four stages.  An empty table gives an
+empty one with the same columns, and without labels nothing is toxic.
 """
 
 from __future__ import annotations
@@ -62,6 +70,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @_stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, checked by decoding them."""
+    docs = docs.select("doc_id", "lang", "source", "text")
     pieces = piece_lattice.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
     both = piece_lattice.encoded_and_checked(docs, pieces)
     wrong = F.raise_error(F.lit("decoding did not give a text back")).cast("array<int>")
