@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_each_operator_and_the_pipeline_are_registered():
     names = list(registry.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES][2] == "n-gram Jaccard join"
 
@@ -50,3 +50,43 @@ def test_run_is_the_stages_in_order(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "lang", "source", "ids", "n_ids"]
     assert 0 < out.count() < table(spark, SMALL, "documents").count()
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Labels and a benchmark that have nothing to do with the documents."""
+    root = str(tmp_path_factory.mktemp("stages"))
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(30)] + [(None, 1, 1), (3, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    items = [("i", "ten words in a row that no document here has"), ("none", None), ("blank", "")]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{root}/benchmark.parquet")
+    return root
+
+
+def test_stages_take_odd_rows(spark, documents, hostile_rows, prose, folder):
+    whole = [(100 + i, " ".join(prose(i, 90))) for i in range(8)]
+    docs = documents([*hostile_rows, *whole, whole[0], (None, whole[1][1])])
+    good = {text for _, text in whole}
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, folder), "odd")
+        rows = out.collect()
+        ids = sorted(str(r["doc_id"]) for r in rows)
+        if name == "SentencePiece encoding and decoding":
+            assert len(rows) == docs.count() and {r["doc_id"] for r in rows if r["ids"] is None} == {1, None}
+            continue
+        assert out.columns == docs.columns
+        texts = [r["text"] for r in rows]
+        if name == "quality rules":
+            assert good <= set(texts) and None not in texts and "" not in texts and ids.count("100") == 2
+        elif name == "n-gram Jaccard join":
+            named = [r["text"] for r in rows if r["doc_id"] is not None and (r["text"] or "").strip()]
+            assert len(named) == len(set(named)) and good <= set(named)
+            assert ids.count("None") == 3 and len(set(ids) - {"None"}) == len(ids) - 3
+        else:
+            assert sorted(map(str, texts)) == sorted(str(r["text"]) for r in docs.collect())
+
+
+def test_stages_take_an_empty_table(spark, documents, folder):
+    docs = documents([]).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).count() == 0, name
