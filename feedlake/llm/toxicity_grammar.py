@@ -5,7 +5,8 @@ toxic documents far more often than in others.  It tags the words of a clause as
 insults and threats; short fixed lists tag targets, negation and speech verbs.
 Transducers for negation, reported speech and target are composed into one
 machine, which rewrites every insult or threat by the clause it stands in (aimed
-at someone, denied, quoted, or plain) and weighs it.  The score of a document is a
+at someone, denied, quoted, or plain) and weighs it; a second one reads what it wrote
+from the end, for targets that stand behind.  The score of a document is a
 logistic function of the weights of its matched clauses.
 
 The lexicon is found in a text by an Aho-Corasick automaton; only clauses with a
@@ -38,7 +39,6 @@ from feedlake.llm.frames import quoted, unused, with_column_in_arrow, written
 SAMPLE_ROWS = 20_000
 LEAST_SUPPORT = 5
 LEAST_WEIGHT = 2.5
-MOST_ENTRIES = 4_000
 PREFIXES = (4, 5, 6, 7)
 
 # Symbols of the input tape; the lexicon adds insults.
@@ -118,6 +118,12 @@ def grammar() -> Transducer:
     return machine.then(aimed, SYMBOLS)
 
 
+def target_behind() -> Transducer:
+    """A target that stands behind what it is aimed at; reads what :func:`grammar` writes from its end."""
+    tape = {*SYMBOLS, *(out for _, out, _ in grammar().arcs.values())}
+    return _within(TARGET, 4, "aimed", log(1.5), HOSTILE, sorted(tape))
+
+
 FEATURES = ("plain", "aimed", "denied", "quoted", "threat", "per_words", "any")
 
 
@@ -136,6 +142,10 @@ class Model:
     def machine(self) -> Transducer:
         return grammar()
 
+    @cached_property
+    def behind(self) -> Transducer:
+        return target_behind()
+
     @cached_property
     def tags(self) -> dict[str, str]:
         return {word: symbol for symbol, words in LISTS.items() for word in words.split()}
@@ -173,23 +183,35 @@ class Model:
             last = stops[k] if k < len(stops) else len(text)
             yield text[start:last]
 
+    def _read(self, clause: str) -> list[tuple[float, str, float]]:
+        """Lexicon weight, output and grammar weight of each insult and threat of a clause."""
+        tape = []
+        state = self.machine.start
+        for word in _WORD.findall(clause):
+            found = self.hostile(word)
+            symbol = found[0] if found else self.tags.get(word, WORD)
+            if symbol == THREAT and not found:
+                symbol = WORD  # a threat counts if the labels bear it out
+            state, out, weight = self.machine.step(state, symbol)
+            tape.append((found[1] if found else 0.0, out, weight))
+        state = self.behind.start
+        read = []
+        for found, out, weight in reversed(tape):
+            state, out, more = self.behind.step(state, out)
+            if found:
+                read.append((found, out, weight + more))
+        return read[::-1]
+
     def features(self, text: str) -> list[float]:
         """Summed weights of matched clauses by kind, in the order of FEATURES."""
         text = text.lower()
         sums = dict.fromkeys(FEATURES, 0.0)
         for clause in self.clauses(text):
-            state = self.machine.start
-            for word in _WORD.findall(clause):
-                found = self.hostile(word)
-                symbol = found[0] if found else self.tags.get(word, WORD)
-                if symbol == THREAT and not found:
-                    symbol = WORD  # a threat counts if the labels bear it out
-                state, out, weight = self.machine.step(state, symbol)
-                if found:
-                    kind = out.split()[0] if " " in out else "plain"
-                    sums[kind] += found[1] * exp(weight)
-                    sums["threat"] += out.endswith(THREAT)
-                    sums["any"] = 1.0
+            for found, out, weight in self._read(clause):
+                kind = out.split()[0] if " " in out else "plain"
+                sums[kind] += found * exp(weight)
+                sums["threat"] += out.endswith(THREAT)
+                sums["any"] = 1.0
         total = sum(sums[k] for k in ("plain", "aimed", "denied", "quoted"))
         if total:
             sums["per_words"] = total / max(1, text.count(" ") + 1)
@@ -255,9 +277,7 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
         counts.filter(F.col("bad") >= LEAST_SUPPORT)
         .withColumn("weight", weight)
         .filter(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc(F.col("bad") * F.col("weight")), "entry")
-        .limit(MOST_ENTRIES)
-        .collect()
+        .collect()  # bounded by the labelled rows of the sample
     )
     return {row["entry"]: row["weight"] for row in best}
 

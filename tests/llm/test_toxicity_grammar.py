@@ -1,3 +1,7 @@
+import math
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +86,57 @@ def test_sample_has_its_bound(spark, documents):
     docs = documents([(i, f"text {i}") for i in range(50)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
     assert toxic._sample(docs, labels, 20).count() == 20
+
+
+def test_targets_on_both_sides():
+    model = toxic.Model({"idiot": 3.0, "kill": 2.0})
+
+    def read(clause):
+        return [out for _, out, _ in model._read(clause)]
+
+    assert read("you are an idiot") == read("idiot that is what you are") == ["aimed insult"]
+    assert read("an idiot of the very first order you") == ["insult"]
+    assert read("kill them or maybe also kill you") == ["threat", "aimed threat"]
+    assert read("not an idiot you know") == ["denied insult"]
+
+
+def plain_features(model, text):
+    """Every clause of the text, every word of it, each rule by looking around."""
+    text = text.lower()
+    sums, found_any, threats = dict.fromkeys(("plain", "aimed", "denied", "quoted"), 0.0), 0.0, 0
+    for clause in re.split(r"[.!?;:\n]+", text):
+        words = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause)
+        tags = []
+        for word in words:
+            entries = [word, *(word[:n] + "*" for n in (4, 5, 6, 7) if len(word) > n)]
+            weight = max(model.lexicon.get(e, 0.0) for e in entries)
+            kind = next((k for k, listed in toxic.LISTS.items() if word in listed.split()), None)
+            tags.append((weight, "hostile" if weight else None if kind == toxic.THREAT else kind, kind == toxic.THREAT))
+        for i, (weight, tag, threat) in enumerate(tags):
+            if tag != "hostile":
+                continue
+
+            def near(kind, reach):
+                return any(t[1] == kind for t in tags[max(0, i - reach) : i])
+
+            denied, quoted = near(toxic.NEGATION, 3), near(toxic.SPEECH, 12)
+            aimed = not denied and not quoted and (
+                near(toxic.TARGET, 4) or any(t[1] == toxic.TARGET for t in tags[i + 1 : i + 5])
+            )
+            name = "quoted" if quoted else "denied" if denied else "aimed" if aimed else "plain"
+            sums[name] += weight * (0.5 if denied else 1) * (0.5 if quoted else 1) * (1.5 if aimed else 1)
+            threats += threat
+            found_any = 1.0
+    total = sum(sums.values())
+    per_words = total / max(1, text.count(" ") + 1) if total else 0.0
+    return [*map(math.log1p, sums.values()), math.log1p(threats), math.log1p(per_words), found_any]
+
+
+def test_features_against_plain_loops():
+    model = toxic.Model({"blurf": 3.0, "zork*": 2.5, "kill": 4.0, "umbr*": 2.7, "naïv*": 2.6})
+    draw = random.Random(12)
+    pool = "blurf zorkig Zorks kill umbringen naïveté you your not never said wrote a b c d e f g ab-blurf xblurf don't you're kill. shoot".split()
+    for _ in range(400):
+        text = "".join(draw.choice(pool) + draw.choice([" ", " ", " ", " ", ". ", "; ", "\n", ", "]) for _ in range(draw.randrange(60)))
+        got, want = model.features(text), plain_features(model, text)
+        assert [round(x, 9) for x in got] == [round(x, 9) for x in want], text
