@@ -102,6 +102,18 @@ def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("n_files", F.lit(len(stored.inputFiles())).cast("long"))
 
 
+def whole_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a table in one file, and in files of a bounded number of rows."""
+    customers = table(spark, sf_dir, "customer")
+    one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
+    write_parquet(laid_out(customers, 1), one)
+    write_parquet(customers, many, records_per_file=1_000)
+    stored, parts = spark.read.parquet(one), spark.read.parquet(many)
+    most = parts.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0]
+    n_files = F.lit(len(stored.inputFiles())).cast("long")
+    return stored.withColumns({"n_files": n_files, "most_rows": F.lit(most).cast("long")})
+
+
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows created from the documents: counted, and observed by a write."""
     rows = flatten(read_documents(spark, landing(spark, sf_dir), columns=("mag",)), ("mag",))
@@ -136,6 +148,10 @@ QUERIES = {
         """SELECT o_orderstatus, count(*) AS n_orders, max(o_orderdate) AS last,
                   CAST(1 AS BIGINT) AS n_files FROM orders GROUP BY o_orderstatus""",
     ),
+    "q_whole_file": (
+        whole_file,
+        """SELECT *, CAST(1 AS BIGINT) AS n_files, least(1000, count(*) OVER ()) AS most_rows FROM customer""",
+    ),
     "q_record_count": (
         record_counts,
         "SELECT count(*) AS n_records, count(*) AS n_written FROM events",
