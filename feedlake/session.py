@@ -69,13 +69,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 _shipped: set[str] = set()
 
+# Rows go to Python in batches of ten thousand by default, which is a matter of their size
+# in memory outside of the heap, on both sides.  Bounded by bytes, long texts cost no more.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_NO_BOUND = str(2**31 - 1)
+BATCH_BYTES = 8 << 20
+
 
 def ship_library(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
+    """Make a session ready for this library's user functions.
 
-    User functions are pickled by reference to its modules, so a cluster on whose
-    machines the package is not installed needs a copy.
+    They are pickled by reference to its modules, so a cluster on whose machines the
+    package is not installed needs a copy, once per application.  Arrow batches are bounded
+    by bytes, unless the session has a bound of its own.
     """
+    if spark.conf.get(_BATCH_BYTES, _NO_BOUND) == _NO_BOUND:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
