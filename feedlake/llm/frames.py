@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,42 @@ def with_column_in_arrow(
     return frame.mapInArrow(run, schema)
 
 
+def share_of(hashed: Column, rows: int, total: int) -> Column:
+    """Whether a uniform 64-bit hash is among the lowest, so that about ``rows`` of ``total`` are.
+
+    A condition on each row alone: nothing is sorted, and no task sees the rows of others.
+    """
+    if total <= rows:
+        return F.lit(True)
+    return hashed < int(rows / total * (1 << 64)) - (1 << 63)
+
+
+# Steps of a count histogram in each doubling; counts below this are told apart.
+_STEPS = 16
+
+
+def most_frequent(counts: DataFrame, most: int, key: str, n: str = "n") -> DataFrame:
+    """Nearly ``most`` rows, those of the largest counts ``n``; of the last ones, a share by hash of ``key``.
+
+    The counts that make the choice come from a histogram of at most 1,024 rows, so no task
+    gathers the rows of others.
+    """
+    step = F.floor(F.log2(F.col(n)) * _STEPS)
+    bars = counts.filter(F.col(n) > 0).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min(n).alias("least"))
+    chosen, above, taken = F.lit(False), None, 0
+    for row in sorted(bars.collect(), reverse=True):
+        chosen = F.col(n) >= above if above is not None else F.lit(False)
+        if taken + row["rows"] > most:
+            # Less than there is room for, by four times what chance adds.
+            room = most - taken
+            some = share_of(F.xxhash64(key), max(int(room - 4 * room**0.5), 0), row["rows"])
+            chosen = chosen | ((F.col(n) >= row["least"]) & some)
+            break
+        taken, above = taken + row["rows"], row["least"]
+        chosen = F.col(n) >= above
+    return counts.filter(chosen)
+
+
 def remainder(column: str, modulus: int):
     """crc32 of a column as text, modulo ``modulus``; a null counts as empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -37,15 +37,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import quoted
+from feedlake.llm.frames import quoted, share_of
 from feedlake.llm.words import EXACT, LONG, differ, span_hashes, text_blocks
 
 END_ID = 0
 
-# The dictionary is trained on whole documents of at most SAMPLE_CHARS characters,
-# SAMPLE_DOCS of them, those whose ids hash lowest.
-SAMPLE_DOCS = 1_000
-SAMPLE_CHARS = 20_000
+# The dictionary is trained on about so many pieces of texts, of so many characters.
+SAMPLE_PIECES = 1_500
+PIECE_CHARS = 4_000
 DICTIONARY_BYTES = 64 * 1024
 
 PAYLOAD_BYTES = 4 << 20
@@ -208,9 +207,19 @@ def _serialized(encoder: Encoder, column: pa.Array, width: int) -> Iterator[tupl
 
 
 def train_dictionary(docs: DataFrame, source: str, width: int) -> bytes:
-    """A zstandard dictionary from the id arrays of a bounded sample; empty if there is too little."""
-    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS))
-    chosen = short.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE_DOCS)
+    """A zstandard dictionary from the id arrays of a bounded sample; empty if there is too little.
+
+    Every piece of every text, long ones included, has the same chance to be in it.
+    """
+    pieces = F.ceil(F.length("text") / PIECE_CHARS)
+    total = docs.agg(F.sum(pieces)).first()[0] or 0
+    row = F.monotonically_increasing_id()
+    places = F.filter(
+        F.sequence(F.lit(0).cast("long"), pieces - 1), lambda i: share_of(F.xxhash64("row", i), SAMPLE_PIECES, total)
+    )
+    found = docs.filter(F.length("text") > 0).withColumn("row", row).withColumn("places", places)
+    cut = F.transform("places", lambda i: F.substring("text", (i * PIECE_CHARS + 1).cast("int"), F.lit(PIECE_CHARS)))
+    chosen = found.filter(F.size("places") > 0).select(F.explode(cut).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +228,7 @@ def train_dictionary(docs: DataFrame, source: str, width: int) -> bytes:
             for _, rows in _serialized(encoder, batch.column(0), width):
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 
-    samples = [row[0] for row in chosen.select("text").mapInArrow(run, "ids binary").collect()]
+    samples = [row[0] for row in chosen.mapInArrow(run, "ids binary").collect()]
     try:
         size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
         return zstandard.train_dictionary(size, samples).as_bytes()
