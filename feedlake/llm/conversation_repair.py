@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlake.llm.frames import quoted
+
 KEEP, REROLE, DELETE, INSERT = "KRDI"
 COST = {KEEP: 0, REROLE: 2, DELETE: 3, INSERT: 2}
 CUT_OFF = 1
@@ -317,19 +319,19 @@ def damaged(conversations: DataFrame) -> DataFrame:
     )
 
 
-def repaired(conversations: DataFrame) -> DataFrame:
+def repaired(conversations: DataFrame, *, copies: str | None = None) -> DataFrame:
     """Faults, cost, audit and the digest of the repaired text of every conversation.
 
-    ``conversations`` has ``conv_id``, ``turn``, ``role``, ``text`` and, if rows stand for
-    several or none, ``copies``.
+    ``conversations`` has ``conv_id``, ``turn``, ``role`` and ``text``; ``copies`` names a
+    column that says how many rows each stands for, none or several.
     """
-    copies = F.col("copies").cast("int") if "copies" in conversations.columns else F.lit(1)
+    times = F.lit(1) if copies is None else F.coalesce(F.col(quoted(copies)).cast("int"), F.lit(1))
     rows = conversations.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
         _text("role").alias("role"),
         _text("text").alias("text"),
-        copies.alias("copies"),
+        times.alias("copies"),
     )
     # Length of the role first: no two pairs of role and text are written alike.
     content = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)

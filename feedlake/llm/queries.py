@@ -147,7 +147,7 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and the cheapest repair of each conversation, after planted damage."""
     rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
-    return conversation_repair.repaired(rows)
+    return conversation_repair.repaired(rows, copies="copies")
 
 
 # SHA-1 in base32: 32 digits of 5 bits each, taken from the 40 hex digits.

@@ -9,6 +9,7 @@ from itertools import product
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from feedlake.llm import conversation_repair as repair
 
@@ -159,7 +160,7 @@ def test_query_with_damage(spark):
     rows += [(77, i // 2, "user" if i % 3 else "assistant", f"row {i % 400}.") for i in range(900)]
     names = "conv_id long, turn int, role string, text string, again string, copies_ string, content string"
     frame = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], names).repartition(4)
-    got = repair.repaired(repair.damaged(frame)).collect()
+    got = repair.repaired(repair.damaged(frame), copies="copies").collect()
     want = {conv_id: search(own) for conv_id, own in damage(rows).items()}
     assert {r.conv_id: tuple(r)[1:] for r in got} == want
     assert len(got) == len(want)
@@ -172,5 +173,10 @@ def test_without_damage_and_empty(spark):
     assert (got["a"].cost, got["a"].audit) == (2, "KKI")
     assert got["a"].repaired_sha256 == hashlib.sha256(b"system:Be brief.\nuser:Hi.\nassistant:").hexdigest()
     assert (got["b"].cost, got["b"].audit, got["b"].blank, got["b"].gaps) == (3, "D", 1, 0)
+    # A column of that name is not looked at unless it is asked for; a null stands for one row.
+    odd = spark.createDataFrame([(*r, c) for r, c in zip(rows, ("x", None, None))], f"{names}, copies string")
+    assert {r.conv_id: r for r in repair.repaired(odd).collect()} == got
+    nulls = odd.withColumn("copies", F.lit(None).cast("int"))
+    assert {r.conv_id: r for r in repair.repaired(nulls, copies="copies").collect()} == got
     empty = spark.createDataFrame([], names)
-    assert repair.repaired(repair.damaged(empty)).count() == 0
+    assert repair.repaired(repair.damaged(empty), copies="copies").count() == 0
