@@ -7,8 +7,9 @@ a chi-square quantile is rejected.
 
 * Statistics are computed within the row, by sorting the hashes of its own 3-word
   windows; texts are not shuffled.
-* Fits are aggregates with partial sums, so a source that holds a third of the rows
-  costs no task more than its share.  The half of the rows that a C-step keeps is
+* Fits are aggregates with partial sums, and the estimates go to the vectors, not the
+  vectors to the estimates (up to ``SENT_POOLS`` pools), so a source that holds a third of
+  the rows costs no task more than its share.  The half of the rows that a C-step keeps is
   found by a mergeable quantile sketch.  Nothing is collected but one number per
   step, which tells when the steps have settled.
 * Fits start from three robust first guesses, as deterministic MCD does; the one of
@@ -21,6 +22,8 @@ all rows.  With fewer rows than that in all, only the base rules reject.
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
 from math import exp, lgamma, log
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.frames import once, quoted, unused, written
 
+Sender = Callable[[DataFrame], DataFrame]
+
 # Fixed values of the base rules.
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -61,6 +66,10 @@ _STARTS = 3
 _FIRST_STEPS = 2
 _MOST_STEPS = 30
 
+# Estimates of this many pools are sent to every executor (some 500 bytes each), and the
+# vectors stay where they are; those of more pools are joined.
+SENT_POOLS = 20_000
+
 
 def chi_square_point(tail: float, freedom: int) -> float:
     """The value that a chi-square variable exceeds with probability ``tail``."""
@@ -215,10 +224,16 @@ def _squared(x: str = "", fitted: str = "") -> str:
     )
 
 
-def _first_guesses(rows: DataFrame) -> DataFrame:
+def _sent(rows: DataFrame) -> Sender:
+    """What to do with a table that has a few rows per pool of ``rows`` before it is joined to them."""
+    few = rows.select("pool").distinct().limit(SENT_POOLS + 1).count() <= SENT_POOLS
+    return F.broadcast if few else lambda estimates: estimates
+
+
+def _first_guesses(rows: DataFrame, sent: Sender) -> DataFrame:
     """Three robust guesses of location and scatter for each pool."""
     median = [F.percentile_approx(x, 0.5, 10000).alias(f"c{i}") for i, x in enumerate(_X)]
-    centred = rows.join(rows.groupBy("pool").agg(*median), "pool")
+    centred = rows.join(sent(rows.groupBy("pool").agg(*median)), "pool")
     spread = [
         F.greatest(
             1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"c{i}")), 0.5, 10000), F.lit(floor)
@@ -228,7 +243,7 @@ def _first_guesses(rows: DataFrame) -> DataFrame:
     middle = written(
         centred.groupBy("pool").agg(*spread, *[F.first(f"c{i}").alias(f"c{i}") for i in range(_D)]), "middle"
     )
-    scaled = rows.join(middle, "pool")
+    scaled = rows.join(sent(middle), "pool")
     z = [f"((x{i} - c{i}) / d{i})" for i in range(_D)]
     length = "sqrt(" + " + ".join(f"{v} * {v}" for v in z) + ")"
     scores = [
@@ -250,12 +265,12 @@ def _first_guesses(rows: DataFrame) -> DataFrame:
     return shaped.unionByName(plain)
 
 
-def _c_step(rows: DataFrame, fits: DataFrame, share: float) -> DataFrame:
+def _c_step(rows: DataFrame, fits: DataFrame, share: float, sent: Sender) -> DataFrame:
     """Moments of the ``share`` of rows that is nearest to each fit."""
     by = ["pool", "start"]
-    near = rows.join(_inverted(fits, by), "pool").select(*by, *_X, F.expr(_squared()).alias("distance"))
+    near = rows.join(sent(_inverted(fits, by)), "pool").select(*by, *_X, F.expr(_squared()).alias("distance"))
     limits = near.groupBy(*by).agg(F.percentile_approx("distance", share, 10000).alias("limit"))
-    kept = near.join(limits, by).filter("distance <= limit")
+    kept = near.join(sent(limits), by).filter("distance <= limit")
     return written(_moments(by, kept, _X), "fits")
 
 
@@ -266,9 +281,10 @@ def fit(rows: DataFrame, *, share: float = KEPT_SHARE, label: str = "mcd") -> Da
     distances are then scaled so that their median is that of a chi-square variable,
     and the estimate is sharpened once by all rows within the 97.5 % quantile.
     """
-    fits = written(_first_guesses(rows), label)
+    sent = _sent(rows)
+    fits = written(_first_guesses(rows, sent), label)
     for _ in range(_FIRST_STEPS):
-        fits = _c_step(rows, fits, share)
+        fits = _c_step(rows, fits, share, sent)
     ranked = _inverted(fits, ["pool", "start"]).groupBy("pool").agg(
         F.min(F.struct(F.round("log_det", 9).alias("log_det"), "start")).alias("best")
     )
@@ -279,17 +295,19 @@ def fit(rows: DataFrame, *, share: float = KEPT_SHARE, label: str = "mcd") -> Da
         now = _inverted(fits, ["pool", "start"]).agg(F.round(F.sum("log_det"), 6)).first()[0]
         if now == state:
             break
-        state, fits = now, _c_step(rows, fits, share)
-    raw = _scaled(rows, fits)
-    inner = rows.join(raw, "pool").filter(F.expr(f"({_squared()}) / scale") <= chi_square_point(0.025, _D))
+        state, fits = now, _c_step(rows, fits, share, sent)
+    else:
+        warnings.warn(f"estimates still moved after {_MOST_STEPS} steps", stacklevel=2)
+    raw = _scaled(rows, fits, sent)
+    inner = rows.join(sent(raw), "pool").filter(F.expr(f"({_squared()}) / scale") <= chi_square_point(0.025, _D))
     sharp = _moments(["pool"], inner.select("pool", *_X), _X).withColumn("start", F.lit(0))
-    return written(_scaled(rows, written(sharp, label)), label)
+    return written(_scaled(rows, written(sharp, label), sent), label)
 
 
-def _scaled(rows: DataFrame, fits: DataFrame) -> DataFrame:
+def _scaled(rows: DataFrame, fits: DataFrame, sent: Sender) -> DataFrame:
     inverse = _inverted(fits, ["pool"])
     middle = F.percentile_approx(F.expr(_squared()), 0.5, 10000).alias("median")
-    median = rows.join(inverse, "pool").groupBy("pool").agg(middle)
+    median = rows.join(sent(inverse), "pool").groupBy("pool").agg(middle)
     scale = F.greatest(F.col("median") / chi_square_point(0.5, _D), F.lit(1e-3)).alias("scale")
     return inverse.join(median.select("pool", scale), "pool")
 

@@ -99,3 +99,12 @@ def test_few_rows_and_none(documents, prose):
 def test_main_path_is_native(mixed):
     plan = quality.judged(mixed, verdict="found")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_many_pools_are_joined_instead(mixed, monkeypatch):
+    """Without the estimates sent to the vectors the distances are the same."""
+    key = lambda r: r["doc_id"]
+    sent = sorted(quality.judged(mixed, keep=["doc_id"]).select("doc_id", "verdict.distance").collect(), key=key)
+    monkeypatch.setattr(quality, "SENT_POOLS", 0)
+    joined = sorted(quality.judged(mixed, keep=["doc_id"]).select("doc_id", "verdict.distance").collect(), key=key)
+    assert [(r[0], r[1] and round(r[1], 6)) for r in sent] == [(r[0], r[1] and round(r[1], 6)) for r in joined]
