@@ -28,6 +28,7 @@ one by one; other columns, whatever their names, pass through.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 from heapq import heappop, heappush
 
@@ -37,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import once, quoted, unused, with_column_in_arrow, written
+from feedlake.llm.frames import most_frequent, once, quoted, unused, with_column_in_arrow, written
 
 DICTIONARY_WORDS = 200_000
 
@@ -103,20 +104,26 @@ class Pieces:
     def _merged_short(self, word: str) -> list[int]:
         """By looking at all neighbours after each merge."""
         parts, score, none = list(word), self._score.get, self._byte_score
-        best = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        best = [score(word[i : i + 2], none) for i in range(len(word) - 1)]
         while best:
             top = max(best)
             if top == none:
                 break
             i = best.index(top)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[i] = joined = parts[i] + parts.pop(i + 1)
             del best[i]
             if i:
-                best[i - 1] = score(parts[i - 1] + parts[i], none)
+                best[i - 1] = score(parts[i - 1] + joined, none)
             if i < len(best):
-                best[i] = score(parts[i] + parts[i + 1], none)
-        scores = self.scores
-        return [i for part in parts for i in ([scores[part][1]] if part in scores else self._single(part))]
+                best[i] = score(joined + parts[i + 1], none)
+        ids, out = self._id, []
+        for part in parts:
+            found = ids(part)
+            if found is None:
+                out += self._single(part)
+            else:
+                out.append(found)
+        return out
 
     def _merged_long(self, word: str) -> list[int]:
         """With a heap of neighbours, for words of any length."""
@@ -184,7 +191,8 @@ class Pieces:
     def ready(self) -> Pieces:
         self._longest, self._byte_score = self.longest, self.byte_score
         self._score = {text: score for text, (score, _) in self.scores.items()}
-        self._local: dict[str, bytes] = {}
+        self._id = {text: i for text, (_, i) in self.scores.items()}.get
+        self._remembered = _Remembered(self)
         return self
 
     def ids(self, text: str) -> np.ndarray:
@@ -192,19 +200,7 @@ class Pieces:
         if not text:
             return np.empty(0, np.int32)
         words = _WORDS(" " + text)
-        parts = [*map(self.known.get, words)]
-        local = self._local
-        for i, part in enumerate(parts):
-            if part is None:
-                word = words[i]
-                part = local.get(word)
-                if part is None:
-                    part = np.array(self.path(word), np.int32).tobytes()
-                    if len(local) >= self.MOST_WORDS:
-                        local.clear()
-                    local[word] = part
-                parts[i] = part
-        return np.frombuffer(b"".join(parts), np.int32)
+        return np.frombuffer(b"".join(map(self._remembered.__getitem__, words)), np.int32)
 
     def text(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids."""
@@ -212,13 +208,31 @@ class Pieces:
         return raw.decode(errors="replace")[1:]
 
 
+class _Remembered(dict):
+    """Ids of the words of the dictionary, and of others as they are met, so many at a time."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__(pieces.known)
+        self.pieces = pieces
+        self.most = len(self) + pieces.MOST_WORDS
+
+    def __missing__(self, word: str) -> bytes:
+        part = array("i", self.pieces.path(word)).tobytes()
+        if len(self) >= self.most:
+            self.clear()
+            self.update(self.pieces.known)
+        self[word] = part
+        return part
+
+
 def frequent_words(docs: DataFrame, text: str, most: int = DICTIONARY_WORDS) -> DataFrame:
-    """The ``most`` most frequent words, ``word``, of all texts."""
+    """The most frequent words, ``word``, of all texts, nearly ``most``."""
     cut = once(f"split(concat(' ', {quoted(text)}), '(?<=[^ ])(?= )', -1)")
     filled = docs.filter(F.length(quoted(text)) > 0).select(F.expr(cut).alias("words"))
     words = filled.select(F.explode("words").alias("word")).filter(f"length(word) <= {LONGEST_WORD}")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), "word").limit(most).select("word")
+    # A word that occurs once is no gain over the task that meets it.
+    return most_frequent(written(counts.filter("n > 1"), "counts"), most, "word").select("word")
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -306,7 +320,7 @@ def fit(docs: DataFrame, model: str, *, text: str = "text", most: int = DICTIONA
 def _of(shared) -> Pieces:
     """The broadcast pieces, made ready once per process."""
     pieces = shared.value
-    if not hasattr(pieces, "_local"):
+    if not hasattr(pieces, "_remembered"):
         pieces.ready()
     return pieces
 
