@@ -203,7 +203,7 @@ def documents(
     one day that come in one Arrow batch are then strung together.  Neither a busy day
     nor a busy user makes a document any larger, and nothing is shuffled.
     """
-    return _packed(_features(spark, sf_dir, where), features_per_document)
+    return _packed(_features(spread_events(spark, sf_dir).filter(where)), features_per_document)
 
 
 # The given table is one row group, which one task would read, render and pack.  A feed
@@ -220,9 +220,9 @@ def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(prepared(spark, sf_dir, "events", write))
 
 
-def _features(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+def _features(events: DataFrame) -> DataFrame:
     """One rendered feature per event, with its day."""
-    rows = spark.sql(_FEED, events=spread_events(spark, sf_dir).filter(where))
+    rows = events.sparkSession.sql(_FEED, events=events)
     feature = F.struct(
         F.lit("Feature").alias("type"),
         "properties",
@@ -275,10 +275,14 @@ _SHARES = 4
 
 
 def day_documents(spark: SparkSession, sf_dir: str, features_per_document: int) -> DataFrame:
-    """Every day's events gathered, then packed into full documents."""
-    share = (F.col("event_id") % _SHARES).alias("share")
-    gathered = _features(spark, sf_dir).repartition("ingest_date", share)
-    return _packed(gathered.sortWithinPartitions("ingest_date"), features_per_document)
+    """Every day's events gathered, then rendered and packed into full documents.
+
+    A rendered feature is many times its event, so events are shuffled and sorted.
+    """
+    day = F.date_format("ts", "yyyyMMdd")
+    share = F.col("event_id") % _SHARES
+    gathered = spread_events(spark, sf_dir).repartition(day, share).sortWithinPartitions(day)
+    return _packed(_features(gathered), features_per_document)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:

@@ -33,19 +33,23 @@ _COLUMNS = ("mag", "place", "time", "tz", "felt", "longitude", "depth")
 _WITH_ID = f"SELECT CAST(event_id AS VARCHAR) AS id, {', '.join(_COLUMNS)} FROM flat"
 
 
-def delivered(spark: SparkSession, sf_dir: str) -> str:
+def delivered(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     """All events as files with one document each; returns the folder."""
 
     def write(path: str) -> None:
         docs = day_documents(spark, sf_dir, 5000).select("value")
-        docs.write.option("maxRecordsPerFile", 1).text(path)
+        docs.write.option("maxRecordsPerFile", 1).text(path, compression=compression)
 
-    return prepared(spark, sf_dir, "delivered", write)
+    return prepared(spark, sf_dir, f"delivered-{compression}", write)
 
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered files, each read by one task; several lines allowed."""
-    raw = read_documents(spark, delivered(spark, sf_dir), multi_line=True, columns=_COLUMNS)
+    """Delivered files, each read by one task; several lines allowed.
+
+    A file that one task reads may be compressed; those to be split may not.
+    """
+    path = delivered(spark, sf_dir, COMPRESSION)
+    raw = read_documents(spark, path, multi_line=True, columns=_COLUMNS)
     return flatten(raw, _COLUMNS, keep_id=True)
 
 

@@ -7,7 +7,8 @@ import pytest
 from feed_documents import document, feature
 
 import __spark_entry__ as registry
-from feed_queries.feed import EARLY, documents
+from feed_queries.feed import EARLY, day_documents, documents
+from feed_queries.scans import delivered
 from feedlake.operators import flatten
 from feedlake.plans import to_silver
 from feedlake.sinks import land_documents
@@ -112,3 +113,17 @@ def test_queries_do_not_shuffle(spark, many_files, name):
 def test_events_are_chosen_in_the_scan(spark):
     text = plan(documents(spark, SMALL, where=EARLY))
     assert "LessThan(ts" in text
+
+
+def test_documents_of_a_day_are_rendered_after_the_shuffle(spark):
+    """Events are shuffled and sorted, not their many times larger features."""
+    text = plan(day_documents(spark, SMALL, 5000))
+    assert text.index("to_json") < text.index("Sort [") < text.index("Exchange hashpartitioning")
+
+
+def test_delivered_files_may_be_compressed(spark):
+    docs = {c: read_documents(spark, delivered(spark, SMALL, c), multi_line=True) for c in ("none", "gzip")}
+    assert all(f.endswith(".gz") for f in docs["gzip"].inputFiles())
+    assert not any(f.endswith(".gz") for f in docs["none"].inputFiles())
+    ids = [sorted(r["id"] for r in d.selectExpr("explode(features) AS f").select("f.id").collect()) for d in docs.values()]
+    assert ids[0] == ids[1] and len(ids[0]) == spark.read.parquet(f"{SMALL}/events.parquet").count()
