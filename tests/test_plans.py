@@ -117,8 +117,8 @@ def test_events_are_chosen_in_the_scan(spark):
 
 def test_documents_of_a_day_are_rendered_after_the_shuffle(spark):
     """Events are shuffled and sorted, not their many times larger features."""
-    text = plan(day_documents(spark, SMALL, 5000))
-    assert text.index("to_json") < text.index("Sort [") < text.index("Exchange hashpartitioning")
+    text = plan(day_documents(spark, SMALL, 5000), "simple")
+    assert text.index("StructsToJson") < text.index("Sort [") < text.index("Exchange hashpartitioning")
 
 
 def test_delivered_files_may_be_compressed(spark):
